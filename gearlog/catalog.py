@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .operators import explore, failures, health, maintenance
+from .operators import advanced, cost, explore, failures, fleet, health, maintenance
 from .params import FIXTURE
 from .sources.bindings import bind
 
@@ -58,9 +58,39 @@ def queries() -> dict[str, Query]:
         maintenance.replacement_frequency,
         maintenance.overdue_maintenance,
         maintenance.monthly_downtime,
+        cost.monthly_tco,
+        cost.cost_per_failure_type,
+        cost.strategy_roi,
+        cost.sensor_investment,
+        cost.cumulative_downtime_cost,
+        cost.cost_per_machine,
+        cost.conversion_savings,
+        fleet.risk_ranking,
+        fleet.machine_similarity,
+        fleet.utilisation,
+        fleet.monthly_fleet_summary,
+        fleet.replacement_priority,
+        fleet.fleet_kpis,
+        fleet.peer_ranking,
+        advanced.survival_summary,
+        advanced.maintenance_forecast,
+        advanced.prefailure_profile,
+        advanced.prognostic_horizon,
+        advanced.failure_correlation,
     ]
     out: dict[str, Query] = {fn.__name__: _on_tables(fn) for fn in plain}
     out["missing_hours_to_last"] = _on_tables(explore.missing_hours, end="ts", top=None)
     out["failure_cascade_within"] = _on_tables(failures.failure_cascade, within=True)
-    out["failures_by_age_literal"] = _on_tables(failures.failures_by_age, fanout=True)
+    for fn in (
+        failures.failures_by_age,
+        cost.monthly_tco,
+        cost.cost_per_machine,
+        fleet.risk_ranking,
+        fleet.monthly_fleet_summary,
+        fleet.replacement_priority,
+        fleet.fleet_kpis,
+        fleet.peer_ranking,
+    ):
+        out[f"{fn.__name__}_literal"] = _on_tables(fn, fanout=True)
+    out["failure_correlation_once"] = _on_tables(advanced.failure_correlation, once=True)
     return out

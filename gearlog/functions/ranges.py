@@ -54,6 +54,9 @@ def exact_quantiles(
     df: DataFrame, value: str, probs: dict[str, float], group: list[str]
 ) -> DataFrame:
     """Exact, linearly interpolated quantiles per group (few groups, many values)."""
+    if not group:
+        whole = exact_quantiles(df.withColumn("_all", F.lit(0)), value, probs, ["_all"])
+        return whole.drop("_all")
     counted = (
         df.filter(F.col(value).isNotNull())
         .groupBy(*group, value)
