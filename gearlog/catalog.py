@@ -5,10 +5,24 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from .operators import advanced, cost, explore, failures, fleet, health, maintenance
-from .params import FIXTURE
+from .operators import (
+    advanced,
+    cost,
+    explore,
+    failures,
+    features,
+    fleet,
+    health,
+    labels,
+    maintenance,
+    prepare,
+)
+from .params import FEATURE_SENSORS, FIXTURE
+from .plans.feature_table import build_features
 from .sources.bindings import bind
+from .sources.tables import Tables, standardise
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +31,60 @@ def _on_tables(fn, **options) -> Query:
     return lambda spark, folder: fn(bind(spark, folder), FIXTURE, **options)
 
 
+def _readings(t: Tables) -> DataFrame:
+    return standardise(t.telemetry.drop("event_id"))
+
+
+def _feature(fn) -> Query:
+    """A feature operator on the readings: keys and the columns it adds."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        return fn(_readings(bind(spark, folder))).drop(*FEATURE_SENSORS)
+
+    return run
+
+
+def _event_history(t: Tables, p) -> DataFrame:
+    rows = labels.master_table(t, p).select("machine_id", "timestamp", "error_count_1h")
+    return features.event_history(rows, t.maint).drop("error_count_1h")
+
+
+def _sequences(t: Tables, p) -> DataFrame:
+    labelled = labels.master_table(t, p).select(
+        "machine_id", "timestamp", "failure_label", *FEATURE_SENSORS
+    )
+    return prepare.sequences(labelled)
+
+
+def _sequence_rows(t: Tables, p) -> DataFrame:
+    return _sequences(t, p).select(
+        "machine_id", "start_time", "end_time", "label", F.posexplode("steps").alias("pos", "s")
+    ).select("machine_id", "start_time", "end_time", "label", "pos", "s.*")
+
+
+def _split_times(t: Tables, p) -> DataFrame:
+    return labels.temporal_split(_readings(t)).select("machine_id", "timestamp", "split")
+
+
+HISTORY: dict[str, Callable] = {
+    "error_features": labels.error_features,
+    "maintenance_features": labels.maintenance_features,
+    "failure_labels": labels.failure_labels,
+    "lead_time_labels": labels.lead_time_labels,
+    "asof_last_event": labels.asof_last_event,
+    "master_table": labels.master_table,
+    "dataset_stats": labels.dataset_stats,
+    "class_balance": labels.class_balance,
+    "class_weights": lambda t, p: labels.class_weights(labels.failure_labels(t, p)),
+    "temporal_split": _split_times,
+    "event_history": _event_history,
+    "robust_scaled": lambda t, p: prepare.robust_scaled(_readings(t)),
+    "sequences": _sequence_rows,
+    "sequence_split": lambda t, p: prepare.sequence_split(_sequences(t, p)).drop("steps"),
+    "build_features": lambda t, p: build_features(t, p, drop_null=False),
+}
+
+
 def queries() -> dict[str, Query]:
     plain = [
         explore.table_counts,
@@ -92,5 +160,23 @@ def queries() -> dict[str, Query]:
         fleet.peer_ranking,
     ):
         out[f"{fn.__name__}_literal"] = _on_tables(fn, fanout=True)
+    for name, fn in HISTORY.items():
+        out[name] = _on_tables(fn)
+    for fn in (
+        features.rolling_moments,
+        features.rolling_shape,
+        features.rolling_quantiles,
+        features.rate_of_change,
+        features.lags,
+        features.trend_slopes,
+        features.spectral,
+        features.interactions,
+        features.rolling_corr,
+        features.ewma,
+        features.cumulative_deviation,
+        features.baseline_zscore,
+        features.calendar_features,
+    ):
+        out[fn.__name__] = _feature(fn)
     out["failure_correlation_once"] = _on_tables(advanced.failure_correlation, once=True)
     return out

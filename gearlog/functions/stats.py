@@ -73,8 +73,9 @@ def per_key_join(
     key: str = "machineID",
     salts: int = 16,
     spread: str = "datetime",
+    how: str = "inner",
 ) -> DataFrame:
-    """Inner join facts to a table with one row per key, splitting busy keys.
+    """Join facts (inner or left) to a table with one row per key, splitting busy keys.
 
     Adaptive execution turns this into a broadcast when ``per_key`` turns out
     small; otherwise the salt, taken from column ``spread``, divides each key
@@ -86,7 +87,7 @@ def per_key_join(
     )
     return (
         facts.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)))
-        .join(copies, [key, "_salt"])
+        .join(copies, [key, "_salt"], how)
         .drop("_salt")
     )
 
