@@ -46,7 +46,8 @@ def _feature(fn) -> Query:
 
 def _event_history(t: Tables, p) -> DataFrame:
     rows = labels.master_table(t, p).select("machine_id", "timestamp", "error_count_1h")
-    return features.event_history(rows, t.maint).drop("error_count_1h")
+    base = _readings(t).select("machine_id", F.unix_micros("timestamp").alias("_us"))
+    return features.event_history(rows, t.maint, base=base).drop("error_count_1h")
 
 
 def _sequences(t: Tables, p) -> DataFrame:

@@ -41,18 +41,24 @@ def running(
     span: Column,
     reverse: bool = False,
     inclusive: bool = True,
+    totals_of: DataFrame | None = None,
 ) -> DataFrame:
     """Add running aggregates over all rows of ``key`` up to each row.
 
     ``aggs`` maps a new column to ("sum" | "max" | "min", expression). ``order``
     must sort inside a span in the direction of travel; ``span`` must be
     monotone in that order. ``reverse`` travels from the last span to the first.
+
+    The span totals are a second read of the input. Where ``df`` is itself the
+    result of earlier passes, give as ``totals_of`` the narrow source with the
+    same rows, so a chain of passes reads it once more each and not twice as
+    often each.
     """
     cols = df.columns
-    rows = df.withColumns(
-        {"_span": span, **{f"_v_{n}": e for n, (_, e) in aggs.items()}}
-    )
-    totals = rows.groupBy(*key, "_span").agg(
+    values = {"_span": span, **{f"_v_{n}": e for n, (_, e) in aggs.items()}}
+    rows = df.withColumns(values)
+    source = rows if totals_of is None else totals_of.withColumns(values)
+    totals = source.groupBy(*key, "_span").agg(
         *[_REDUCE[op](f"_v_{n}").alias(f"_v_{n}") for n, (op, _) in aggs.items()]
     )
     direction = F.desc("_span") if reverse else F.asc("_span")
@@ -103,15 +109,23 @@ def with_halo(
 
 
 def numbered(
-    df: DataFrame, key: list[str], us: str, width: int = DAY_US, ties: tuple = ()
+    df: DataFrame,
+    key: list[str],
+    us: str,
+    width: int = DAY_US,
+    base: DataFrame | None = None,
 ) -> DataFrame:
-    """Add ``_rn``, the row number of each row inside its key by time."""
+    """Add ``_rn``, the row number of each row inside its key by time.
+
+    ``base`` is a narrow source of the same rows (see ``running``).
+    """
     return running(
         df,
         key,
-        [F.col(us), *[F.col(c) for c in ties]],
+        [F.col(us)],
         {"_rn": ("sum", F.lit(1).cast("long"))},
         span_of(us, width),
+        totals_of=base,
     )
 
 
@@ -136,9 +150,11 @@ def blocked(
     columns: dict[str, Column],
     width: int = DAY_US,
     size: int = 4096,
+    base: DataFrame | None = None,
 ) -> DataFrame:
     """Add row-frame window ``columns`` that look at most ``halo`` rows back."""
-    wide = row_blocks(numbered(df, key, us, width), halo, size).withColumns(columns)
+    named = numbered(df, key, us, width, base)
+    wide = row_blocks(named, halo, size).withColumns(columns)
     return wide.filter("_own").drop("_block", "_own")
 
 
@@ -170,25 +186,35 @@ def active_marks(
     return on.unionByName(off)
 
 
-def next_time(rows: DataFrame, events: DataFrame, name: str, width: int = DAY_US) -> DataFrame:
+def next_time(
+    rows: DataFrame,
+    events: DataFrame,
+    name: str,
+    width: int = DAY_US,
+    base: DataFrame | None = None,
+) -> DataFrame:
     """Add ``name``: microsecond stamp of the first event strictly after each row.
 
-    Both inputs carry ``machineID`` and ``_us``.
+    All inputs carry ``machineID`` and ``_us``.
     """
-    both = beside(rows, events.select("machineID", "_us"))
+    marks = events.select("machineID", "_us")
     out = running(
-        both,
+        beside(rows, marks),
         ["machineID"],
         [F.desc("_us"), F.desc("_kind")],
         {name: ("min", F.when(F.col("_kind") == 0, F.col("_us")))},
         span_of("_us", width),
         reverse=True,
+        totals_of=None if base is None else beside(base, marks),
     )
     return out.filter("_kind = 1").drop("_kind")
 
 
 def last_time(
-    rows: DataFrame, events: dict[str, DataFrame], width: int = DAY_US
+    rows: DataFrame,
+    events: dict[str, DataFrame],
+    width: int = DAY_US,
+    base: DataFrame | None = None,
 ) -> DataFrame:
     """Add one column per entry: stamp of its last event at or before each row."""
     marks = None
@@ -201,5 +227,6 @@ def last_time(
         [F.col("_us"), F.col("_kind")],
         {n: ("max", F.when(F.col("_tag") == n, F.col("_us"))) for n in events},
         span_of("_us", width),
+        totals_of=None if base is None else beside(base, marks),
     )
     return out.filter("_kind = 1").drop("_kind", "_tag")

@@ -15,6 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from ..functions.spans import (
     DAY_US,
@@ -55,8 +56,6 @@ def _timed(df: DataFrame) -> DataFrame:
 
 def _time_windows(df: DataFrame, hours, build) -> DataFrame:
     """Add ``build(sensor, hours, window, enough)`` columns for time windows (t-w, t]."""
-    from pyspark.sql.window import Window
-
     longest = max(hours) * HOUR_US
     wide = with_halo(_timed(df), "_us", 4 * longest, before=longest)
     order = Window.partitionBy(*KEY, "_span").orderBy("_us")
@@ -200,7 +199,7 @@ def _ewma_columns() -> dict[str, Column]:
     blocks are short enough for the powers to stay in range.
     """
     w = block_window(KEY)
-    upto = w.rowsBetween(w.unboundedPreceding, 0)
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
     i = F.row_number().over(w).cast("double")
     out = {}
     for s in FEATURE_SENSORS:
@@ -272,12 +271,14 @@ def _spectrum(values: np.ndarray) -> np.ndarray:
     return out
 
 
-def spectral(df: DataFrame, rows: int = SPECTRAL_ROWS) -> DataFrame:
+def spectral(
+    df: DataFrame, rows: int = SPECTRAL_ROWS, base: DataFrame | None = None
+) -> DataFrame:
     """Spectrum of the ``rows`` readings before each reading (it is not included).
 
     Each group given to Python is one block of a machine's rows plus its halo.
     """
-    blocks = row_blocks(numbered(_timed(df), KEY, "_us"), rows).drop("_us")
+    blocks = row_blocks(numbered(_timed(df), KEY, "_us", base=base), rows).drop("_us")
     names = [f"{s}_{k}" for s in FEATURE_SENSORS for k in SPECTRAL]
     schema = T.StructType(
         list(df.schema.fields) + [T.StructField(n, T.DoubleType()) for n in names]
@@ -314,14 +315,13 @@ def interactions(df: DataFrame) -> DataFrame:
     return df.withColumns(out)
 
 
-def cumulative_deviation(df: DataFrame) -> DataFrame:
+def cumulative_deviation(df: DataFrame, base: DataFrame | None = None) -> DataFrame:
     """Running sum of each reading's distance from the mean of all readings so far."""
     order, span = [F.col("_us")], span_of("_us", DAY_US)
     sums = {f"_s_{s}": ("sum", F.col(s)) for s in FEATURE_SENSORS}
     counts = {
         f"_n_{s}": ("sum", F.col(s).isNotNull().cast("double")) for s in FEATURE_SENSORS
     }
-    means = running(_timed(df), KEY, order, sums | counts, span)
     away = {
         f"{s}_cumul_deviation": (
             "sum",
@@ -329,21 +329,35 @@ def cumulative_deviation(df: DataFrame) -> DataFrame:
         )
         for s in FEATURE_SENSORS
     }
-    return running(means, KEY, order, away, span).drop("_us", *sums, *counts)
+
+    def means(rows: DataFrame) -> DataFrame:
+        return running(rows, KEY, order, sums | counts, span, totals_of=base)
+
+    return running(
+        means(_timed(df)),
+        KEY,
+        order,
+        away,
+        span,
+        totals_of=None if base is None else means(base),
+    ).drop("_us", *sums, *counts)
 
 
-def baseline_zscore(df: DataFrame, rows: int = BASELINE_ROWS) -> DataFrame:
+def baseline_zscore(
+    df: DataFrame, rows: int = BASELINE_ROWS, base: DataFrame | None = None
+) -> DataFrame:
     """Distance from the machine's first ``rows`` readings in their deviations."""
-    named = numbered(_timed(df), KEY, "_us")
-    base = (
-        named.filter(F.col("_rn") <= rows)
+    narrow = _timed(df) if base is None else base
+    first = (
+        numbered(narrow, KEY, "_us")
+        .filter(F.col("_rn") <= rows)
         .groupBy(*KEY)
         .agg(
             *[F.avg(s).alias(f"_m_{s}") for s in FEATURE_SENSORS],
             *[F.stddev_samp(s).alias(f"_d_{s}") for s in FEATURE_SENSORS],
         )
     )
-    joined = per_key_join(df, base, key=KEY[0], spread="timestamp")
+    joined = per_key_join(df, first, key=KEY[0], spread="timestamp")
     z = {
         f"{s}_running_zscore": (F.col(s) - F.col(f"_m_{s}")) / (F.col(f"_d_{s}") + 1e-8)
         for s in FEATURE_SENSORS
@@ -369,7 +383,12 @@ def calendar_features(df: DataFrame) -> DataFrame:
     )
 
 
-def days_since_maintenance(df: DataFrame, maint: DataFrame, last_only: bool = False) -> DataFrame:
+def days_since_maintenance(
+    df: DataFrame,
+    maint: DataFrame,
+    last_only: bool = False,
+    base: DataFrame | None = None,
+) -> DataFrame:
     """Days since the last maintenance at or before each reading.
 
     ``last_only=True`` measures from the machine's newest reading that has
@@ -385,14 +404,18 @@ def days_since_maintenance(df: DataFrame, maint: DataFrame, last_only: bool = Fa
     else:
         events = maint.select("machineID", F.unix_micros("datetime").alias("_us"))
         rows = _timed(df).withColumnRenamed("machine_id", "machineID")
-        found = last_time(rows, {"_last": events}).withColumnRenamed("machineID", "machine_id")
+        keys = None if base is None else base.select(F.col("machine_id").alias("machineID"), "_us")
+        found = last_time(rows, {"_last": events}, base=keys)
+        found = found.withColumnRenamed("machineID", "machine_id")
     days = (F.col("_us") - F.col("_last")) / F.lit(8.64e10)
     return found.withColumn("days_since_last_maint", days).select(
         *df.columns, "days_since_last_maint"
     )
 
 
-def event_history(df: DataFrame, maint: DataFrame, rows=TREND_ROWS) -> DataFrame:
+def event_history(
+    df: DataFrame, maint: DataFrame, rows=TREND_ROWS, base: DataFrame | None = None
+) -> DataFrame:
     """Errors over the last rows and days since maintenance."""
-    counted = blocked(_timed(df), KEY, "_us", max(rows), _error_columns(rows))
-    return days_since_maintenance(counted.drop("_us", "_rn"), maint)
+    counted = blocked(_timed(df), KEY, "_us", max(rows), _error_columns(rows), base=base)
+    return days_since_maintenance(counted.drop("_us", "_rn"), maint, base=base)

@@ -33,6 +33,11 @@ def _readings(t: Tables) -> DataFrame:
     return timed(t.telemetry.drop("event_id"))
 
 
+def _base(t: Tables) -> DataFrame:
+    """Only key and time of the readings: where passes after the first count rows."""
+    return timed(t.telemetry.select("machineID", "datetime")).select("machineID", "_us")
+
+
 def _finish(df: DataFrame) -> DataFrame:
     return standardise(df.drop("_us", "_kind"))
 
@@ -63,13 +68,16 @@ def _failure_marks(t: Tables, hours: int) -> tuple[DataFrame, dict[str, str]]:
     return marks, {c: f"f_{c}" for c in COMPONENTS}
 
 
-def _count_active(rows: DataFrame, marks: DataFrame, names: list[str]) -> DataFrame:
+def _count_active(
+    rows: DataFrame, marks: DataFrame, names: list[str], base: DataFrame
+) -> DataFrame:
     out = running(
         beside(rows, marks),
         ["machineID"],
         [F.col("_us"), F.col("_kind")],
         {f"n_{c}": ("sum", F.col(c)) for c in names},
         span_of("_us", DAY_US),
+        totals_of=beside(base, marks),
     ).filter("_kind = 1")
     return out.drop("_kind", *names).fillna(0, [f"n_{c}" for c in names])
 
@@ -123,13 +131,15 @@ def maintenance_features(t: Tables, p: Params, days: int = 7) -> DataFrame:
     """Maintenance in the ``days`` up to each reading: count and components."""
     marks, comps = _maint_marks(t, days)
     rows = _readings(t).select("machineID", "datetime", "_us")
-    return _finish(_with_maintenance(_count_active(rows, marks, list(comps.values())), comps))
+    counted = _count_active(rows, marks, list(comps.values()), _base(t))
+    return _finish(_with_maintenance(counted, comps))
 
 
 def _labelled(t: Tables, rows: DataFrame, hours: int) -> DataFrame:
     marks, comps = _failure_marks(t, hours)
-    counted = _count_active(rows, marks, [*comps.values(), "f_any"])
-    return _with_labels(next_time(counted, timed(t.failures), "_next"), comps)
+    counted = _count_active(rows, marks, [*comps.values(), "f_any"], _base(t))
+    ahead = next_time(counted, timed(t.failures), "_next", base=_base(t))
+    return _with_labels(ahead, comps)
 
 
 def failure_labels(t: Tables, p: Params, hours: int = 24) -> DataFrame:
@@ -175,8 +185,8 @@ def master_table(t: Tables, p: Params, hours: int = 24, days: int = 7) -> DataFr
         errors, allowMissingColumns=True
     )
     names = [*maint_comps.values(), *fail_comps.values(), "f_any", "e_any"]
-    counted = _count_active(_readings(t), marks, names)
-    ahead = next_time(counted, timed(t.failures), "_next")
+    counted = _count_active(_readings(t), marks, names, _base(t))
+    ahead = next_time(counted, timed(t.failures), "_next", base=_base(t))
     full = _with_labels(_with_maintenance(ahead, maint_comps), fail_comps)
     full = (
         full.withColumn("_hour", F.date_trunc("hour", "datetime"))

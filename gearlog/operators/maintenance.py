@@ -73,7 +73,11 @@ def maintenance_effectiveness(t: Tables, p: Params) -> DataFrame:
         span_of("_us", 7 * DAY_US),
     ).filter("_kind = 1")
     found = next_time(
-        counted.filter("_active > 0").drop("_kind", "_n"), failures, "_next", 7 * DAY_US
+        counted.filter("_active > 0").drop("_kind", "_n"),
+        failures,
+        "_next",
+        7 * DAY_US,
+        base=visits.select("machineID", "_us"),
     )
     return found.select(
         "machineID",

@@ -9,29 +9,32 @@ from ..functions.spans import numbered, row_blocks
 from ..operators import features as f
 from ..operators.labels import master_table
 from ..params import FEATURE_SENSORS, TREND_ROWS, Params
-from ..sources.tables import Tables
+from ..sources.tables import Tables, standardise
 
 
-def add_features(df: DataFrame, maint: DataFrame) -> DataFrame:
+def add_features(df: DataFrame, maint: DataFrame, readings: DataFrame) -> DataFrame:
     """All engineered columns on top of the master table.
 
     Narrow steps come first; the wide row-window and time-window steps each
-    shuffle the frame once, and the last ones need no shuffle.
+    shuffle the frame once, and the last ones need no shuffle. ``readings`` is
+    the narrow source (machine, time, sensors) of the same rows.
     """
-    df = f.days_since_maintenance(df, maint)
-    df = f.spectral(df)
-    df = f.cumulative_deviation(df)
-    df = f.baseline_zscore(df)
-    df = _row_windows(df)
+    base = readings.withColumn("_us", F.unix_micros("timestamp"))
+    df = f.days_since_maintenance(df, maint, base=base)
+    df = f.spectral(df, base=base)
+    df = f.cumulative_deviation(df, base=base)
+    df = f.baseline_zscore(df, base=base)
+    df = _row_windows(df, base)
     df = f.rolling_statistics(df)
     return f.calendar_features(f.interactions(df))
 
 
-def _row_windows(df: DataFrame) -> DataFrame:
+def _row_windows(df: DataFrame, base: DataFrame) -> DataFrame:
     alphas = list(f.EWMA.values())
     halo = max(max(TREND_ROWS), f._ewma_halo(alphas))
     timed = df.withColumn("_us", F.unix_micros("timestamp"))
-    wide = row_blocks(numbered(timed, f.KEY, "_us"), halo, f._ewma_block(alphas))
+    named = numbered(timed, f.KEY, "_us", base=base)
+    wide = row_blocks(named, halo, f._ewma_block(alphas))
     smooth = f._ewma_columns()
     wide = wide.withColumn("_i", smooth.pop("_i"))
     for group in (
@@ -47,7 +50,8 @@ def _row_windows(df: DataFrame) -> DataFrame:
 
 def build_features(t: Tables, p: Params, drop_null: bool = True) -> DataFrame:
     """The feature table; by default without rows that miss any column."""
-    wide = add_features(master_table(t, p), t.maint)
+    readings = standardise(t.telemetry).select("machine_id", "timestamp", *FEATURE_SENSORS)
+    wide = add_features(master_table(t, p), t.maint, readings)
     return wide.na.drop() if drop_null else wide
 
 
