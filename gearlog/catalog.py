@@ -10,14 +10,17 @@ from pyspark.sql import functions as F
 from .operators import (
     advanced,
     cost,
+    evaluate,
     explore,
     failures,
     features,
     fleet,
     health,
+    kpi,
     labels,
     maintenance,
     prepare,
+    quality,
 )
 from .params import FEATURE_SENSORS, FIXTURE
 from .plans.feature_table import build_features
@@ -67,6 +70,61 @@ def _split_times(t: Tables, p) -> DataFrame:
     return labels.temporal_split(_readings(t)).select("machine_id", "timestamp", "split")
 
 
+def pseudo_scores(t: Tables, p) -> DataFrame:
+    """Two deterministic "models" scoring every reading, for the evaluation operators."""
+    rows = labels.failure_labels(t, p, keep=("event_id",))
+    models = F.array(
+        *[
+            F.struct(F.lit(name).alias("model"), F.lit(step).cast("long").alias("step"))
+            for name, step in (("A", 7919), ("B", 104729))
+        ]
+    )
+    noise = ((F.col("event_id") * F.col("m.step")) % 1000) / F.lit(1600.0)
+    score = F.lit(0.05) + F.lit(0.4) * F.col("failure_label") + noise
+    return rows.withColumn("m", F.explode(models)).select(
+        "machine_id",
+        "timestamp",
+        "m.model",
+        F.col("failure_label").alias("label"),
+        F.least(F.lit(0.99), score).alias("probability"),
+        (F.least(F.lit(0.99), score) >= 0.5).cast("int").alias("prediction"),
+        "time_to_failure_hours",
+    )
+
+
+def _evaluated(fn) -> Query:
+    return lambda spark, folder: fn(pseudo_scores(bind(spark, folder), FIXTURE))
+
+
+def _vote(df: DataFrame) -> DataFrame:
+    return evaluate.ensemble_vote(df, ["machine_id", "timestamp"], {"A": 2.0, "B": 1.0})
+
+
+def _strategies(fn) -> Callable:
+    """Cost operators fed with measured recall and precision of model A."""
+
+    def run(t: Tables, p) -> DataFrame:
+        scores = pseudo_scores(t, p).filter("model = 'A'")
+        m = evaluate.classification_metrics(scores).select(F.struct("recall", "precision")).scalar()
+        return fn(kpi.segments(t, p), p, m["recall"], m["precision"])
+
+    return run
+
+
+def _drift(t: Tables, p) -> DataFrame:
+    old = t.telemetry.filter(F.col("datetime") < F.lit(p.reference_before).cast("timestamp"))
+    new = t.telemetry.filter(F.col("datetime") >= F.lit(p.recent_from).cast("timestamp"))
+    return quality.ks_drift(old, new)
+
+
+def _pivot_rows(t: Tables, p) -> DataFrame:
+    wide = kpi.health_pivot(t, p)
+    days = [c for c in wide.columns if c != "machineID"]
+    return wide.unpivot(["machineID"], days, "day", "health_score").filter(
+        "health_score is not null"
+    )
+
+
 HISTORY: dict[str, Callable] = {
     "error_features": labels.error_features,
     "maintenance_features": labels.maintenance_features,
@@ -82,6 +140,28 @@ HISTORY: dict[str, Callable] = {
     "robust_scaled": lambda t, p: prepare.robust_scaled(_readings(t)),
     "sequences": _sequence_rows,
     "sequence_split": lambda t, p: prepare.sequence_split(_sequences(t, p)).drop("steps"),
+    "validate_telemetry": lambda t, p: quality.validate_telemetry(
+        t.telemetry, arrival="event_id"
+    ),
+    "loader_checks": lambda t, p: quality.loader_checks(t.telemetry, arrival="event_id"),
+    "ks_drift": _drift,
+    "health_pivot": _pivot_rows,
+    "health_timeline": kpi.health_timeline,
+    "health_timeline_machines": lambda t, p: kpi.health_timeline(t, p, per_machine=True),
+    "score_histogram": kpi.score_histogram,
+    "machine_groups": kpi.machine_groups,
+    "event_slice_trends": kpi.event_slice_trends,
+    "fleet_kpi_cards": kpi.fleet_kpi_cards,
+    "risk_bands": kpi.risk_bands,
+    "risk_counts": kpi.risk_counts,
+    "at_risk_topk": kpi.at_risk_topk,
+    "machine_card": kpi.machine_card,
+    "alerts": kpi.alerts,
+    "monthly_cost_by_strategy": kpi.monthly_cost_by_strategy,
+    "cost_by_component": kpi.cost_by_component,
+    "strategy_costs": _strategies(kpi.strategy_costs),
+    "strategy_roi_summary": _strategies(kpi.strategy_roi_summary),
+    "roi_grid": lambda t, p: kpi.roi_grid(kpi.segments(t, p), p),
     "build_features": lambda t, p: build_features(t, p, drop_null=False),
 }
 
@@ -179,5 +259,27 @@ def queries() -> dict[str, Query]:
         features.calendar_features,
     ):
         out[fn.__name__] = _feature(fn)
+    for fn in (
+        evaluate.confusion_counts,
+        evaluate.classification_metrics,
+        evaluate.roc_auc,
+        evaluate.average_precision,
+        evaluate.brier,
+        evaluate.cost_total,
+        evaluate.phm_score,
+        evaluate.lead_time,
+        evaluate.prognostic_horizon_rows,
+        evaluate.compare_models,
+        evaluate.threshold_table,
+        evaluate.cost_curve,
+        evaluate.roc_curve,
+        evaluate.pr_curve,
+        evaluate.calibration,
+        evaluate.model_report,
+        evaluate.confusion_cost_cells,
+        evaluate.tuned_threshold,
+    ):
+        out[fn.__name__] = _evaluated(fn)
+    out["ensemble_vote"] = _evaluated(_vote)
     out["failure_correlation_once"] = _on_tables(advanced.failure_correlation, once=True)
     return out

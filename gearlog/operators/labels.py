@@ -142,9 +142,14 @@ def _labelled(t: Tables, rows: DataFrame, hours: int) -> DataFrame:
     return _with_labels(ahead, comps)
 
 
-def failure_labels(t: Tables, p: Params, hours: int = 24) -> DataFrame:
-    """Label readings with a failure in (reading, reading + ``hours``]."""
-    rows = _readings(t).select("machineID", "datetime", "_us")
+def failure_labels(
+    t: Tables, p: Params, hours: int = 24, keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """Label readings with a failure in (reading, reading + ``hours``].
+
+    ``keep`` names telemetry columns to carry along.
+    """
+    rows = timed(t.telemetry.select("machineID", "datetime", *keep))
     return _finish(_labelled(t, rows, hours))
 
 
