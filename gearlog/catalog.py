@@ -19,13 +19,18 @@ from .operators import (
     kpi,
     labels,
     maintenance,
+    modeling,
     prepare,
     quality,
 )
 from .params import FEATURE_SENSORS, FIXTURE
-from .plans.feature_table import build_features
-from .sources.bindings import bind
-from .sources.tables import Tables, standardise
+from .plans.feature_table import NOT_FEATURES, build_features
+from .sources.bindings import EVENTS, bind, telemetry_of
+from .sources.shared import shared_path
+from .sources.sinks import write_csv, write_features
+from .sources.tables import FILES, Tables, read_csv_tables, standardise
+from .streaming import jobs
+from .streaming import readings as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -125,6 +130,110 @@ def _pivot_rows(t: Tables, p) -> DataFrame:
     )
 
 
+def _parquet_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """Readings through the partitioned feature sink and back."""
+    path = shared_path(spark, "features")
+    write_features(_readings(bind(spark, folder)), path)
+    return spark.read.parquet(path)
+
+
+def _csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """All five tables through CSV and back, joined to one row set by table."""
+    t, path = bind(spark, folder), shared_path(spark, "csv")
+    for name, file in FILES.items():
+        df = getattr(t, name)
+        write_csv(df.drop("event_id"), f"{path}/{file}")
+    back = read_csv_tables(spark, path)
+    logs = None
+    for name, what in (("errors", "errorID"), ("maint", "comp"), ("failures", "failure")):
+        df = getattr(back, name).select(
+            F.lit(name).alias("source"), "datetime", "machineID", F.col(what).alias("what")
+        )
+        logs = df if logs is None else logs.unionByName(df)
+    readings = back.telemetry.select(
+        F.lit("telemetry").alias("source"),
+        "datetime",
+        "machineID",
+        F.lit(None).cast("string").alias("what"),
+        (F.col("volt") + F.col("rotate") + F.col("pressure") + F.col("vibration")).alias("x"),
+    )
+    machines = back.machines.select(
+        F.lit("machines").alias("source"),
+        "machineID",
+        F.col("model").alias("what"),
+        F.col("age").cast("double").alias("x"),
+    )
+    out = readings.unionByName(logs, allowMissingColumns=True)
+    return out.unionByName(machines, allowMissingColumns=True)
+
+
+def _stream(spark: SparkSession, folder: str) -> DataFrame:
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    return telemetry_of(streams.read_files(spark, folder, EVENTS, "events.parquet"))
+
+
+WINDOW_KEY = ["machineID", "window_start"]
+
+
+def _windows(name: str, fn) -> Query:
+    return lambda spark, folder: jobs.update_to(
+        fn(_stream(spark, folder)), jobs.new_run(spark, name), WINDOW_KEY
+    )
+
+
+def _stream_prefilter(spark: SparkSession, folder: str) -> DataFrame:
+    old = F.col("datetime") < F.lit(FIXTURE.reference_before).cast("timestamp")
+    baseline = (
+        bind(spark, folder)
+        .telemetry.filter(old)
+        .groupBy("machineID")
+        .agg(F.avg("vibration").alias("mean"), F.stddev("vibration").alias("std"))
+    )
+    found = streams.prefilter(_stream(spark, folder), baseline, sigmas=2.0)
+    return jobs.append_to(found, jobs.new_run(spark, "prefilter"))
+
+
+STREAMS: dict[str, Query] = {
+    "stream_tumbling": _windows("hours", streams.tumbling),
+    "stream_tumbling_5min": _windows("minutes", lambda r: streams.tumbling(r, "5 minutes")),
+    "stream_sliding": _windows("sliding", streams.sliding),
+    "stream_downsample": _windows("days", streams.downsample),
+    "stream_prefilter": _stream_prefilter,
+    "stream_quality": lambda spark, folder: jobs.append_to(
+        streams.quality(_stream(spark, folder)), jobs.new_run(spark, "quality")
+    ),
+    "stream_ewma_state": lambda spark, folder: jobs.smooth_to(
+        _stream(spark, folder), jobs.new_run(spark, "ewma")
+    ).drop(*FEATURE_SENSORS),
+}
+
+# Sizes of the trained check models; the library's defaults are the full ones.
+CHECK_GBT = {"trees": 10, "depth": 4}
+CHECK_FOREST = {"trees": 10, "depth": 6}
+
+
+def _model_rows(t: Tables, p) -> tuple[DataFrame, list[str]]:
+    df = modeling.three_way_split(features.calendar_features(labels.master_table(t, p)))
+    return df, [*FEATURE_SENSORS, *modeling.numeric_columns(df, NOT_FEATURES)]
+
+
+def _predictions(train, **settings) -> Callable:
+    def run(t: Tables, p) -> DataFrame:
+        df, names = _model_rows(t, p)
+        model = train(df, names, **settings)
+        return modeling.predict(model, df.filter("split = 'test'")).select(
+            "machine_id", "timestamp", modeling.LABEL, "probability", "prediction"
+        )
+
+    return run
+
+
+def _importance(t: Tables, p) -> DataFrame:
+    df, names = _model_rows(t, p)
+    model = modeling.train_forest(df, names, **CHECK_FOREST)
+    return modeling.feature_importance(df.sparkSession, model, names)
+
+
 HISTORY: dict[str, Callable] = {
     "error_features": labels.error_features,
     "maintenance_features": labels.maintenance_features,
@@ -162,6 +271,10 @@ HISTORY: dict[str, Callable] = {
     "strategy_costs": _strategies(kpi.strategy_costs),
     "strategy_roi_summary": _strategies(kpi.strategy_roi_summary),
     "roi_grid": lambda t, p: kpi.roi_grid(kpi.segments(t, p), p),
+    "gbt_predictions": _predictions(modeling.train_gbt, **CHECK_GBT),
+    "forest_predictions": _predictions(modeling.train_forest, **CHECK_FOREST),
+    "feature_importance": _importance,
+    "time_series_folds": lambda t, p: modeling.fold_sizes(labels.failure_labels(t, p)),
     "build_features": lambda t, p: build_features(t, p, drop_null=False),
 }
 
@@ -280,6 +393,9 @@ def queries() -> dict[str, Query]:
         evaluate.tuned_threshold,
     ):
         out[fn.__name__] = _evaluated(fn)
+    out["parquet_roundtrip"] = _parquet_roundtrip
+    out["csv_roundtrip"] = _csv_roundtrip
+    out |= STREAMS
     out["ensemble_vote"] = _evaluated(_vote)
     out["failure_correlation_once"] = _on_tables(advanced.failure_correlation, once=True)
     return out

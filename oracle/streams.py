@@ -1 +1,68 @@
-SQL: dict[str, str] = {}
+from .features import _ewma
+from .history import READINGS, label_ctes
+
+SENSORS = ("volt", "rotate", "pressure", "vibration")
+STATS = ", ".join(
+    f"avg({s}) AS {s}_mean, stddev_samp({s}) AS {s}_std, min({s}) AS {s}_min, max({s}) AS {s}_max"
+    for s in SENSORS
+)
+
+
+def _tumbling(width: str) -> str:
+    return f"""
+SELECT machineID, time_bucket(INTERVAL {width}, datetime) AS window_start,
+       time_bucket(INTERVAL {width}, datetime) + INTERVAL {width} AS window_end,
+       count(*) AS readings, {STATS}
+FROM pdm_telemetry GROUP BY ALL
+"""
+
+
+SQL = {
+    "stream_tumbling": _tumbling("1 HOUR"),
+    "stream_tumbling_5min": _tumbling("5 MINUTE"),
+    "stream_downsample": _tumbling("24 HOUR"),
+    "stream_sliding": f"""
+hops AS (
+  SELECT t.*, CAST(date_trunc('hour', datetime) AS TIMESTAMP) - to_hours(CAST(h.range AS BIGINT)) AS window_start
+  FROM pdm_telemetry t, range(24) h
+)
+---
+SELECT machineID, window_start, window_start + INTERVAL 24 HOUR AS window_end,
+       count(*) AS readings, {STATS}
+FROM hops GROUP BY machineID, window_start
+""",
+    "stream_prefilter": """
+base AS (SELECT machineID, avg(vibration) AS m, nullif(stddev_samp(vibration), 0) AS s
+         FROM pdm_telemetry WHERE datetime < TIMESTAMP '2024-01-15' GROUP BY machineID)
+---
+SELECT machineID, datetime, vibration, (vibration - m) / s AS zscore
+FROM pdm_telemetry JOIN base USING (machineID) WHERE abs((vibration - m) / s) > 2
+""",
+    "stream_quality": """
+SELECT DISTINCT machineID, datetime, volt IS NULL OR rotate IS NULL OR vibration IS NULL AS has_missing,
+       volt < 0 OR rotate < 0 OR pressure < 0 OR vibration < 0 AS is_negative
+FROM pdm_telemetry
+""",
+    "stream_ewma_state": _ewma(),
+    "parquet_roundtrip": READINGS
+    + "---\nSELECT *, CAST(timestamp AS DATE) AS date FROM readings",
+    "csv_roundtrip": """
+SELECT 'telemetry' AS source, datetime, machineID, CAST(NULL AS VARCHAR) AS what,
+       volt + rotate + pressure + vibration AS x FROM pdm_telemetry
+UNION ALL SELECT 'errors', datetime, machineID, errorID, NULL FROM pdm_errors
+UNION ALL SELECT 'maint', datetime, machineID, comp, NULL FROM pdm_maint
+UNION ALL SELECT 'failures', datetime, machineID, failure, NULL FROM pdm_failures
+UNION ALL SELECT 'machines', NULL, machineID, model, age FROM pdm_machines
+""",
+    "time_series_folds": label_ctes()
+    + """,
+q AS (SELECT quantile_cont(CAST(epoch_us(timestamp) AS DOUBLE), [1/6::DOUBLE, 2/6::DOUBLE, 3/6::DOUBLE, 4/6::DOUBLE, 5/6::DOUBLE]) AS c
+      FROM labels),
+blocks AS (SELECT labels.*, len(list_filter(c, lambda x: x <= epoch_us(timestamp))) AS b FROM labels, q)
+---
+SELECT CAST(k.range AS INTEGER) AS fold, CASE WHEN b = k.range THEN 'test' ELSE 'train' END AS role,
+       count(*) AS n, min(timestamp) AS first_timestamp, max(timestamp) AS last_timestamp,
+       CAST(sum(failure_label) AS BIGINT) AS positives
+FROM blocks JOIN range(1, 6) k ON b <= k.range GROUP BY 1, 2
+""",
+}
