@@ -28,7 +28,7 @@ from .plans.feature_table import NOT_FEATURES, build_features
 from .sources.bindings import EVENTS, bind, telemetry_of
 from .sources.shared import shared_path
 from .sources.sinks import write_csv, write_features
-from .sources.tables import FILES, Tables, read_csv_tables, standardise
+from .sources.tables import FILES, SCHEMAS, Tables, read_csv_tables, standardise
 from .streaming import jobs
 from .streaming import readings as streams
 
@@ -141,8 +141,7 @@ def _csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """All five tables through CSV and back, joined to one row set by table."""
     t, path = bind(spark, folder), shared_path(spark, "csv")
     for name, file in FILES.items():
-        df = getattr(t, name)
-        write_csv(df.drop("event_id"), f"{path}/{file}")
+        write_csv(getattr(t, name).select(*SCHEMAS[name].names), f"{path}/{file}")
     back = read_csv_tables(spark, path)
     logs = None
     for name, what in (("errors", "errorID"), ("maint", "comp"), ("failures", "failure")):
@@ -213,7 +212,11 @@ CHECK_FOREST = {"trees": 10, "depth": 6}
 
 
 def _model_rows(t: Tables, p) -> tuple[DataFrame, list[str]]:
-    df = modeling.three_way_split(features.calendar_features(labels.master_table(t, p)))
+    """The training table; it is written once, since training reads it many times."""
+    table = features.calendar_features(labels.master_table(t, p))
+    path = shared_path(table.sparkSession, "training")
+    write_features(table, path)
+    df = modeling.three_way_split(table.sparkSession.read.parquet(path).drop("date"))
     return df, [*FEATURE_SENSORS, *modeling.numeric_columns(df, NOT_FEATURES)]
 
 

@@ -11,7 +11,8 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -54,78 +55,165 @@ def _timed(df: DataFrame) -> DataFrame:
 # ---- time windows -------------------------------------------------------------
 
 
-def _time_windows(df: DataFrame, hours, build) -> DataFrame:
-    """Add ``build(sensor, hours, window, enough)`` columns for time windows (t-w, t]."""
-    longest = max(hours) * HOUR_US
-    wide = with_halo(_timed(df), "_us", 4 * longest, before=longest)
-    order = Window.partitionBy(*KEY, "_span").orderBy("_us")
-    for w in hours:
-        frame = order.rangeBetween(1 - w * HOUR_US, 0)
-        need = max(2, w // 6)
-        columns: dict[str, Column] = {}
-        for s in FEATURE_SENSORS:
-            enough = F.count(s).over(frame) >= need
-            columns |= {n: F.when(enough, e) for n, e in build(s, w, frame).items()}
-        wide = wide.withColumns(columns)
-    return wide.filter("_own").drop("_span", "_own", "_us")
+# Each builder gives its columns in stages, because an expression that is used
+# several times is cheap as a column and expensive as a repeated tree: ``prepare``
+# per reading, ``raw`` aggregates per window, ``middle`` and ``final`` per row.
 
 
-def _moments(s: str, w: int, frame) -> dict[str, Column]:
-    low, high = F.min(s).over(frame), F.max(s).over(frame)
-    return {
-        f"{s}_mean_{w}h": F.avg(s).over(frame),
-        f"{s}_std_{w}h": F.stddev_samp(s).over(frame),
-        f"{s}_min_{w}h": low,
-        f"{s}_max_{w}h": high,
-        f"{s}_range_{w}h": high - low,
-    }
+class _Moments:
+    def prepare(self, order, longest) -> dict[str, Column]:
+        return {}
 
+    def raw(self, s: str, w: int, frame) -> dict[str, Column]:
+        return {
+            f"_low_{s}_{w}": F.min(s).over(frame),
+            f"_high_{s}_{w}": F.max(s).over(frame),
+            f"_mean_{s}_{w}": F.avg(s).over(frame),
+            f"_std_{s}_{w}": F.stddev_samp(s).over(frame),
+        }
 
-def _shape(s: str, w: int, frame) -> dict[str, Column]:
-    """Bias-corrected skewness and excess kurtosis; null for a constant window."""
-    n = F.count(s).over(frame).cast("double")
-    g1, g2 = F.skewness(s).over(frame), F.kurtosis(s).over(frame)
-    skew = F.sqrt(n * (n - 1)) / F.nullif(n - 2, F.lit(0.0)) * g1
-    scale = (n - 1) / F.nullif((n - 2) * (n - 3), F.lit(0.0))
-    varies = F.max(s).over(frame) > F.min(s).over(frame)
-    return {
-        f"{s}_skew_{w}h": F.when(varies & (n >= 3), skew),
-        f"{s}_kurtosis_{w}h": F.when(varies & (n >= 4), scale * ((n + 1) * g2 + 6)),
-    }
+    def middle(self, s: str, w: int) -> list[dict[str, str]]:
+        return []
+
+    def final(self, s: str, w: int) -> dict[str, str]:
+        x = f"{s}_{w}"
+        return {
+            f"{s}_mean_{w}h": f"_mean_{x}",
+            f"{s}_std_{w}h": f"_std_{x}",
+            f"{s}_min_{w}h": f"_low_{x}",
+            f"{s}_max_{w}h": f"_high_{x}",
+            f"{s}_range_{w}h": f"_high_{x} - _low_{x}",
+        }
 
 
-def _quantiles(s: str, w: int, frame) -> dict[str, Column]:
-    q = F.percentile(s, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).over(frame)
-    return {
-        f"{s}_q25_{w}h": q[0],
-        f"{s}_q50_{w}h": q[1],
-        f"{s}_q75_{w}h": q[2],
-        f"{s}_iqr_{w}h": q[2] - q[0],
-    }
+class _Shape:
+    """Bias-corrected skewness and excess kurtosis; null for a constant window.
+
+    Sums of powers cost a fraction of the built-in aggregates in a sliding
+    frame. Values are taken off the mean of their span, so they lose no digits.
+    """
+
+    def prepare(self, order, longest) -> dict[str, Column]:
+        whole = Window.partitionBy(*KEY, "_span")
+        return {f"_d_{s}": F.col(s) - F.avg(s).over(whole) for s in FEATURE_SENSORS}
+
+    def raw(self, s: str, w: int, frame) -> dict[str, Column]:
+        d = F.col(f"_d_{s}")
+        return {
+            f"_low_{s}_{w}": F.min(s).over(frame),
+            f"_high_{s}_{w}": F.max(s).over(frame),
+            f"_s1_{s}_{w}": F.sum(d).over(frame),
+            f"_s2_{s}_{w}": F.sum(d * d).over(frame),
+            f"_s3_{s}_{w}": F.sum(d * d * d).over(frame),
+            f"_s4_{s}_{w}": F.sum(d * d * d * d).over(frame),
+        }
+
+    def middle(self, s: str, w: int) -> list[dict[str, str]]:
+        x = f"{s}_{w}"
+        mean = {f"_m_{x}": f"try_divide(_s1_{x}, _n_{x})"}
+        central = {
+            f"_m2_{x}": f"_s2_{x} - _s1_{x} * _m_{x}",
+            f"_m3_{x}": f"_s3_{x} - 3 * _m_{x} * _s2_{x} + 2 * _n_{x} * pow(_m_{x}, 3)",
+            f"_m4_{x}": f"_s4_{x} - 4 * _m_{x} * _s3_{x} + 6 * pow(_m_{x}, 2) * _s2_{x}"
+            f" - 3 * _n_{x} * pow(_m_{x}, 4)",
+        }
+        return [mean, central]
+
+    def final(self, s: str, w: int) -> dict[str, str]:
+        x = f"{s}_{w}"
+        n, varies = f"_n_{x}", f"_high_{x} > _low_{x}"
+        skew = f"try_divide({n} * sqrt({n} - 1) * _m3_{x}, ({n} - 2) * pow(_m2_{x}, 1.5D))"
+        ratio = f"try_divide({n} * ({n} + 1) * _m4_{x}, pow(_m2_{x}, 2)) - 3 * ({n} - 1)"
+        kurt = f"try_divide(({n} - 1) * ({ratio}), ({n} - 2) * ({n} - 3))"
+        return {
+            f"{s}_skew_{w}h": f"if({varies} and {n} >= 3, {skew}, null)",
+            f"{s}_kurtosis_{w}h": f"if({varies} and {n} >= 4, {kurt}, null)",
+        }
+
+
+class _Quantiles:
+    """Quartiles, interpolated between the two values around their position.
+
+    The values of the longest window are listed once in time order; each shorter
+    window is the tail of that list.
+    """
+
+    def prepare(self, order, longest) -> dict[str, Column]:
+        frame = order.rangeBetween(1 - longest, 0)
+        return {f"_l_{s}": F.collect_list(s).over(frame) for s in FEATURE_SENSORS}
+
+    def raw(self, s: str, w: int, frame) -> dict[str, Column]:
+        return {}
+
+    def middle(self, s: str, w: int) -> list[dict[str, str]]:
+        x = f"{s}_{w}"
+        n = f"cast(greatest(_n_{x}, 1) as int)"
+        ordered = {f"_o_{x}": f"sort_array(slice(_l_{s}, -{n}, {n}))"}
+        # the k-th quartile lies k * (n - 1) quarter positions into the list
+        place = f"k * (size(_o_{x}) - 1)"
+        below = f"get(_o_{x}, shiftright({place}, 2))"
+        above = f"coalesce(get(_o_{x}, shiftright({place}, 2) + 1), {below})"
+        spot = f"{below} + ({place} & 3) / 4.0D * ({above} - {below})"
+        return [ordered, {f"_q_{x}": f"transform(array(1, 2, 3), k -> {spot})"}]
+
+    def final(self, s: str, w: int) -> dict[str, str]:
+        q = f"_q_{s}_{w}"
+        return {
+            f"{s}_q25_{w}h": f"{q}[0]",
+            f"{s}_q50_{w}h": f"{q}[1]",
+            f"{s}_q75_{w}h": f"{q}[2]",
+            f"{s}_iqr_{w}h": f"{q}[2] - {q}[0]",
+        }
+
+
+def _time_windows(df: DataFrame, hours, builders) -> DataFrame:
+    """Add the builders' columns for time windows (t-w, t], null below w//6 readings."""
+    longest = max(hours) * HOUR_US
+    wide = with_halo(_timed(df), "_us", 4 * longest, before=longest)
+    order = Window.partitionBy(*KEY, "_span").orderBy("_us")
+    helpers: dict[str, Column] = {}
+    raw: dict[str, Column] = {}
+    middle: list[dict[str, Column]] = [{}, {}]
+    final: list[Column] = []
+    for build in builders:
+        helpers |= build.prepare(order, longest)
+    for w in hours:
+        frame = order.rangeBetween(1 - w * HOUR_US, 0)
+        for s in FEATURE_SENSORS:
+            n = f"_n_{s}_{w}"
+            raw[n] = F.count(s).over(frame).cast("double")
+            for build in builders:
+                raw |= build.raw(s, w, frame)
+                for stage, columns in zip(middle, build.middle(s, w)):
+                    stage |= {c: F.expr(e) for c, e in columns.items()}
+                for c, e in build.final(s, w).items():
+                    final.append(F.expr(f"if({n} >= {max(2, w // 6)}, {e}, null)").alias(c))
+    for stage in (helpers, raw):
+        wide = wide.withColumns(stage) if stage else wide
+    wide = wide.filter("_own").drop("_span", "_own", "_us")
+    for stage in middle:
+        wide = wide.withColumns(stage) if stage else wide
+    return wide.select(*df.columns, *final)
 
 
 def rolling_moments(df: DataFrame, hours=ROLLING_HOURS) -> DataFrame:
     """Mean, deviation, minimum, maximum and range over trailing hours."""
-    return _time_windows(df, hours, _moments)
+    return _time_windows(df, hours, [_Moments()])
 
 
 def rolling_shape(df: DataFrame, hours=ROLLING_HOURS) -> DataFrame:
     """Skewness and kurtosis over trailing hours."""
-    return _time_windows(df, hours, _shape)
+    return _time_windows(df, hours, [_Shape()])
 
 
 def rolling_quantiles(df: DataFrame, hours=ROLLING_HOURS) -> DataFrame:
     """Quartiles and their distance over trailing hours."""
-    return _time_windows(df, hours, _quantiles)
+    return _time_windows(df, hours, [_Quantiles()])
 
 
 def rolling_statistics(df: DataFrame, hours=ROLLING_HOURS) -> DataFrame:
     """All eleven rolling statistics in one pass."""
-    return _time_windows(
-        df,
-        hours,
-        lambda s, w, f: _moments(s, w, f) | _shape(s, w, f) | _quantiles(s, w, f),
-    )
+    return _time_windows(df, hours, [_Moments(), _Shape(), _Quantiles()])
 
 
 # ---- row windows --------------------------------------------------------------
@@ -153,21 +241,71 @@ def _lag_columns(rows=LAG_ROWS) -> dict[str, Column]:
     return {f"{s}_lag_{k}h": F.lag(s, k).over(w) for s in FEATURE_SENSORS for k in rows}
 
 
+def _trend_sums() -> tuple[dict[str, Column], dict[str, Column]]:
+    """Running sums inside a block that every trend window is a difference of."""
+    w = block_window(KEY)
+    upto = w.rowsBetween(Window.unboundedPreceding, 0)
+    i = F.row_number().over(w).cast("double")
+    out: dict[str, Column] = {"_i": i}
+    for s in FEATURE_SENSORS:
+        whole = Window.partitionBy(*KEY, "_block")
+        d = F.col(s) - F.avg(s).over(whole)
+        moved = F.coalesce(F.col(s) != F.lag(s).over(w), F.lit(False)).cast("int")
+        out |= {
+            f"_t_{s}": F.struct(
+                d.alias("d"), moved.alias("moved"), F.col(s).isNull().cast("int").alias("gone")
+            )
+        }
+    sums: dict[str, Column] = {}
+    for s in FEATURE_SENSORS:
+        t = F.col(f"_t_{s}")
+        sums |= {
+            f"_y_{s}": F.sum(t["d"]).over(upto),
+            f"_yy_{s}": F.sum(t["d"] * t["d"]).over(upto),
+            f"_xy_{s}": F.sum(t["d"] * F.col("_i")).over(upto),
+            f"_moved_{s}": F.sum(t["moved"]).over(upto),
+            f"_gone_{s}": F.sum(t["gone"]).over(upto),
+        }
+    return out, sums
+
+
 def _trend_columns(rows=TREND_ROWS) -> dict[str, Column]:
+    """Least squares over the last rows; positions are 0, 1, 2, ... so their sums
+    are known and only the sensor sums have to slide."""
+    w = block_window(KEY)
     out: dict[str, Column] = {}
     for k in rows:
-        frame = block_window(KEY).rowsBetween(1 - k, 0)
-        first = F.greatest(F.col("_rn") - (k - 1), F.lit(1))
+        n = F.least(F.col("_rn"), F.lit(k)).cast("double")
+        sxx = n * (n * n - 1) / 12
+        middle = F.col("_i") - (n - 1) / 2
         for s in FEATURE_SENSORS:
-            enough = F.count(s).over(frame) >= max(6, k // 4, k // 2)
-            slope = F.regr_slope(s, "_rn").over(frame)
-            start = F.regr_intercept(s, "_rn").over(frame) + slope * first
-            out[f"{s}_slope_{k}h"] = F.when(enough, slope)
-            out[f"{s}_intercept_{k}h"] = F.when(enough, start)
-            out[f"{s}_r2_{k}h"] = F.when(enough, F.regr_r2(s, "_rn").over(frame))
+
+            def over_window(name: str, back: int = k) -> Column:
+                before = F.coalesce(F.lag(f"{name}_{s}", back).over(w), F.lit(0))
+                return F.col(f"{name}_{s}") - before
+
+            y, yy, xy = over_window("_y"), over_window("_yy"), over_window("_xy")
+            flat = (F.col(f"_moved_{s}") - F.coalesce(
+                F.lag(f"_moved_{s}", k - 1).over(w), F.first(f"_moved_{s}").over(w)
+            )) == 0
+            sxy = xy - middle * y
+            syy = yy - y * y / n
+            usable = (n >= max(6, k // 4, k // 2)) & (over_window("_gone") == 0)
+            slope = F.when(flat, 0.0).otherwise(F.try_divide(sxy, sxx))
+            mean = F.col(s) - F.col(f"_t_{s}")["d"] + y / n
+            fit = F.least(F.lit(1.0), F.try_divide(sxy * sxy, sxx * syy))
+            out[f"{s}_slope_{k}h"] = F.when(usable, slope)
+            out[f"{s}_intercept_{k}h"] = F.when(usable, mean - slope * (n - 1) / 2)
+            out[f"{s}_r2_{k}h"] = F.when(usable, F.when(flat, 1.0).otherwise(fit))
     return out
 
 
+def _with_trends(blocks: DataFrame, rows=TREND_ROWS) -> DataFrame:
+    first, sums = _trend_sums()
+    wide = blocks.withColumns(first).withColumns(sums).withColumns(_trend_columns(rows))
+    return wide.drop(*first, *sums)
+
+
 def _corr_columns() -> dict[str, Column]:
     frame = block_window(KEY).rowsBetween(-23, 0)
     out = {}
@@ -237,8 +375,8 @@ def lags(df: DataFrame, rows=LAG_ROWS) -> DataFrame:
 
 def trend_slopes(df: DataFrame, rows=TREND_ROWS) -> DataFrame:
     """Slope, value at window start and fit of a line through the last rows."""
-    out = blocked(_timed(df), KEY, "_us", max(rows), _trend_columns(rows))
-    return out.drop("_us", "_rn")
+    blocks = row_blocks(numbered(_timed(df), KEY, "_us"), max(rows))
+    return _with_trends(blocks, rows).filter("_own").drop("_us", "_rn", "_block", "_own")
 
 
 def rolling_corr(df: DataFrame) -> DataFrame:
@@ -303,21 +441,21 @@ def spectral(
     )
     keep = df.columns
 
-    def one_block(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_rn")
-        out = pdf[keep].copy()
-        block = {n: np.full(len(pdf), np.nan) for n in names}
-        if len(pdf) > rows:
-            for s in FEATURE_SENSORS:
-                views = np.lib.stride_tricks.sliding_window_view(pdf[s].to_numpy(), rows)
-                found = _spectrum(views[:-1])
-                for j, k in enumerate(SPECTRAL):
-                    block[f"{s}_{k}"][rows:] = found[:, j]
-        out[names] = pd.DataFrame(block, index=out.index)
-        return out[pdf["_own"].to_numpy()]
-
-    found = blocks.groupBy(*KEY, "_block").applyInPandas(one_block, schema)
-    return found.withColumns({n: F.nanvl(n, F.lit(None).cast("double")) for n in names})
+    def one_block(block: pa.Table) -> pa.Table:
+        block = block.take(pc.sort_indices(block["_rn"]))
+        out = block.select(keep)
+        for s in FEATURE_SENSORS:
+            found = np.full((len(block), len(SPECTRAL)), np.nan)
+            if len(block) > rows:
+                values = block[s].to_numpy()
+                views = np.lib.stride_tricks.sliding_window_view(values, rows)
+                found[rows:] = _spectrum(views[:-1])
+            for j, k in enumerate(SPECTRAL):
+                column = pa.array(found[:, j], from_pandas=True)  # NaN becomes null
+                out = out.append_column(f"{s}_{k}", column)
+        return out.filter(block["_own"])
+
+    return blocks.groupBy(*KEY, "_block").applyInArrow(one_block, schema)
 
 
 # ---- sensors against each other and against the past --------------------------

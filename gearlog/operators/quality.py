@@ -128,15 +128,14 @@ def validate_telemetry(
         *[F.stddev_samp(s).alias(f"{s}_std") for s in SENSORS],
     )
     fleet = one_row(stats)
+    off = {
+        s: F.abs(F.col(s) - F.col("_fleet")[f"{s}_mean"]) > sigmas * F.col("_fleet")[f"{s}_std"]
+        for s in SENSORS
+    }
     far = one_row(
-        df.agg(
+        df.withColumn("_fleet", fleet).agg(
             *[
-                F.avg(
-                    F.coalesce(
-                        F.abs(F.col(s) - fleet[f"{s}_mean"]) > sigmas * fleet[f"{s}_std"],
-                        F.lit(False),
-                    ).cast("double")
-                ).alias(s)
+                F.avg(F.coalesce(off[s], F.lit(False)).cast("double")).alias(s)
                 for s in SENSORS
             ]
         )

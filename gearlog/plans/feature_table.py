@@ -35,11 +35,11 @@ def _row_windows(df: DataFrame, base: DataFrame) -> DataFrame:
     timed = df.withColumn("_us", F.unix_micros("timestamp"))
     named = numbered(timed, f.KEY, "_us", base=base)
     wide = row_blocks(named, halo, f._ewma_block(alphas))
+    wide = f._with_trends(wide)
     smooth = f._ewma_columns()
     wide = wide.withColumn("_i", smooth.pop("_i"))
     for group in (
         f._rate_columns(),
-        f._trend_columns(),
         f._corr_columns(),
         f._error_columns(),
         smooth,

@@ -89,6 +89,7 @@ def read_csv(
         spark.read.schema(SCHEMAS[table])
         .option("header", True)
         .option("mode", "FAILFAST")
+        .option("enforceSchema", False)  # the header must match the schema
         .csv(path)
     )
     return standardise(df) if standard else df
