@@ -54,18 +54,20 @@ def exact_quantiles(
     df: DataFrame, value: str, probs: dict[str, float], group: list[str]
 ) -> DataFrame:
     """Exact, linearly interpolated quantiles per group (few groups, many values)."""
-    if not group:
-        whole = exact_quantiles(df.withColumn("_all", F.lit(0)), value, probs, ["_all"])
-        return whole.drop("_all")
+    keys = group or ["_all"]
     counted = (
         df.filter(F.col(value).isNotNull())
         .groupBy(*group, value)
         .agg(F.count("*").alias("_n"))
     )
     totals = counted.groupBy(*group).agg(F.sum("_n").alias("_total"))
-    cum = cumulative(counted, value, ["_n"], group).join(totals, group)
+    if group:
+        cum = cumulative(counted, value, ["_n"], keys).join(totals, group)
+    else:
+        whole = counted.withColumn("_all", F.lit(0))
+        cum = cumulative(whole, value, ["_n"], keys).withColumn("_total", totals.scalar())
     spots = {n: (F.col("_total") - 1) * F.lit(p) for n, p in probs.items()}
-    ends = cum.groupBy(*group).agg(
+    ends = cum.groupBy(*keys).agg(
         *[
             F.min(F.when(F.col("cum__n") > F.floor(h), F.col(value))).alias(f"_lo_{n}")
             for n, h in spots.items()
