@@ -89,20 +89,58 @@ def prefailure_profile(
 
     At most ``rows`` latest readings count per failure. ``shared=True`` lets the
     components that fail at one moment share that limit.
+
+    Readings are numbered per machine and each failure knows the number of the
+    last reading before it, so the join is on row numbers and never meets more
+    than ``rows`` readings per failure, however dense they are.
     """
-    readings = timed(t.telemetry).drop("datetime")
-    near = interval_join(
-        readings, _before_failures(t, hours, 0), "machineID", "_us", "_from", "_to", 3 * DAY_US
+    bands = _before_failures(t, hours, 0)
+    marks = active_marks(
+        bands, F.col("_from"), F.col("_fail") + 1, {"_near": F.lit(1).cast("long")}
+    )
+    readings = timed(t.telemetry.select("machineID", "datetime", *SENSORS))
+    keys = readings.select("machineID", "_us")
+    order, span = [F.col("_us"), F.col("_kind")], span_of("_us", DAY_US)
+    is_row = (F.col("_kind") == 1).cast("long")
+    near = running(
+        beside(readings, marks),
+        ["machineID"],
+        order,
+        {"_rn": ("sum", is_row), "_active": ("sum", F.col("_near"))},
+        span,
+    ).filter("_kind = 1 and _active > 0")
+    ends = running(
+        beside(bands.withColumn("_us", F.col("_fail")), keys),
+        ["machineID"],
+        order,
+        {"_last": ("sum", 1 - is_row)},
+        span,
+    ).filter("_kind = 1").drop("_kind", "_us")
+    # several failures of one moment: how many there are and how many come first
+    moment = Window.partitionBy("machineID", "_fail")
+    ends = ends.withColumns(
+        {
+            "_all": F.sum("_times").over(moment),
+            "_first": F.sum("_times").over(moment.orderBy("failure")) - F.col("_times"),
+            "_low": F.col("_last") - (rows - 1),
+        }
     )
-    # a group is the readings of one machine in the hours before one failure
-    group = ["machineID", "_fail"] if shared else ["machineID", "_fail", "failure"]
-    order = [F.desc("_us"), F.asc("failure")]
-    nth = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
-    near = near.withColumn("_nth", nth).filter(F.col("_nth") <= rows)
+    found = interval_join(
+        near.select("machineID", "_us", "_rn", *SENSORS),
+        ends,
+        "machineID",
+        "_rn",
+        "_low",
+        "_last",
+        rows,
+    ).filter(F.col("_us") >= F.col("_from"))
     # failures logged twice at one moment count each reading twice
-    near = near.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_times")))
+    found = found.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_times")))
+    if shared:
+        place = (F.col("_last") - F.col("_rn")) * F.col("_all") + F.col("_first")
+        found = found.filter(place + F.col("_copy") <= rows)
     return (
-        near.groupBy("failure")
+        found.groupBy("failure")
         .agg(
             F.count("*").alias("sample_count"),
             F.avg("volt").alias("avg_prefailure_voltage"),

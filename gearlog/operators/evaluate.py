@@ -26,15 +26,19 @@ def _ratio(a: Column, b: Column) -> Column:
     return F.coalesce(F.try_divide(a.cast("double"), b.cast("double")), F.lit(0.0))
 
 
-def confusion_counts(df: DataFrame, by=BY) -> DataFrame:
-    """True and false positives and negatives."""
+def _confusion_aggs() -> list[Column]:
     y, d = F.col("label"), F.col("prediction")
-    return df.groupBy(*by).agg(
+    return [
         F.count_if((y == 1) & (d == 1)).alias("tp"),
         F.count_if((y == 0) & (d == 1)).alias("fp"),
         F.count_if((y == 1) & (d == 0)).alias("fn"),
         F.count_if((y == 0) & (d == 0)).alias("tn"),
-    )
+    ]
+
+
+def confusion_counts(df: DataFrame, by=BY) -> DataFrame:
+    """True and false positives and negatives."""
+    return df.groupBy(*by).agg(*_confusion_aggs())
 
 
 def _rates() -> dict[str, Column]:
@@ -60,33 +64,43 @@ def _cost(m: CostMatrix = COST, with_tn: bool = True) -> Column:
     return total + F.col("tn") * m.tn if with_tn else total
 
 
+def _sizes() -> dict[str, Column]:
+    tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
+    return {"n_samples": tp + fp + fn + tn, "n_positive": tp + fn, "n_negative": fp + tn}
+
+
+def _costs(costs: CostMatrix = COST) -> dict[str, Column]:
+    total = _cost(costs)
+    return {"cost_total": total, "cost_per_sample": total / _sizes()["n_samples"]}
+
+
+def _phm(early: float = 0.1, late: float = 1.0) -> Column:
+    r = _rates()
+    loss = (F.lit(early) * r["fpr"] + F.lit(late) * r["fnr"]) / (early + late)
+    return F.greatest(F.lit(0.0), F.lit(1.0) - loss)
+
+
+def _brier() -> Column:
+    error = F.pow(F.col("probability") - F.col("label"), F.lit(2))
+    return F.when(F.min("label") == F.max("label"), 1.0).otherwise(F.avg(error))
+
+
 def classification_metrics(df: DataFrame, by=BY) -> DataFrame:
     """Counts and rates of the decisions; a rate without cases is 0."""
-    n = F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")
-    return confusion_counts(df, by).select(
-        *by,
-        n.alias("n_samples"),
-        (F.col("tp") + F.col("fn")).alias("n_positive"),
-        (F.col("fp") + F.col("tn")).alias("n_negative"),
-        *[e.alias(n) for n, e in _rates().items()],
-    )
+    columns = _sizes() | _rates()
+    return confusion_counts(df, by).select(*by, *[e.alias(n) for n, e in columns.items()])
 
 
 def cost_total(df: DataFrame, by=BY, costs: CostMatrix = COST) -> DataFrame:
     """Cost of all decisions, in total and per row."""
-    n = F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")
     return confusion_counts(df, by).select(
-        *by, _cost(costs).alias("cost_total"), (_cost(costs) / n).alias("cost_per_sample")
+        *by, *[e.alias(n) for n, e in _costs(costs).items()]
     )
 
 
 def phm_score(df: DataFrame, by=BY, early: float = 0.1, late: float = 1.0) -> DataFrame:
     """Score that punishes missed failures more than false alarms, at best 1."""
-    r = _rates()
-    loss = (F.lit(early) * r["fpr"] + F.lit(late) * r["fnr"]) / (early + late)
-    return confusion_counts(df, by).select(
-        *by, F.greatest(F.lit(0.0), F.lit(1.0) - loss).alias("phm_score")
-    )
+    return confusion_counts(df, by).select(*by, _phm(early, late).alias("phm_score"))
 
 
 def score_counts(df: DataFrame, by=BY) -> DataFrame:
@@ -100,9 +114,7 @@ def score_counts(df: DataFrame, by=BY) -> DataFrame:
 def _ranked(df: DataFrame, by) -> DataFrame:
     """Per distinct score, the rows at or above it and the totals of the group."""
     counted = score_counts(df, by)
-    totals = df.groupBy(*by).agg(
-        F.count_if(F.col("label") == 1).alias("P"), F.count_if(F.col("label") == 0).alias("N")
-    )
+    totals = counted.groupBy(*by).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     return cumulative(counted, "probability", ["pos", "neg"], list(by), descending=True).join(
         totals, list(by)
     )
@@ -141,22 +153,15 @@ def average_precision(df: DataFrame, by=BY) -> DataFrame:
 
 def brier(df: DataFrame, by=BY) -> DataFrame:
     """Mean squared error of the probability; 1 when there is only one class."""
-    error = F.pow(F.col("probability") - F.col("label"), F.lit(2))
-    return df.groupBy(*by).agg(
-        F.when(F.min("label") == F.max("label"), 1.0).otherwise(F.avg(error)).alias("brier_score")
-    )
+    return df.groupBy(*by).agg(_brier().alias("brier_score"))
 
 
 def all_metrics(df: DataFrame, by=BY) -> DataFrame:
-    """Every metric of a model in one row."""
-    key = list(by)
-    return (
-        classification_metrics(df, by)
-        .join(ranking_metrics(df, by), key)
-        .join(brier(df, by), key)
-        .join(cost_total(df, by), key)
-        .join(phm_score(df, by), key)
-    )
+    """Every metric of a model in one row: one aggregate over the rows, one over scores."""
+    counts = df.groupBy(*by).agg(*_confusion_aggs(), _brier().alias("brier_score"))
+    columns = _sizes() | _rates() | _costs() | {"phm_score": _phm()}
+    flat = counts.select(*by, "brier_score", *[e.alias(n) for n, e in columns.items()])
+    return flat.join(ranking_metrics(df, by), list(by))
 
 
 def lead_time(df: DataFrame, by=BY, threshold: float = 0.5) -> DataFrame:

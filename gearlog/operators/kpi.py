@@ -9,9 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from ..functions.spans import DAY_US, HOUR_US
+from ..functions.spans import DAY_US, HOUR_US, numbered
 from ..functions.stats import interval_join, is_reactive, per_key_join, share, zscore
 from ..params import COMPONENTS, SENSORS, Params
 from ..sources.tables import Tables
@@ -204,17 +203,17 @@ def event_slice_trends(
         at.alias("_to"),
     )
     readings = t.telemetry.select("machineID", F.unix_micros("datetime").alias("_us"), *SENSORS)
-    near = interval_join(readings, bands, "machineID", "_us", "_from", "_to", 7 * DAY_US)
-    # one partition is the slice of one failure
-    nth = F.row_number().over(Window.partitionBy("machineID", "failure_time").orderBy("_us"))
+    named = numbered(readings, ["machineID"], "_us")
+    near = interval_join(named, bands, "machineID", "_us", "_from", "_to", 7 * DAY_US)
+    # row numbers of the machine stand in for positions: only the start differs
+    long = near.unpivot(["machineID", "failure_time", "_rn"], list(SENSORS), "sensor", "x")
+    start = F.avg("x") - F.regr_slope("x", "_rn") * (F.avg("_rn") - F.min("_rn"))
     return (
-        near.withColumn("_i", (nth - 1).cast("double"))
-        .unpivot(["machineID", "failure_time", "_i"], list(SENSORS), "sensor", "x")
-        .groupBy("machineID", "failure_time", "sensor")
+        long.groupBy("machineID", "failure_time", "sensor")
         .agg(
             F.count("x").alias("points"),
-            F.regr_slope("x", "_i").alias("slope"),
-            F.regr_intercept("x", "_i").alias("intercept"),
+            F.regr_slope("x", "_rn").alias("slope"),
+            start.alias("intercept"),
         )
         .filter(F.col("points") > min_points)
     )

@@ -133,6 +133,22 @@ def test_prefailure_rows_are_limited_per_failure(spark):
     assert (out["sample_count"], out["avg_prefailure_voltage"]) == (72, 252.5)
 
 
+def test_prefailure_limit_shared_by_one_moment(spark):
+    """Two components and a repeated record share 6 places: 2 readings of 3 each."""
+    t = tables(
+        spark,
+        telemetry=[reading(h, volt=float(h)) for h in range(10)],
+        failures=[(hours(9), 1, "comp1"), (hours(9), 1, "comp2"), (hours(9), 1, "comp2")],
+    )
+    own = advanced.prefailure_profile(t, P, rows=6)
+    assert rows(own, "failure", "sample_count") == [("comp1", 6), ("comp2", 12)]
+    shared = advanced.prefailure_profile(t, P, rows=6, shared=True)
+    assert rows(shared, "failure", "sample_count", "avg_prefailure_voltage") == [
+        ("comp1", 2, 8.5),
+        ("comp2", 4, 8.5),
+    ]
+
+
 def test_similar_machines_against_pairs(spark):
     t = tables(
         spark,
