@@ -273,12 +273,12 @@ def peer_ranking(t: Tables, p: Params, fanout: bool = False) -> DataFrame:
         .select("model", "machineID", "age", "avg_vibration", fails.alias("failure_count"))
         .withColumns(
             {
-                "vibration_rank_in_model": F.rank().over(
-                    model.orderBy(F.desc("avg_vibration"))
-                ),
-                "failure_rank_in_model": F.rank().over(
-                    model.orderBy(F.desc("failure_count"))
-                ),
+                "vibration_rank_in_model": F.rank()
+                .over(model.orderBy(F.desc("avg_vibration")))
+                .cast("long"),
+                "failure_rank_in_model": F.rank()
+                .over(model.orderBy(F.desc("failure_count")))
+                .cast("long"),
             }
         )
         .orderBy("model", "vibration_rank_in_model", "machineID")

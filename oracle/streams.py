@@ -45,7 +45,7 @@ FROM pdm_telemetry
 """,
     "stream_ewma_state": _ewma(),
     "parquet_roundtrip": READINGS
-    + "---\nSELECT *, CAST(timestamp AS DATE) AS date FROM readings",
+    + "---\nSELECT *, strftime(timestamp, '%Y-%m-%d') AS date FROM readings",
     "csv_roundtrip": """
 SELECT 'telemetry' AS source, datetime, machineID, CAST(NULL AS VARCHAR) AS what,
        volt + rotate + pressure + vibration AS x FROM pdm_telemetry
