@@ -4,9 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import html_text, near_dups, sharding
+from . import (
+    decontaminate,
+    html_text,
+    language,
+    licenses,
+    line_dedup,
+    near_dups,
+    pieces,
+    quality_rules,
+    sharding,
+    token_counts,
+)
 from .common import table
 
 
@@ -18,16 +30,55 @@ def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"), ["page_id", "url"])
 
 
+def op3_language_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), path)
+
+
+def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return pieces.encode_digest(table(spark, sf_dir, "documents"), path)
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.filter_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+
+
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(licenses.as_files(table(spark, sf_dir, "documents")))
+
+
+def op9_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
-        f.__name__: f
-        for f in (op1_lpt_shards, op2_main_text, op10_near_duplicates)
-    }
+    ops = (
+        op1_lpt_shards,
+        op2_main_text,
+        op3_language_codes,
+        op4_token_counts,
+        op5_pieces,
+        op6_quality_rules,
+        op7_line_chunks,
+        op8_license_scan,
+        op9_benchmark_leaks,
+        op10_near_duplicates,
+    )
+    return {f.__name__: f for f in ops}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_line_chunks": line_dedup.SQL}

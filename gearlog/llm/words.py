@@ -38,8 +38,8 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _piece(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    space = _SPACE[data]
+def _piece(data: np.ndarray, spaces: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    space = spaces[data]
     edge = np.flatnonzero(np.diff(space, prepend=True, append=True))
     starts, ends = edge[::2], edge[1::2]
     up, down = _powers(len(data) + 1)
@@ -49,18 +49,21 @@ def _piece(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return hashes, starts, ends
 
 
-def word_hashes(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, start byte, end byte) of every word, in order."""
+def word_hashes(text: bytes, spaces: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, start byte, end byte) of every word, in order.
+
+    ``spaces`` says for each byte whether it parts words.
+    """
     data = np.frombuffer(text, np.uint8)
     if len(data) <= PIECE:
-        return _piece(data)
+        return _piece(data, spaces)
     parts, at = [], 0
     while at < len(data):
         end = min(at + PIECE, len(data))
-        while end < len(data) and not _SPACE[data[end]]:
-            rest = np.flatnonzero(_SPACE[data[end : end + PIECE]])
+        while end < len(data) and not spaces[data[end]]:
+            rest = np.flatnonzero(spaces[data[end : end + PIECE]])
             end = end + int(rest[0]) if len(rest) else min(end + PIECE, len(data))
-        h, s, e = _piece(data[at:end])
+        h, s, e = _piece(data[at:end], spaces)
         parts.append((h, s + at, e + at))
         at = end
     return tuple(np.concatenate(x) for x in zip(*parts))  # type: ignore[return-value]
