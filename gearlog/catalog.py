@@ -22,6 +22,7 @@ from .operators import (
     modeling,
     prepare,
     quality,
+    smoothing,
 )
 from .params import FEATURE_SENSORS, FIXTURE
 from .plans.feature_table import NOT_FEATURES, build_features
@@ -369,7 +370,7 @@ def queries() -> dict[str, Query]:
         features.spectral,
         features.interactions,
         features.rolling_corr,
-        features.ewma,
+        smoothing.ewma,
         features.cumulative_deviation,
         features.baseline_zscore,
         features.calendar_features,

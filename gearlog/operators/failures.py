@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.spans import DAY_US, active_marks, beside, running, span_of
-from ..functions.stats import age_band, share, whole_days
-from ..params import COMPONENTS, Params
+from ..functions.spans import DAY_US, running, span_of
+from ..functions.stats import age_band, interval_join, share, whole_days
+from ..params import Params
 from ..sources.tables import Tables
 
 
@@ -189,22 +189,18 @@ def failure_cascade(t: Tables, p: Params, within: bool = False, hours: int = 24)
             F.array_sort(F.collect_set("failure")).alias("c")
         )
     else:
-        # running counts of the failures whose band covers a moment, by component
-        f = timed(t.failures)
-        band = hours * DAY_US // 24
-        tags = {c: (F.col("failure") == c).cast("int") for c in COMPONENTS}
-        marks = active_marks(f, F.col("_us") - band, F.col("_us") + band + 1, tags)
-        rows = timed(moments.select("machineID", "datetime").distinct())
-        out = running(
-            beside(rows, marks),
-            ["machineID"],
-            [F.col("_us"), F.col("_kind")],
-            {f"n_{c}": ("sum", F.col(c)) for c in COMPONENTS},
-            span_of("_us", 7 * DAY_US),
-        ).filter("_kind = 1")
-        present = [F.when(F.col(f"n_{c}") > 0, F.lit(c)) for c in COMPONENTS]
-        listed = out.select(
-            "machineID", "datetime", F.array_compact(F.array(*present)).alias("c")
+        # failures near each other meet in buckets of the band's width
+        f, band = timed(t.failures), hours * DAY_US // 24
+        near = f.select(
+            "machineID",
+            (F.col("_us") - band).alias("_low"),
+            (F.col("_us") + band).alias("_high"),
+            F.col("failure").alias("_name"),
+        ).distinct()
+        points = timed(moments.select("machineID", "datetime").distinct())
+        pairs = interval_join(points, near, "machineID", "_us", "_low", "_high", 2 * band + 1)
+        listed = pairs.groupBy("machineID", "datetime").agg(
+            F.array_sort(F.collect_set("_name")).alias("c")
         )
     return (
         listed.filter(F.size("c") > 1)

@@ -44,7 +44,6 @@ PAIRS = [
     ("pressure", "vibration"),
 ]
 # Smoothing factors and the column suffix of each.
-EWMA = {"ewma_alpha01": 0.1, "ewma_alpha005": 0.05}
 BASELINE_ROWS = 168
 
 
@@ -325,43 +324,6 @@ def _error_columns(rows=TREND_ROWS) -> dict[str, Column]:
     }
 
 
-def _ewma_halo(alphas) -> int:
-    """Rows after which a weight is below 1e-18, past double precision."""
-    return math.ceil(41.5 / -math.log(1 - min(alphas)))
-
-
-def _ewma_columns(carried: bool = False) -> dict[str, Column]:
-    """Recursive mean y = a*x + (1-a)*y' with y = x at the first reading.
-
-    Inside a block it is the running sum of weight * x / (1-a)^i times (1-a)^i;
-    blocks are short enough for the powers to stay in range. With ``carried``
-    the columns ``_c_*`` hold the value before the first reading, if any.
-    """
-    w = block_window(KEY)
-    upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    i = F.row_number().over(w).cast("double")
-    out = {}
-    for s in FEATURE_SENSORS:
-        for name, a in EWMA.items():
-            start = F.col("_rn") == 1
-            if carried:
-                start = start & F.col(f"_c_{s}_{name}").isNull()
-            weight = F.when(start, 1.0).otherwise(a)
-            scaled = F.col(s) * weight * F.pow(F.lit(1 - a), -F.col("_i"))
-            value = F.sum(scaled).over(upto) * F.pow(F.lit(1 - a), F.col("_i"))
-            if carried:
-                kept = F.col(f"_c_{s}_{name}") * F.pow(F.lit(1 - a), F.col("_rn").cast("double"))
-                value = value + F.coalesce(kept, F.lit(0.0))
-            out[f"{s}_{name}"] = value
-    return {"_i": i, **out}
-
-
-def _ewma_block(alphas) -> int:
-    """Largest block for which (1-a)^-(block + halo) stays far from overflow."""
-    room = int(600 / -math.log(1 - max(alphas))) - _ewma_halo(alphas)
-    return max(64, min(4096, room))
-
-
 def rate_of_change(df: DataFrame) -> DataFrame:
     """Differences, acceleration, relative change and mean change over 24 rows."""
     return blocked(_timed(df), KEY, "_us", 24, _rate_columns()).drop("_us", "_rn")
@@ -384,27 +346,6 @@ def rolling_corr(df: DataFrame) -> DataFrame:
     return blocked(_timed(df), KEY, "_us", 23, _corr_columns()).drop("_us", "_rn")
 
 
-def ewma(df: DataFrame, carry: DataFrame | None = None) -> DataFrame:
-    """Exponentially weighted means.
-
-    ``carry`` gives, per machine, the values reached before these readings (the
-    columns this function adds), to continue an earlier batch.
-    """
-    alphas = list(EWMA.values())
-    named = numbered(_timed(df), KEY, "_us")
-    before = []
-    if carry is not None:
-        before = [c for c in carry.columns if c not in KEY]
-        old = carry.select(*KEY, *[F.col(c).alias(f"_c_{c}") for c in before])
-        named = per_key_join(named, old, key=KEY[0], spread="timestamp", how="left")
-    wide = row_blocks(named, _ewma_halo(alphas), _ewma_block(alphas))
-    cols = _ewma_columns(carried=carry is not None)
-    wide = wide.withColumn("_i", cols.pop("_i")).withColumns(cols)
-    return wide.filter("_own").drop(
-        "_block", "_own", "_rn", "_us", "_i", *[f"_c_{c}" for c in before]
-    )
-
-
 # ---- spectrum -----------------------------------------------------------------
 
 SPECTRAL = ("spectral_energy", "spectral_centroid", "dominant_freq", "spectral_entropy")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.spans import DAY_US, HOUR_US, numbered
 from ..functions.stats import interval_join, is_reactive, per_key_join, share, zscore
-from ..params import COMPONENTS, SENSORS, Params
+from ..params import SENSORS, Params
 from ..sources.tables import Tables
 from . import failures as failure_queries
 from . import health, maintenance
@@ -326,8 +326,7 @@ def cost_by_component(t: Tables, p: Params) -> DataFrame:
         "full",
     )
     return (
-        counts.filter(F.col("component").isin(*COMPONENTS))
-        .fillna(0, ["f", "m"])
+        counts.fillna(0, ["f", "m"])
         .select(
             "component",
             (F.col("f") * c.emergency_event).alias("emergency_cost"),

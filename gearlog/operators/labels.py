@@ -8,7 +8,7 @@ with a long history is many tasks.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ranges import exact_quantiles
@@ -23,8 +23,8 @@ from ..functions.spans import (
     running,
     span_of,
 )
-from ..functions.stats import is_reactive, per_key_join
-from ..params import COMPONENTS, NO_FAILURE_HOURS, OTHER, Params
+from ..functions.stats import interval_join, per_key_join
+from ..params import COMPONENTS, NO_FAILURE_HOURS, Params
 from ..sources.tables import Tables, standardise
 from .failures import timed
 
@@ -42,67 +42,79 @@ def _finish(df: DataFrame) -> DataFrame:
     return standardise(df.drop("_us", "_kind"))
 
 
-def _csv(counts: dict[str, str]):
-    """Comma list of the names whose running count is positive."""
-    return F.array_join(
-        F.array_compact(F.array(*[F.when(F.col(c) > 0, F.lit(n)) for n, c in counts.items()])),
-        ",",
+def _name_lists(events: DataFrame, name: str, start: Column, end: Column, out: str) -> DataFrame:
+    """Moments at which the set of active event names changes, with that set.
+
+    Column ``out`` holds (moment, comma list in order of name), whatever the names.
+    An event is active in [start, end).
+    """
+    spans = events.select("machineID", start.alias("_low"), end.alias("_end"), F.col(name).alias("_name"))
+    moments = spans.select("machineID", F.explode(F.array("_low", "_end")).alias("_us")).distinct()
+    active = interval_join(
+        moments, spans.withColumn("_high", F.col("_end") - 1), "machineID", "_us", "_low", "_high", 7 * DAY_US
+    )
+    listed = active.groupBy("machineID", "_us").agg(
+        F.array_join(F.array_sort(F.collect_set("_name")), ",").alias("_list")
+    )
+    return moments.join(listed, ["machineID", "_us"], "left").select(
+        "machineID", "_us", F.struct("_us", F.coalesce("_list", F.lit("")).alias("names")).alias(out)
     )
 
 
-def _maint_marks(t: Tables, days: int) -> tuple[DataFrame, dict[str, str]]:
+def _maint_marks(t: Tables, days: int) -> DataFrame:
     """Each maintenance counts for readings in [event, event + days)."""
-    m = timed(t.maint)
-    tags = {f"m_{c}": (F.col("comp") == c).cast("long") for c in COMPONENTS}
-    tags[f"m_{OTHER}"] = (~is_reactive()).cast("long")
-    marks = active_marks(m, F.col("_us"), F.col("_us") + days * DAY_US, tags)
-    return marks, {n[2:]: n for n in tags}
+    m, end = timed(t.maint), F.col("_us") + days * DAY_US
+    marks = active_marks(m, F.col("_us"), end, {"m_any": F.lit(1).cast("long")})
+    lists = _name_lists(m, "comp", F.col("_us"), end, "m_names")
+    return marks.unionByName(lists, allowMissingColumns=True)
 
 
-def _failure_marks(t: Tables, hours: int) -> tuple[DataFrame, dict[str, str]]:
+def _failure_marks(t: Tables, hours: int) -> DataFrame:
     """Each failure counts for readings in [failure - hours, failure)."""
-    f = timed(t.failures)
+    f, start = timed(t.failures), F.col("_us") - hours * HOUR_US
     tags = {f"f_{c}": F.col("failure").contains(c).cast("long") for c in COMPONENTS}
     tags["f_any"] = F.lit(1).cast("long")
-    marks = active_marks(f, F.col("_us") - hours * HOUR_US, F.col("_us"), tags)
-    return marks, {c: f"f_{c}" for c in COMPONENTS}
+    marks = active_marks(f, start, F.col("_us"), tags)
+    lists = _name_lists(f, "failure", start, F.col("_us"), "f_names")
+    return marks.unionByName(lists, allowMissingColumns=True)
+
+
+FAILURE_TAGS = [*[f"f_{c}" for c in COMPONENTS], "f_any"]
 
 
 def _count_active(
-    rows: DataFrame, marks: DataFrame, names: list[str], base: DataFrame
+    rows: DataFrame, marks: DataFrame, names: list[str], lists: list[str], base: DataFrame
 ) -> DataFrame:
+    """Running counts ``n_*`` of the tags and the newest list of each of ``lists``."""
     out = running(
         beside(rows, marks),
         ["machineID"],
         [F.col("_us"), F.col("_kind")],
-        {f"n_{c}": ("sum", F.col(c)) for c in names},
+        {f"n_{c}": ("sum", F.col(c)) for c in names} | {f"l_{c}": ("max", F.col(c)) for c in lists},
         span_of("_us", DAY_US),
         totals_of=beside(base, marks),
     ).filter("_kind = 1")
-    return out.drop("_kind", *names).fillna(0, [f"n_{c}" for c in names])
+    return (
+        out.drop("_kind", *names, *lists)
+        .fillna(0, [f"n_{c}" for c in names])
+        .withColumns({f"l_{c}": F.coalesce(f"l_{c}.names", F.lit("")) for c in lists})
+    )
 
 
-def _with_maintenance(df: DataFrame, comps: dict[str, str]) -> DataFrame:
-    n = {c: f"n_{tag}" for c, tag in comps.items()}
-    return df.withColumns(
-        {
-            "maint_count_7d": sum((F.col(c) for c in n.values()), F.lit(0).cast("long")),
-            "maint_components_replaced": _csv(n),
-        }
-    ).drop(*n.values())
+def _with_maintenance(df: DataFrame) -> DataFrame:
+    return df.withColumnsRenamed({"n_m_any": "maint_count_7d", "l_m_names": "maint_components_replaced"})
 
 
-def _with_labels(df: DataFrame, comps: dict[str, str]) -> DataFrame:
-    n = {c: f"n_{tag}" for c, tag in comps.items()}
+def _with_labels(df: DataFrame) -> DataFrame:
     hours = (F.col("_next") - F.col("_us")) / F.lit(3.6e9)
     return df.withColumns(
         {
             "failure_label": (F.col("n_f_any") > 0).cast("int"),
-            "failure_components": _csv(n),
-            **{f"failure_{c}": (F.col(col) > 0).cast("int") for c, col in n.items()},
+            "failure_components": F.col("l_f_names"),
+            **{f"failure_{c}": (F.col(f"n_f_{c}") > 0).cast("int") for c in COMPONENTS},
             "time_to_failure_hours": F.coalesce(hours, F.lit(NO_FAILURE_HOURS)),
         }
-    ).drop("n_f_any", "_next", *n.values())
+    ).drop("_next", "l_f_names", *[f"n_{c}" for c in FAILURE_TAGS])
 
 
 def _errors_by_hour(t: Tables) -> DataFrame:
@@ -129,17 +141,14 @@ def error_features(t: Tables, p: Params) -> DataFrame:
 
 def maintenance_features(t: Tables, p: Params, days: int = 7) -> DataFrame:
     """Maintenance in the ``days`` up to each reading: count and components."""
-    marks, comps = _maint_marks(t, days)
     rows = _readings(t).select("machineID", "datetime", "_us")
-    counted = _count_active(rows, marks, list(comps.values()), _base(t))
-    return _finish(_with_maintenance(counted, comps))
+    counted = _count_active(rows, _maint_marks(t, days), ["m_any"], ["m_names"], _base(t))
+    return _finish(_with_maintenance(counted))
 
 
 def _labelled(t: Tables, rows: DataFrame, hours: int) -> DataFrame:
-    marks, comps = _failure_marks(t, hours)
-    counted = _count_active(rows, marks, [*comps.values(), "f_any"], _base(t))
-    ahead = next_time(counted, timed(t.failures), "_next", base=_base(t))
-    return _with_labels(ahead, comps)
+    counted = _count_active(rows, _failure_marks(t, hours), FAILURE_TAGS, ["f_names"], _base(t))
+    return _with_labels(next_time(counted, timed(t.failures), "_next", base=_base(t)))
 
 
 def failure_labels(
@@ -181,18 +190,16 @@ def master_table(t: Tables, p: Params, hours: int = 24, days: int = 7) -> DataFr
     All window counts share one pass over readings and marks; the only other
     pass looks for the next failure.
     """
-    maint, maint_comps = _maint_marks(t, days)
-    fails, fail_comps = _failure_marks(t, hours)
     errors = active_marks(
         timed(t.errors), F.col("_us"), F.col("_us") + DAY_US, {"e_any": F.lit(1).cast("long")}
     )
-    marks = maint.unionByName(fails, allowMissingColumns=True).unionByName(
-        errors, allowMissingColumns=True
-    )
-    names = [*maint_comps.values(), *fail_comps.values(), "f_any", "e_any"]
-    counted = _count_active(_readings(t), marks, names, _base(t))
+    marks = errors
+    for other in (_maint_marks(t, days), _failure_marks(t, hours)):
+        marks = marks.unionByName(other, allowMissingColumns=True)
+    names = [*FAILURE_TAGS, "m_any", "e_any"]
+    counted = _count_active(_readings(t), marks, names, ["m_names", "f_names"], _base(t))
     ahead = next_time(counted, timed(t.failures), "_next", base=_base(t))
-    full = _with_labels(_with_maintenance(ahead, maint_comps), fail_comps)
+    full = _with_labels(_with_maintenance(ahead))
     full = (
         full.withColumn("_hour", F.date_trunc("hour", "datetime"))
         .join(_errors_by_hour(t), ["machineID", "_hour"], "left")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.spans import numbered, row_blocks
 from ..operators import features as f
 from ..operators.labels import master_table
+from ..operators.smoothing import ewma
 from ..params import FEATURE_SENSORS, TREND_ROWS, Params
 from ..sources.tables import Tables, standardise
 
@@ -24,28 +25,23 @@ def add_features(df: DataFrame, maint: DataFrame, readings: DataFrame) -> DataFr
     df = f.spectral(df, base=base)
     df = f.cumulative_deviation(df, base=base)
     df = f.baseline_zscore(df, base=base)
+    df = ewma(df, base=readings)
     df = _row_windows(df, base)
     df = f.rolling_statistics(df)
     return f.calendar_features(f.interactions(df))
 
 
 def _row_windows(df: DataFrame, base: DataFrame) -> DataFrame:
-    alphas = list(f.EWMA.values())
-    halo = max(max(TREND_ROWS), f._ewma_halo(alphas))
     timed = df.withColumn("_us", F.unix_micros("timestamp"))
     named = numbered(timed, f.KEY, "_us", base=base)
-    wide = row_blocks(named, halo, f._ewma_block(alphas))
-    wide = f._with_trends(wide)
-    smooth = f._ewma_columns()
-    wide = wide.withColumn("_i", smooth.pop("_i"))
+    wide = f._with_trends(row_blocks(named, max(TREND_ROWS)))
     for group in (
         f._rate_columns(),
         f._corr_columns(),
         f._error_columns(),
-        smooth,
     ):
         wide = wide.withColumns(group)
-    return wide.filter("_own").drop("_block", "_own", "_rn", "_us", "_i")
+    return wide.filter("_own").drop("_block", "_own", "_rn", "_us")
 
 
 def build_features(t: Tables, p: Params, drop_null: bool = True) -> DataFrame:

@@ -8,11 +8,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 from pyspark.sql.window import Window
 
-from ..operators.features import EWMA, ewma
+from ..operators.smoothing import EWMA, ewma
 from ..params import FEATURE_SENSORS
-from ..sources.shared import shared_path
+from ..sources.shared import read_or_empty, remove, shared_path
 from ..sources.tables import standardise
 
 
@@ -28,7 +29,7 @@ def append_to(stream: DataFrame, path: str) -> DataFrame:
         .awaitTermination()
     )
     spark = stream.sparkSession
-    return spark.read.schema(stream.schema).parquet(f"{path}/table")
+    return read_or_empty(spark, stream.schema, f"{path}/table")
 
 
 def update_to(stream: DataFrame, path: str, key: list[str]) -> DataFrame:
@@ -50,7 +51,8 @@ def update_to(stream: DataFrame, path: str, key: list[str]) -> DataFrame:
         .awaitTermination()
     )
     spark = stream.sparkSession
-    changes = spark.read.option("basePath", f"{path}/table").parquet(f"{path}/table")
+    versions = StructType([*stream.schema.fields, StructField("batch", IntegerType())])
+    changes = read_or_empty(spark, versions, f"{path}/table")
     # one partition holds the versions of one result row
     newest = Window.partitionBy(*key).orderBy(F.desc("batch"))
     return (
@@ -60,31 +62,59 @@ def update_to(stream: DataFrame, path: str, key: list[str]) -> DataFrame:
     )
 
 
+#: Batches after which the state of all machines is written as a whole.
+COMPACT = 16
+
+
 def smooth_to(stream: DataFrame, path: str) -> DataFrame:
     """Exponentially weighted means over a stream, with state carried in a table.
 
     Readings are smoothed in time order inside a batch and batches in the order
     they arrive. Each batch is one distributed ``ewma`` that starts from the
-    last values of the batch before; they are stored as a table per batch.
+    values its machines had reached; it writes the state of its machines only,
+    and every ``COMPACT`` batches that of all machines, after which older state
+    is removed.
     """
     spark = stream.sparkSession
     names = [f"{s}_{n}" for s in FEATURE_SENSORS for n in EWMA]
-    state_type = "machine_id long, " + ", ".join(f"{n} double" for n in names)
+    gaps = [f"{s}_gap" for s in FEATURE_SENSORS]
+    state_type = ", ".join(
+        ["machine_id long", *[f"{n} double" for n in names], *[f"{n} long" for n in gaps]]
+    )
+    empty = standardise(stream).select("machine_id", "timestamp", *FEATURE_SENSORS).schema
+    result = ewma(spark.createDataFrame([], empty)).schema
+
+    def state_before(number: int) -> DataFrame:
+        if number == 0:
+            return spark.createDataFrame([], state_type)
+        first = (number - 1) // COMPACT * COMPACT
+        paths = [f"{path}/state/batch={k}" for k in range(first, number)]
+        versions = spark.read.option("basePath", f"{path}/state").schema(f"{state_type}, batch int")
+        newest = Window.partitionBy("machine_id").orderBy(F.desc("batch"))
+        return (
+            versions.parquet(*paths)
+            .withColumn("_nth", F.row_number().over(newest))
+            .filter("_nth = 1")
+            .drop("_nth", "batch")
+        )
 
     def step(batch: DataFrame, number: int) -> None:
         rows = standardise(batch).select("machine_id", "timestamp", *FEATURE_SENSORS)
-        if number == 0:
-            before = spark.createDataFrame([], state_type)
-        else:
-            before = spark.read.schema(state_type).parquet(f"{path}/state/batch={number - 1}")
-        smoothed = ewma(rows, carry=before)
+        before = state_before(number)
+        known = before.join(rows.select("machine_id").distinct(), "machine_id", "left_semi")
+        smoothed = ewma(rows, carry=known, gaps=True)
         smoothed.write.mode("overwrite").parquet(f"{path}/table/batch={number}")
         done = spark.read.schema(smoothed.schema).parquet(f"{path}/table/batch={number}")
         last = done.groupBy("machine_id").agg(
-            *[F.max_by(n, "timestamp").alias(n) for n in names]
+            *[F.max_by(n, "timestamp").alias(n) for n in [*names, *gaps]]
         )
-        kept = before.join(last, "machine_id", "left_anti")
-        last.unionByName(kept).write.mode("overwrite").parquet(f"{path}/state/batch={number}")
+        if number % COMPACT == 0:
+            last = last.unionByName(before.join(last, "machine_id", "left_anti"))
+        last.write.mode("overwrite").parquet(f"{path}/state/batch={number}")
+        if number % COMPACT == 1:  # the batch before has written the whole state
+            for k in range(number - 1 - COMPACT, number - 1):
+                if k >= 0:
+                    remove(spark, f"{path}/state/batch={k}")
 
     (
         stream.writeStream.foreachBatch(step)
@@ -93,7 +123,7 @@ def smooth_to(stream: DataFrame, path: str) -> DataFrame:
         .start()
         .awaitTermination()
     )
-    return spark.read.option("basePath", f"{path}/table").parquet(f"{path}/table").drop("batch")
+    return read_or_empty(spark, result, f"{path}/table")
 
 
 def new_run(spark: SparkSession, name: str) -> str:

@@ -133,7 +133,7 @@ SELECT month, n * 111000 AS reactive,
 SELECT c.component,
        (SELECT count(*) FROM pdm_failures WHERE failure = c.component) * 111000.0::DOUBLE AS emergency_cost,
        (SELECT count(*) FROM pdm_maint WHERE comp = c.component) * 34500.0::DOUBLE AS planned_cost
-FROM (VALUES ('comp1'), ('comp2'), ('comp3'), ('comp4')) AS c(component)""",
+FROM (SELECT failure AS component FROM pdm_failures UNION SELECT comp FROM pdm_maint) AS c""",
     "strategy_costs": CM
     + YEARLY
     + """---

@@ -2,6 +2,7 @@
 
 import math
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -17,6 +18,7 @@ from gearlog.operators import (
     maintenance,
     prepare,
     quality,
+    smoothing,
 )
 from gearlog.params import Params
 from gearlog.sources.tables import standardise
@@ -173,7 +175,7 @@ def test_features_against_pandas(spark):
     t = tables(spark, telemetry=noisy(3, 200))
     pdf = _std(t).toPandas().sort_values(["machine_id", "timestamp"])
     got = {
-        "ewma": features.ewma(_std(t)),
+        "ewma": smoothing.ewma(_std(t)),
         "dev": features.cumulative_deviation(_std(t)),
         "z": features.baseline_zscore(_std(t)),
         "roc": features.rate_of_change(_std(t)),
@@ -211,14 +213,38 @@ def test_features_against_pandas(spark):
     )
 
 
-def test_ewma_in_small_blocks(spark, monkeypatch):
-    monkeypatch.setattr(features, "_ewma_block", lambda a: 100)
+@pytest.mark.parametrize("block", [100, 2847])
+def test_ewma_in_blocks(spark, monkeypatch, block):
+    monkeypatch.setattr(smoothing, "block_rows", lambda: block)
     t = tables(spark, telemetry=noisy(2, 2500))
-    got = features.ewma(_std(t)).toPandas().sort_values(["machine_id", "timestamp"]).reset_index()
+    got = smoothing.ewma(_std(t)).toPandas().sort_values(["machine_id", "timestamp"]).reset_index()
     want = got.groupby("machine_id")["voltage"].transform(lambda x: x.ewm(alpha=0.05, adjust=False).mean())
     assert (got["voltage_ewma_alpha005"] - want).abs().max() < 1e-9
 
 
+@pytest.mark.parametrize("block", [7, 40, 2847])
+def test_ewma_of_missing_and_huge_readings(spark, monkeypatch, block):
+    """Against pandas: nulls at the start, inside and at the end, a NaN, 1e20."""
+    import numpy as np
+
+    monkeypatch.setattr(smoothing, "block_rows", lambda: block)
+    values = {
+        1: [None, None, 10.0, 10.0, None, 12.0, *[float(i % 7) for i in range(60)], None, None],
+        2: [10.0, 10.0, None, 10.0, 10.0] + [None] * 90 + [4.0, 5.0, float("nan"), 6.0],
+        3: [1.0, 1e20, *[2.0 + i % 3 for i in range(150)], None, 3.0],
+        4: [None] * 30,
+        5: [3.0],
+    }
+    data = [reading(h, machine=m, vibration=v) for m, vs in values.items() for h, v in enumerate(vs)]
+    got = smoothing.ewma(_std(tables(spark, telemetry=data)))
+    got = got.toPandas().sort_values(["machine_id", "timestamp"])
+    for m, vs in values.items():
+        x = pd.Series(vs, dtype=float)
+        for name, a in smoothing.EWMA.items():
+            mine = got[got["machine_id"] == m][f"vibration_{name}"].to_numpy(float)
+            np.testing.assert_allclose(mine, x.ewm(alpha=a, adjust=False).mean().to_numpy(), rtol=1e-9)
+
+
 def test_constant_sensor_features(spark):
     t = tables(spark, telemetry=[reading(h) for h in range(70)])
     last = features.rolling_statistics(_std(t), (24,)).orderBy(F.desc("timestamp")).first()
@@ -369,3 +395,26 @@ def test_fanout_counts_equal_a_real_join(spark):
     )
     got = fleet.risk_ranking(t, P, fanout=True)
     assert rows(got, "machineID", "historical_failures") == rows(joined, "machineID", "n")
+
+
+# ---- components outside the usual four -----------------------------------------
+
+
+def test_unknown_components_are_kept(spark):
+    t = tables(
+        spark,
+        telemetry=[reading(h) for h in range(0, 20)],
+        failures=[(hours(5), 1, "comp5"), (hours(6), 1, "comp1"), (hours(15), 2, "comp9")],
+        maint=[(hours(2), 1, "comp7"), (hours(2), 1, "other")],
+    )
+    p = Params()
+    got = failures.failure_cascade(t, p, within=True)
+    assert sorted(rows(got, "failed_components", "components_affected")) == [("comp1, comp5", 2)] * 2
+    labelled = labels.failure_labels(t, p, hours=2).orderBy("timestamp")
+    lists = [r[0] for r in labelled.select("failure_components").collect()]
+    assert lists[3:7] == ["comp5", "comp1,comp5", "comp1", ""]
+    both = labels.maintenance_features(t, p).orderBy("timestamp").collect()
+    assert [r["maint_components_replaced"] for r in both[:4]] == ["", "", "comp7,other", "comp7,other"]
+    assert [r["maint_count_7d"] for r in both[:4]] == [0, 0, 2, 2]
+    names = {r["component"] for r in kpi.cost_by_component(t, p).collect()}
+    assert names == {"comp1", "comp5", "comp7", "comp9", "other"}

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from gearlog.operators import features, modeling
+from gearlog.operators import modeling, smoothing
 from gearlog.params import FEATURE_SENSORS, Params
 from gearlog.plans.feature_table import build_features, feature_names
 from gearlog.sources.shared import shared_path
@@ -62,7 +62,7 @@ def test_feature_table(spark):
     back = spark.read.parquet(path)
     assert back.count() == t.telemetry.count()
     assert len(feature_names(wide)) >= 364
-    parts = features.ewma(standardise(t.telemetry)).select(
+    parts = smoothing.ewma(standardise(t.telemetry)).select(
         "machine_id", "timestamp", F.col("pressure_ewma_alpha01").alias("p")
     )
     same = back.join(parts, ["machine_id", "timestamp"])

@@ -6,7 +6,7 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from gearlog.operators import features
+from gearlog.operators import smoothing
 from gearlog.sources.shared import shared_path
 from gearlog.sources.tables import SCHEMAS, standardise
 from gearlog.streaming import jobs
@@ -61,7 +61,7 @@ def test_ewma_stream_continues_over_batches(spark, folder):
     _write(spark, folder, "b", [r for r in data if r[0] >= cut])
     out = jobs.smooth_to(_stream(spark, folder), path)
     assert out.count() == len(data) > first
-    batch = features.ewma(standardise(tables(spark, telemetry=data).telemetry))
+    batch = smoothing.ewma(standardise(tables(spark, telemetry=data).telemetry))
     name = "vibration_ewma_alpha005"
     both = out.select("machine_id", "timestamp", F.col(name).alias("a")).join(
         batch.select("machine_id", "timestamp", F.col(name).alias("b")), ["machine_id", "timestamp"]
