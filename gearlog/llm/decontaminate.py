@@ -316,8 +316,3 @@ def find_leaks(
         out = part if out is None else out.unionByName(part)
     return spark.createDataFrame([], schema) if out is None else out.distinct()
 
-
-def clean_documents(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    leaks = find_leaks(docs, items).select("doc_id").distinct()
-    return docs.join(leaks, "doc_id", "left_anti").select(*docs.columns)

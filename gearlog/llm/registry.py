@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
@@ -77,8 +78,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_benchmark_leaks,
         op10_near_duplicates,
     )
-    return {f.__name__: f for f in ops}
+    return {f.__name__: f for f in ops} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_line_chunks": line_dedup.SQL}
+    sql = {"op7_line_chunks": line_dedup.SQL}
+    if corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return sql

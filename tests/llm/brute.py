@@ -40,3 +40,55 @@ def near(rows):
                     x, y = sorted((root(a), root(b)))
                     parent[y] = x
     return {d: (len(s), root(d)) for d, s in sets.items()}
+
+
+def quality_counts(text):
+    text = text or ""
+    words = [m.group() for m in WORD.finditer(text)]
+    windows = {}
+    for i in range(len(words) - 2):
+        windows.setdefault(tuple(words[i : i + 3]), []).append(i)
+    covered = {i + k for at in windows.values() if len(at) > 1 for i in at for k in range(3)}
+    seen, dup = set(), 0
+    for line in text.split("\n"):
+        if WORD.search(line):
+            dup += line in seen
+            seen.add(line)
+    return {
+        "n_words": len(words),
+        "word_chars": sum(map(len, words)),
+        "n_symbols": sum(c in "#*$%&|<>" for c in text),
+        "n_dup_lines": dup,
+        "n_repeat_words": len(covered),
+    }
+
+
+def line_chunks(rows):
+    """Cleaned texts of (doc_id, text) rows with unique ids."""
+    from hashlib import md5
+
+    def h(s):
+        return md5(s.encode()).hexdigest()
+
+    places, docs = {}, {}
+    for d, text in rows:
+        if text is None:
+            docs[d] = None
+            continue
+        chunks, now, before = [], [], ""
+        lines = text.split("\n")
+        for k, line in enumerate(lines):
+            now.append(line)
+            if h(before + h(line))[0] < "6" or k == len(lines) - 1:
+                chunks.append(now)
+                now = []
+            before = h(line)
+        docs[d] = chunks
+        for pos, c in enumerate(chunks):
+            if sum(bool(WORD.search(x)) for x in c) >= 2:
+                places.setdefault(tuple(c), []).append((d, pos))
+    gone = {p for at in places.values() for p in sorted(at)[1:]}
+    return {
+        d: None if c is None else "\n".join(x for pos, ls in enumerate(c) if (d, pos) not in gone for x in ls)
+        for d, c in docs.items()
+    }
