@@ -72,11 +72,14 @@ def hourly_shares(df: DataFrame) -> DataFrame:
     )
 
 
-def _check(name: str, passed: Column, details: Column, severity) -> Column:
+def _check(name: str, passed: Column, measured, bound: float, severity, subject=None) -> Column:
+    """One result: what was measured, the bound it is held to, whom it is about."""
     return F.struct(
         F.lit(name).alias("check_name"),
         passed.alias("passed"),
-        details.alias("details"),
+        (F.lit(measured) if isinstance(measured, int) else measured).cast("double").alias("measured"),
+        F.lit(float(bound)).alias("bound"),
+        (F.lit(subject) if subject is None or isinstance(subject, str) else subject).cast("string").alias("subject"),
         (F.lit(severity) if isinstance(severity, str) else severity).alias("severity"),
     )
 
@@ -95,24 +98,10 @@ def validate_telemetry(
     """Run all telemetry checks; one row per check."""
     types = dict(df.dtypes)
     missing = [c for c in REQUIRED if c not in types]
-    wrong = [
-        f"{c}: got {types[c]}"
-        for c, ok in REQUIRED.items()
-        if c in types and not types[c].startswith(ok)
-    ]
+    wrong = [c for c, ok in REQUIRED.items() if c in types and not types[c].startswith(ok)]
     checks = [
-        _check(
-            "required_columns",
-            F.lit(not missing),
-            F.lit(f"Missing: {missing}" if missing else "All required columns present"),
-            "error",
-        ),
-        _check(
-            "column_dtypes",
-            F.lit(not wrong),
-            F.lit("; ".join(wrong) if wrong else "All types correct"),
-            "error",
-        ),
+        _check("required_columns", F.lit(not missing), len(missing), 0, "error", ",".join(missing) or None),
+        _check("column_dtypes", F.lit(not wrong), len(wrong), 0, "error", ",".join(wrong) or None),
     ]
     if missing:
         return df.sparkSession.range(1).select(F.inline(F.array(*checks)))
@@ -155,92 +144,26 @@ def validate_telemetry(
     )
 
     dupes, late = F.col("dupes"), F.col("late")
-    checks.insert(
-        1,
-        _check(
-            "no_duplicates",
-            dupes == 0,
-            F.when(dupes > 0, F.format_string("Found %d duplicate rows", dupes)).otherwise(
-                "No duplicates found"
-            ),
-            "error",
-        ),
-    )
+    checks.insert(1, _check("no_duplicates", dupes == 0, dupes, 0, "error"))
+    complete, found = F.col("complete"), F.col("machines")
     checks += [
-        _check(
-            "completeness",
-            F.col("complete") >= min_complete,
-            F.format_string(
-                f"Data %.1f%% complete (threshold: {min_complete:.0%}%)",
-                F.col("complete") * 100,
-            ),
-            "error",
-        ),
-        _check(
-            "machine_count",
-            F.col("machines") == machines,
-            F.format_string(f"Expected {machines} machines, found %d", "machines"),
-            "error",
-        ),
+        _check("completeness", complete >= min_complete, complete, min_complete, "error"),
+        _check("machine_count", found == machines, found, machines, "error"),
     ]
     for s in SENSORS:
-        neg = F.col(f"{s}_neg")
-        checks.append(
-            _check(
-                f"positive_values_{s}",
-                neg == 0,
-                F.when(
-                    neg > 0, F.format_string(f"%d negative values found in {s}", neg)
-                ).otherwise(f"All {s} values positive"),
-                "warning",
-            )
-        )
-        share = F.col("far")[s]
-        outliers = _check(
-            f"outlier_check_{s}",
-            share <= max_outliers,
-            F.format_string(
-                f"%.2f%% outliers in {s} (threshold: {max_outliers:.0%}%)", share * 100
-            ),
-            "warning",
-        )
+        neg, share = F.col(f"{s}_neg"), F.col("far")[s]
+        checks.append(_check(f"positive_values_{s}", neg == 0, neg, 0, "warning", s))
+        outliers = _check(f"outlier_check_{s}", share <= max_outliers, share, max_outliers, "warning", s)
         # a sensor that never varies has no outlier check
         checks.append(F.when(F.col(f"{s}_std") != 0, outliers))
     hours = (F.unix_micros("last") - F.unix_micros("first")) / F.lit(3.6e9)
-    bad = F.col("hourly")["machine"]
+    in_range = (F.year("first") >= min_year) & (hours <= max_span_hours)
+    bad, worst = F.col("hourly")["machine"], F.col("hourly")["share"]
+    gap = F.when(bad.isNull(), "info").otherwise("warning")
     checks += [
-        _check(
-            "date_range",
-            (F.year("first") >= min_year) & (hours <= max_span_hours),
-            F.format_string(
-                "Range: %s to %s (%.0f hours)",
-                F.to_date("first").cast("string"),
-                F.to_date("last").cast("string"),
-                hours,
-            ),
-            "info",
-        ),
-        _check(
-            "hourly_frequency",
-            bad.isNull(),
-            F.when(
-                bad.isNotNull(),
-                F.format_string(
-                    "Machine %d: only %.0f%% of intervals are exactly 1 hour",
-                    bad,
-                    F.col("hourly")["share"] * 100,
-                ),
-            ).otherwise("Machines show correct hourly frequency"),
-            F.when(bad.isNull(), "info").otherwise("warning"),
-        ),
-        _check(
-            "monotonic_timestamps",
-            late == 0,
-            F.when(late == 0, "Timestamps monotonic per machine").otherwise(
-                "Non-monotonic timestamps found"
-            ),
-            "error",
-        ),
+        _check("date_range", in_range, hours, max_span_hours, "info"),
+        _check("hourly_frequency", bad.isNull(), worst, min_hourly, gap, bad),
+        _check("monotonic_timestamps", late == 0, late, 0, "error"),
     ]
     return row.select(F.inline(F.array_compact(F.array(*checks))))
 
