@@ -112,7 +112,8 @@ def _strategies(fn) -> Callable:
     def run(t: Tables, p) -> DataFrame:
         scores = pseudo_scores(t, p).filter("model = 'A'")
         m = evaluate.classification_metrics(scores).select(F.struct("recall", "precision")).scalar()
-        return fn(kpi.segments(t, p), p, m["recall"], m["precision"])
+        seg = kpi.segments(t, p).withColumn("_m", m)  # one row, read once
+        return fn(seg, p, F.col("_m.recall"), F.col("_m.precision"))
 
     return run
 
@@ -181,19 +182,55 @@ def _windows(name: str, fn) -> Query:
     )
 
 
-def _stream_prefilter(spark: SparkSession, folder: str) -> DataFrame:
+def _baseline(spark: SparkSession, folder: str) -> DataFrame:
     old = F.col("datetime") < F.lit(FIXTURE.reference_before).cast("timestamp")
-    baseline = (
+    return (
         bind(spark, folder)
         .telemetry.filter(old)
         .groupBy("machineID")
         .agg(F.avg("vibration").alias("mean"), F.stddev("vibration").alias("std"))
     )
-    found = streams.prefilter(_stream(spark, folder), baseline, sigmas=2.0)
+
+
+def _stream_prefilter(spark: SparkSession, folder: str) -> DataFrame:
+    found = streams.prefilter(_stream(spark, folder), _baseline(spark, folder), sigmas=2.0)
     return jobs.append_to(found, jobs.new_run(spark, "prefilter"))
 
 
+def _stream_flags(spark: SparkSession, folder: str) -> DataFrame:
+    flagged = streams.flag_odd(_stream(spark, folder), _baseline(spark, folder), sigmas=2.0)
+    return jobs.append_to(flagged, jobs.new_run(spark, "flags"))
+
+
+def _stream_late_data(spark: SparkSession, folder: str) -> DataFrame:
+    """Every tenth event arrives after all the others, too late for most windows."""
+    events, path = spark.read.schema(EVENTS).parquet(f"{folder}/events.parquet"), jobs.new_run(spark, "late")
+    late, out = F.col("event_id") % 10 == 0, None
+    for name, rows in (("a", events.filter(~late)), ("b", events.filter(late))):
+        rows.coalesce(1).write.parquet(f"{path}/arrived/{name}")
+        arriving = streams.read_files(spark, f"{path}/arrived/*", EVENTS, "*.parquet")
+        hours = streams.tumbling(telemetry_of(arriving))
+        out = jobs.update_to(hours, f"{path}/windows", WINDOW_KEY)
+    return out
+
+
+def _stream_last_events(spark: SparkSession, folder: str) -> DataFrame:
+    events = streams.read_files(spark, folder, EVENTS, "events.parquet").select(
+        F.col("user_id").alias("machineID"),
+        F.col("ts").cast("timestamp").alias("datetime"),
+        F.col("event_type").alias("kind"),
+    )
+    last = streams.last_events(events, ("error", "purchase", "signup"))
+    return jobs.update_to(last, jobs.new_run(spark, "last"), ["machineID"])
+
+
 STREAMS: dict[str, Query] = {
+    "stream_late_data": _stream_late_data,
+    "stream_last_events": _stream_last_events,
+    "stream_flags": _stream_flags,
+    "stream_sessions": lambda spark, folder: jobs.append_to(
+        streams.sessions(_stream(spark, folder)), jobs.new_run(spark, "sessions")
+    ),
     "stream_tumbling": _windows("hours", streams.tumbling),
     "stream_tumbling_5min": _windows("minutes", lambda r: streams.tumbling(r, "5 minutes")),
     "stream_sliding": _windows("sliding", streams.sliding),
@@ -239,6 +276,7 @@ def _importance(t: Tables, p) -> DataFrame:
 
 
 HISTORY: dict[str, Callable] = {
+    "similar_machines": lambda t, p: fleet.similar_machines(t, p, 3),
     "error_features": labels.error_features,
     "maintenance_features": labels.maintenance_features,
     "failure_labels": labels.failure_labels,

@@ -7,25 +7,35 @@ continues from the totals of the ranges before it.
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .spans import running
 
-RANGES = 64
-
 
-def value_ranges(df: DataFrame, value: str, ranges: int = RANGES) -> DataFrame:
+def value_ranges(df: DataFrame, value: str, ranges: int | None = None) -> DataFrame:
     """Add ``_range``, an index that grows with ``value``.
 
-    The driver receives at most ``ranges`` cut points. They only balance the
-    ranges; results do not depend on where they fall.
+    The cut points are approximate quantiles, a scalar subquery of the same plan, so
+    nothing runs before the result is asked for. They only balance the ranges;
+    results do not depend on where they fall. Without ``ranges`` there are four for
+    each shuffle partition, so their number follows the size the session is set to.
     """
-    cuts = df.approxQuantile(value, [i / ranges for i in range(1, ranges)], 0.005)
-    inner = sorted(set(cuts)) or [0.0]
-    splits = [-float("inf"), *inner, float("inf")]
-    return Bucketizer(splits=splits, inputCol=value, outputCol="_range").transform(df)
+    if ranges is None:
+        ranges = max(64, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    step = math.ceil(math.sqrt(ranges))
+    probs = [F.lit(i / ranges) for i in range(1, ranges)]
+    cuts = df.agg(F.percentile_approx(value, F.array(*probs), 4 * ranges)).scalar()
+    below = lambda c: c < F.col("_value")
+    df = df.withColumns({"_cuts": cuts, "_value": F.col(value)})
+    # every step-th cut first, then the few cuts between two of those
+    coarse = F.filter("_cuts", lambda c, i: ((i + 1) % step == 0) & below(c))
+    df = df.withColumn("_coarse", F.size(coarse) * step)
+    fine = F.size(F.filter(F.slice("_cuts", F.col("_coarse") + 1, F.lit(step)), below))
+    found = F.greatest(F.coalesce(F.col("_coarse") + fine, F.lit(0)), F.lit(0))
+    return df.withColumn("_range", found).drop("_cuts", "_value", "_coarse")
 
 
 def cumulative(

@@ -133,7 +133,7 @@ OUTLIER_FLAGS = {
 }
 
 
-def sigma_outliers(t: Tables, p: Params, sigmas: float = 3.0, top: int = 100) -> DataFrame:
+def sigma_outliers(t: Tables, p: Params, sigmas: float = 3.0, top: int | None = 100) -> DataFrame:
     """Newest readings where a sensor is over ``sigmas`` deviations off the fleet mean."""
     fleet = one_row(
         t.telemetry.agg(
@@ -151,4 +151,5 @@ def sigma_outliers(t: Tables, p: Params, sigmas: float = 3.0, top: int = 100) ->
         *[F.when(far[s], label).alias(name) for s, (name, label) in OUTLIER_FLAGS.items()],
     )
     some = F.coalesce(*[name for name, _ in OUTLIER_FLAGS.values()]).isNotNull()
-    return flags.filter(some).orderBy(F.desc("datetime"), "machineID").limit(top)
+    out = flags.filter(some).orderBy(F.desc("datetime"), "machineID")
+    return out if top is None else out.limit(top)

@@ -151,17 +151,16 @@ def failure_sequences(t: Tables, p: Params, top: int | None = 20) -> DataFrame:
     return out if top is None else out.limit(top)
 
 
-def problem_machines(t: Tables, p: Params, top: int = 10) -> DataFrame:
+def problem_machines(t: Tables, p: Params, top: int | None = 10) -> DataFrame:
     """Machines with most failures."""
     per = t.failures.groupBy("machineID").agg(
         F.count("*").alias("failure_count"),
         F.min("datetime").alias("first_failure"),
         F.max("datetime").alias("last_failure"),
     )
+    most = per.join(t.machines, "machineID").orderBy(F.desc("failure_count"), "machineID")
     return (
-        per.join(t.machines, "machineID")
-        .orderBy(F.desc("failure_count"), "machineID")
-        .limit(top)
+        (most if top is None else most.limit(top))
         .select(
             "machineID",
             "model",

@@ -175,27 +175,27 @@ def _anomaly_counts(t: Tables, when, guard: bool) -> DataFrame:
     )
 
 
-def anomaly_leaders(t: Tables, p: Params, top: int = 10) -> DataFrame:
+def anomaly_leaders(t: Tables, p: Params, top: int | None = 10) -> DataFrame:
     """Machines with most readings over 3 deviations off their baseline period."""
     rate = F.lit(100.0) * F.col("anomaly_count") / F.col("readings")
-    return (
+    out = (
         _anomaly_counts(t, _between(p.baseline), guard=True)
         .select("machineID", "anomaly_count", rate.alias("anomaly_rate_pct"))
         .orderBy(F.desc("anomaly_count"), "machineID")
-        .limit(top)
     )
+    return out if top is None else out.limit(top)
 
 
-def anomaly_leaders_global(t: Tables, p: Params, top: int = 10) -> DataFrame:
+def anomaly_leaders_global(t: Tables, p: Params, top: int | None = 10) -> DataFrame:
     """The same against the reference period, as a share of all fleet readings."""
     total = t.telemetry.agg(F.count("*")).scalar()
     rate = F.lit(100.0) * F.col("anomaly_count") / total
-    return (
+    out = (
         _anomaly_counts(t, F.col("datetime") < ts(p.reference_before), guard=False)
         .select("machineID", "anomaly_count", rate.alias("anomaly_rate_pct"))
         .orderBy(F.desc("anomaly_count"), "machineID")
-        .limit(top)
     )
+    return out if top is None else out.limit(top)
 
 
 def rolling_daily_trend(t: Tables, p: Params, days: int = 7) -> DataFrame:

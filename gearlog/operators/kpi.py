@@ -90,14 +90,10 @@ def risk_counts(t: Tables, p: Params) -> DataFrame:
     )
 
 
-def at_risk_topk(t: Tables, p: Params, top: int = 10) -> DataFrame:
+def at_risk_topk(t: Tables, p: Params, top: int | None = 10) -> DataFrame:
     """Machines with the lowest scores."""
-    return (
-        machine_scores(t, p)
-        .orderBy("health_score", "machineID")
-        .limit(top)
-        .select("machineID", "health_score")
-    )
+    out = machine_scores(t, p).orderBy("health_score", "machineID")
+    return (out if top is None else out.limit(top)).select("machineID", "health_score")
 
 
 def machine_card(t: Tables, p: Params) -> DataFrame:

@@ -47,4 +47,4 @@ def read_or_empty(spark: SparkSession, schema: StructType, path: str) -> DataFra
     fs, where = _on_disk(spark, path)
     if not fs.exists(where):
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("basePath", path).parquet(path)
+    return spark.read.schema(schema).option("basePath", path).parquet(path).select(*schema.names)

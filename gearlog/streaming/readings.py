@@ -75,17 +75,50 @@ def downsample(readings: DataFrame, late: str = WATERMARK) -> DataFrame:
     return tumbling(readings, "1 day", late)
 
 
-def prefilter(readings: DataFrame, baseline: DataFrame, sigmas: float = 3.0) -> DataFrame:
-    """Readings whose vibration is over ``sigmas`` deviations off the machine's baseline.
+def flag_odd(readings: DataFrame, baseline: DataFrame, sigmas: float = 3.0) -> DataFrame:
+    """All readings, flagged where vibration is over ``sigmas`` deviations off the
+    machine's baseline.
 
-    ``baseline`` is a static table with ``machineID``, ``mean`` and ``std``.
+    ``baseline`` is a static table with ``machineID``, ``mean`` and ``std``; a machine
+    without one, or without deviation, has no score and isn't flagged.
     """
     z = (F.col("vibration") - F.col("mean")) / F.nullif(F.col("std"), F.lit(0.0))
+    odd = F.coalesce(F.abs("zscore") > sigmas, F.lit(False))
     return (
-        per_key_join(readings, baseline)
+        per_key_join(readings, baseline, how="left")
         .withColumn("zscore", z)
-        .filter(F.abs("zscore") > sigmas)
-        .select("machineID", "datetime", "vibration", "zscore")
+        .select("machineID", "datetime", "vibration", "zscore", odd.alias("is_odd"))
+    )
+
+
+def prefilter(readings: DataFrame, baseline: DataFrame, sigmas: float = 3.0) -> DataFrame:
+    """Only the readings that ``flag_odd`` flags."""
+    return flag_odd(readings, baseline, sigmas).filter("is_odd").drop("is_odd")
+
+
+def sessions(readings: DataFrame, gap: str = "2 hours", late: str = WATERMARK) -> DataFrame:
+    """Runs of readings of a machine without a pause of ``gap``, once they are over."""
+    return (
+        readings.withWatermark("datetime", late)
+        .groupBy("machineID", F.session_window("datetime", gap).alias("w"))
+        .agg(F.count("*").alias("readings"), F.avg("vibration").alias("vibration_mean"))
+        .select(
+            "machineID",
+            F.col("w.start").alias("session_start"),
+            F.col("w.end").alias("session_end"),
+            "readings",
+            "vibration_mean",
+        )
+    )
+
+
+def last_events(events: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
+    """Newest time of each kind of event per machine; the state is a row per machine.
+
+    ``events`` has ``machineID``, ``datetime`` and ``kind``.
+    """
+    return events.groupBy("machineID").agg(
+        *[F.max(F.when(F.col("kind") == k, F.col("datetime"))).alias(f"last_{k}") for k in kinds]
     )
 
 

@@ -98,6 +98,22 @@ SELECT machineID, any_value(model) AS model, failure,
        (SELECT count(*) - 1 FROM kinds k WHERE k.failure = p.failure) AS peer_machines,
        count(*) AS shared_hours, {no_nan('corr(v, other)')} AS vibration_correlation
 FROM pairs p JOIN pdm_machines USING (machineID) GROUP BY machineID, failure
+""",
+    "similar_machines": f"""
+kinds AS (SELECT DISTINCT machineID, failure FROM pdm_failures),
+hourly AS (SELECT machineID, date_trunc('hour', datetime) AS hour, avg(vibration) AS v
+           FROM pdm_telemetry GROUP BY 1, 2),
+peers AS (SELECT DISTINCT b.machineID FROM kinds a JOIN kinds b USING (failure)
+          WHERE a.machineID = 3 AND b.machineID <> 3),
+same AS (
+  SELECT b.machineID, {no_nan('corr(b.v, a.v)')} AS vibration_correlation
+  FROM hourly a JOIN hourly b USING (hour) WHERE a.machineID = 3 GROUP BY b.machineID
+)
+---
+SELECT CAST(3 AS BIGINT) AS machine_a, p.machineID AS machine_b,
+       (SELECT model FROM pdm_machines WHERE machineID = 3) AS model_a, m.model AS model_b,
+       vibration_correlation
+FROM peers p JOIN pdm_machines m USING (machineID) LEFT JOIN same s USING (machineID)
 """,
     "utilisation": """
 SELECT CAST(date_trunc('hour', datetime) AS TIMESTAMP) AS hour,

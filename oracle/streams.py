@@ -37,6 +37,47 @@ base AS (SELECT machineID, avg(vibration) AS m, nullif(stddev_samp(vibration), 0
 ---
 SELECT machineID, datetime, vibration, (vibration - m) / s AS zscore
 FROM pdm_telemetry JOIN base USING (machineID) WHERE abs((vibration - m) / s) > 2
+""",
+    "stream_flags": """
+base AS (SELECT machineID, avg(vibration) AS m, nullif(stddev_samp(vibration), 0) AS s
+         FROM pdm_telemetry WHERE datetime < TIMESTAMP '2024-01-15' GROUP BY machineID)
+---
+SELECT machineID, datetime, vibration, (vibration - m) / s AS zscore,
+       coalesce(abs((vibration - m) / s) > 2, false) AS is_odd
+FROM pdm_telemetry LEFT JOIN base USING (machineID)
+""",
+    "stream_late_data": f"""
+mark AS (SELECT epoch_ms(max(datetime)) - 3600000 AS ms FROM pdm_telemetry WHERE event_id % 10 <> 0),
+hours AS (SELECT *, time_bucket(INTERVAL 1 HOUR, datetime) AS window_start FROM pdm_telemetry)
+---
+SELECT machineID, window_start, window_start + INTERVAL 1 HOUR AS window_end,
+       count(*) AS readings, {STATS}
+FROM hours, mark
+WHERE event_id % 10 <> 0 OR epoch_ms(window_start + INTERVAL 1 HOUR) > ms
+GROUP BY machineID, window_start
+""",
+    "stream_last_events": """
+SELECT user_id AS machineID, max(ts) FILTER (WHERE event_type = 'error') AS last_error,
+       max(ts) FILTER (WHERE event_type = 'purchase') AS last_purchase,
+       max(ts) FILTER (WHERE event_type = 'signup') AS last_signup
+FROM ev GROUP BY 1
+""",
+    "stream_sessions": """
+mark AS (SELECT epoch_ms(max(datetime)) - 3600000 AS ms FROM pdm_telemetry),
+cuts AS (
+  SELECT *, coalesce(datetime - lag(datetime) OVER w > INTERVAL 2 HOUR, true) AS first
+  FROM pdm_telemetry WINDOW w AS (PARTITION BY machineID ORDER BY datetime)
+),
+runs AS (
+  SELECT *, sum(first::INT) OVER (PARTITION BY machineID ORDER BY datetime) AS run FROM cuts
+),
+ended AS (
+  SELECT machineID, min(datetime) AS session_start, max(datetime) + INTERVAL 2 HOUR AS session_end,
+         count(*) AS readings, avg(vibration) AS vibration_mean
+  FROM runs GROUP BY machineID, run
+)
+---
+SELECT ended.* FROM ended, mark WHERE epoch_us(session_end) <= ms * 1000
 """,
     "stream_quality": """
 SELECT DISTINCT machineID, datetime, volt IS NULL OR rotate IS NULL OR vibration IS NULL AS has_missing,
