@@ -43,7 +43,7 @@ from .words import batch_words, mix
 #: Window sizes in words, words between document windows, steps of a walk.
 SIZES, STRIDE, STEPS = (8, 16, 32), 8, 64
 #: Sampled steps per key, walks, wanted recall, allowed edits in % of an item's words.
-SAMPLES, WALKS, RECALL, EDIT_PCT = 4, 2, 0.95, 25
+SAMPLES, WALKS, RECALL, EDIT_PCT = 4, 2, 0.99, 25
 #: Places of an item (start, middle, end) where its windows start.
 PLACES = 3
 BLOCK_ITEMS = 20000
