@@ -1,7 +1,7 @@
 import math
 
 from .base import no_nan
-from .history import CUT, ERRORS_BY_HOUR, READINGS, SPLIT, label_ctes
+from .history import CUT, ERRORS_BY_HOUR, MASTER, READINGS, SPLIT, label_ctes
 
 SENSORS = ("voltage", "rotation_speed", "pressure", "vibration")
 PAIRS = [(a, b) for i, a in enumerate(SENSORS) for b in SENSORS[i + 1 :]]
@@ -309,3 +309,30 @@ SELECT machine_id, start_time, end_time, label,
 FROM steps, scut
 """,
 }
+
+
+def _inner(sql: str) -> str:
+    ctes, select = sql.split("---", 1)
+    return f"WITH RECURSIVE {ctes.strip()}\n{select.strip()}"
+
+
+def _table() -> str:
+    """The statements of all parts, joined on machine and time."""
+    parts = (
+        "rolling_moments rolling_shape rolling_quantiles rate_of_change trend_slopes spectral interactions "
+        "rolling_corr ewma cumulative_deviation baseline_zscore calendar_features event_history"
+    ).split()
+    tables = ",\n".join(f"part_{n} AS ({_inner(SQL[n])})" for n in parts)
+    columns = ",\n       ".join(f"part_{n}.* EXCLUDE (machine_id, timestamp)" for n in parts)
+    joins = "\n".join(f"LEFT JOIN part_{n} USING (machine_id, timestamp)" for n in parts)
+    return f"""{MASTER},
+{tables}
+---
+SELECT master.* EXCLUDE (error_count_24h),
+       {columns}
+FROM master
+{joins}
+"""
+
+
+SQL["build_features"] = _table()
