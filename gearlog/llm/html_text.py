@@ -1,8 +1,8 @@
 """Main text of web pages by line-block distribution.
 
 Markup becomes a list of blocks (one line of text each) with a weight: characters
-outside links, nothing for menus, headers, footers, sidebars, notices, adverts,
-forms and reader comments, and a floor for blocks inside the page's article. Sums
+outside links, and a floor for blocks inside the page's article. Menus, headers,
+footers, sidebars, notices, adverts, forms and reader comments give no text. Sums
 of weights over sliding windows of lines rise at a surge point and fall back at a
 dive point; the text between the two is kept, one region or several.
 
@@ -26,7 +26,7 @@ from .common import slices
 #: Elements of HTML by what they do to text.
 HIDDEN = ("script", "style", "noscript", "template", "svg", "iframe", "object", "head", "title", "textarea", "select", "math", "canvas")
 NOISE = ("nav", "footer", "aside", "form", "header", "menu", "dialog", "button")
-BLOCKS = ("address", "article", "blockquote", "body", "caption", "center", "dd", "details", "dialog", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hgroup", "hr", "html", "legend", "li", "main", "menu", "nav", "ol", "option", "p", "pre", "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul")
+BLOCKS = ("address", "article", "aside", "blockquote", "body", "caption", "center", "dd", "details", "dialog", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hgroup", "hr", "html", "legend", "li", "main", "menu", "nav", "ol", "option", "p", "pre", "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul")
 VOID = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr")
 #: Words of class, id and role names that mark what is not the article.
 NOISE_NAMES = ("ad", "ads", "adv", "advert", "advertisement", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "complementary", "consent", "contentinfo", "cookie", "cookies", "disqus", "footer", "gdpr", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "pagination", "popup", "promo", "related", "replies", "search", "share", "sidebar", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget")
@@ -56,34 +56,32 @@ def _noisy(attrs: str) -> bool:
 
 
 def blocks(page: str) -> list[tuple[str, int, bool]]:
-    """(text, weight without links and noise, inside the article) of each block."""
+    """(text, weight without links, inside the article) of each block."""
     out: list[tuple[str, int, bool]] = []
     stack: list[tuple[str, int]] = []  # open elements that matter: name, kind
     NOISE_KIND, ARTICLE, LINK, PLAIN = 1, 2, 3, 0
     noise = article = link = 0
     text: list[str] = []
-    linked = 0
-    article_noise = [0]
+    plain = 0  # characters of the block outside links
 
     def close() -> None:
-        nonlocal linked
+        nonlocal plain
         if text:
             s = _SPACES.sub(" ", html.unescape("".join(text))).strip()
             if s:
-                kept = not noise
-                out.append((s, max(0, len(s) - linked) if kept else 0, bool(article) and kept))
+                out.append((s, min(len(s), plain), bool(article)))
             text.clear()
-        linked = 0
+        plain = 0
 
     at, size = 0, len(page)
     while at < size:
         m = _TAG.search(page, at)
         end = m.start() if m else size
-        if end > at:
+        if end > at and not noise:
             piece = page[at:end]
             text.append(piece)
-            if link:
-                linked += len(piece.strip())
+            if not link:
+                plain += len(piece.strip())
         if not m:
             break
         at = m.end()

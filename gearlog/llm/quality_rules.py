@@ -193,17 +193,17 @@ def learn(x: dict[str, np.ndarray], poor: np.ndarray) -> list[list[Condition]]:
             rule.append(c)
             on &= c.holds(x)
 
-        def worth(r: list[Condition], rows: np.ndarray) -> tuple[float, float]:
+        def worth(r: list[Condition], rows: np.ndarray) -> tuple[float, float, float]:
             hit = _covers(r, x, n) & rows
-            p = float((hit & poor).sum())
-            return (p + 1) / (hit.sum() + 2), p
+            p, all_hit = float((hit & poor).sum()), float(hit.sum())
+            return (p + 1) / (all_hit + 2), p, p / max(all_hit, 1)
 
         candidates = [rule[:k] for k in range(1, len(rule) + 1)]
         if not candidates:
             break
         # the shortest form of the best value on the pruning rows
         rule = max(candidates, key=lambda r: (round(worth(r, prune)[0], 3), -len(r)))
-        precise, found = worth(rule, prune)
+        _, found, precise = worth(rule, prune)
         hit = _covers(rule, x, n) & live
         if precise < PRECISION or found < 2 or (hit & poor).sum() < PRECISION * hit.sum():
             break
