@@ -12,6 +12,8 @@ from gearlog.sources.shared import shared_path
 
 #: Texts handed to numpy together: about this many bytes.
 SLICE_BYTES = 1 << 19
+#: Narrow rows (a few numbers) that one task writes.
+ROWS_PER_TASK = 100_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,8 +30,12 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.base, self.count = spark, shared_path(spark, name), 0
 
-    def write(self, df: DataFrame) -> DataFrame:
+    def write(self, df: DataFrame, rows: int | None = None) -> DataFrame:
+        """Write and read back. ``rows``, where a bound is known, sets how many tasks
+        and files a table of narrow rows is worth."""
         self.count += 1
+        if rows is not None:
+            df = df.coalesce(max(1, -(-rows // ROWS_PER_TASK)))
         path = f"{self.base}/{self.count}"
         df.write.mode("overwrite").parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)

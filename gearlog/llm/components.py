@@ -27,17 +27,15 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.filter("u <> v").distinct()
 
 
-def components(scratch: Scratch, edges: DataFrame) -> DataFrame:
-    """(node, component) of every node with an edge; ``edges`` has (u, v), any order."""
-    now = scratch.write(
-        edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        .filter("u <> v")
-        .distinct()
-    )
+def components(scratch: Scratch, edges: DataFrame, rows: int | None = None) -> DataFrame:
+    """(node, component) of every node with an edge; ``edges`` has (u, v), any order,
+    and at most ``rows`` rows, if known."""
+    plain = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+    now = scratch.write(plain.filter("u <> v").distinct(), rows)
     mark = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-    while True:
-        half = scratch.write(_star(now, large=True))
-        new = scratch.write(_star(half, large=False))
+    while mark[0]:
+        half = scratch.write(_star(now, large=True), mark[0])
+        new = scratch.write(_star(half, large=False), mark[0])
         seen = new.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         scratch.drop(now, half)
         now = new

@@ -7,11 +7,14 @@
 2. Equal sets collapse into one class, so copies never meet in pairs.
 3. Bands of the signature are bucket keys. In a bucket every class is paired with
    one hub: a star, not all pairs. Pairs are confirmed on the full sets.
-4. A member that the hub didn't confirm may still belong to another one. Buckets
-   that hold more than one component after a round get further hubs in the next
-   round, which meet only members of other components, until every bucket is one
-   component or all its hubs have been tried. So no link that a bucket holds is
-   lost, and the pairs tried stay near the bucket sizes.
+4. A member that the hub didn't confirm may still belong to another member. Where
+   the members of a hub make up several components, each gets an upper bound: its
+   shingles that any other of these documents has. A document whose bound rules out
+   every partner of its group's sizes is settled without meeting anyone. The few
+   that are left go back to their buckets, where further hubs meet the members of
+   other components, round by round, until every bucket is one component or all
+   its members have been hubs. So no link that a bucket holds is lost, and the pairs
+   tried stay near the number of bucket rows.
 
 Cases: a null text, or one without words, has an empty set and links with
 nothing; fewer than five words make one shingle of the whole sequence; rows with
@@ -34,7 +37,7 @@ from .common import Scratch, is_empty, slices
 from .components import components
 from .words import batch_words, grams, mix
 
-WORDS, BINS, ROWS_PER_BAND = 5, 160, 4
+WORDS, BINS, ROWS_PER_BAND = 5, 240, 5
 _order = np.random.default_rng(77)
 #: For each bin a random order of all bins, where a filled one is looked for.
 _PROBES = np.stack([_order.permutation(BINS) for _ in range(BINS)])
@@ -111,16 +114,13 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in slices(batches):
-        sets = shingle_sets(b.column(0).to_pylist())
+        sets = shingle_sets(b.column(1).to_pylist())
         yield pa.RecordBatch.from_arrays(
-            [pa.array([_digest(s) for s in sets], pa.binary()), _lists(sets)], names=["digest", "set"]
+            [b.column(0), pa.array([_digest(s) for s in sets], pa.binary()), _lists(sets)],
+            names=["rep", "digest", "set"],
         )
 
 
-#: Hubs of a bucket in its second round; later rounds take four times as many.
-MORE_HUBS = 4
-
-
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold_pct: int = 75
 ) -> DataFrame:
@@ -133,9 +133,9 @@ def near_duplicates(
     classes = scratch.write(  # one row for each distinct non-empty set with a document
         rows.filter("n_shingles > 0 AND doc_id IS NOT NULL")
         .groupBy("digest")
-        .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
+        .agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
     )
-    edges = _linked_classes(scratch, named, classes, threshold_pct)
+    edges, found = _links(scratch, named, classes, threshold_pct)
     # rows of one doc_id with different sets are one node
     same = (
         rows.filter("n_shingles > 0 AND doc_id IS NOT NULL")
@@ -151,9 +151,11 @@ def near_duplicates(
         .select(F.col("doc_id").alias("u"), F.col("rep").alias("v"))
         .filter("u <> v")
     )
-    found = scratch.write(components(scratch, edges.unionByName(tied)))
+    tied = scratch.write(tied)
+    if found is None or not is_empty(tied):
+        found = _components(scratch, edges.unionByName(tied), edges.count() + tied.count())
     placed = scratch.write(
-        classes.join(found, classes["rep"] == found["node"], "left").select(
+        classes.join(found, "rep", "left").select(
             "digest", F.coalesce("component", "rep").alias("linked")
         )
     )
@@ -170,81 +172,161 @@ def near_duplicates(
     )
 
 
-def _linked_classes(scratch: Scratch, named: DataFrame, classes: DataFrame, pct: int) -> DataFrame:
-    """Confirmed links (u, v) between representatives of classes."""
-    spark = scratch.spark
-    member = F.struct("rep", "digest", "n").alias("m")
-    buckets = classes.select(F.explode("bands").alias("key"), member)
+def _confirmed(pairs: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
+    """The (u, v) pairs whose full sets are similar enough."""
+    a = sets.select(F.col("rep").alias("u"), F.col("set").alias("su"))
+    ends = sets.join(pairs.select(F.col("v").alias("rep")).distinct(), "rep", "left_semi")
+    b = ends.select(F.col("rep").alias("v"), F.col("set").alias("sv"))
+    small, large = F.least(F.size("su"), F.size("sv")), F.greatest(F.size("su"), F.size("sv"))
+    both = F.size(F.array_intersect("su", "sv"))
+    return (
+        pairs.join(a, "u")
+        .join(b, "v")
+        .filter(small * 100 >= large * pct)
+        .select("u", "v", both.alias("both"), (small + large).alias("sum"))
+        .filter(F.col("both") * 100 >= (F.col("sum") - F.col("both")) * pct)
+        .select("u", "v")
+        .distinct()
+    )
+
+
+def _components(scratch: Scratch, edges: DataFrame, rows: int) -> DataFrame:
+    return scratch.write(components(scratch, edges, rows).withColumnRenamed("node", "rep"), 2 * rows)
+
+
+def _links(
+    scratch: Scratch, named: DataFrame, classes: DataFrame, pct: int
+) -> tuple[DataFrame, DataFrame | None]:
+    """Confirmed links (u, v) between documents that represent classes, and their
+    components (None if there are none)."""
+    buckets = classes.select(F.explode("bands").alias("key"), "rep")
     shared = scratch.write(  # hub of every bucket with more than one class
-        buckets.groupBy("key").agg(F.min("m").alias("hub"), F.count("*").alias("size")).filter("size > 1")
+        buckets.groupBy("key").agg(F.min("rep").alias("hub"), F.max("rep").alias("other")).filter("hub <> other")
     )
-    buckets = scratch.write(buckets.join(shared.select("key"), "key"))
-    close = (  # sizes alone can rule a pair out
-        (F.least("m.n", "hub.n") * 100 >= F.greatest("m.n", "hub.n") * pct) & (F.col("m") != F.col("hub"))
+    tried = scratch.write(
+        buckets.join(shared.select("key", "hub"), "key")
+        .filter("rep <> hub")
+        .select(F.col("rep").alias("u"), F.col("hub").alias("v"))
+        .distinct()
     )
-    tried = scratch.write(buckets.join(shared, "key").filter(close).select("m", "hub").distinct())
-    if is_empty(tried):
-        return spark.createDataFrame([], "u long, v long")
-    # full sets of the classes that are in some pair
-    wanted = buckets.select("m.rep", "m.digest").distinct()
-    texts = named.join(wanted.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    n_pairs = tried.count()
+    if n_pairs == 0:
+        return tried, None
+    wanted = tried.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct()
     sets = scratch.write(
-        texts.select("text")
-        .mapInArrow(_full, "digest binary, set array<long>")
-        .dropDuplicates(["digest"])
+        named.join(wanted, "doc_id", "left_semi")
+        .mapInArrow(_full, "rep long, digest binary, set array<long>")
+        .join(classes.select("rep", "digest"), ["rep", "digest"], "left_semi")
+        .dropDuplicates(["rep", "digest"])
+        .drop("digest")
     )
+    edges = scratch.write(_confirmed(tried, sets, pct))
+    found = _components(scratch, edges, n_pairs)
+    open_docs = _open_documents(scratch, tried, n_pairs, found, sets, pct)
+    if is_empty(open_docs):
+        return edges, found
+    # their buckets, without the hubs that have met them all
+    left = scratch.write(
+        classes.join(open_docs, "rep", "left_semi")
+        .select(F.explode("bands").alias("key"), "rep")
+        .join(shared.select("key", "hub"), "key")
+        .filter("rep <> hub")
+        .select("key", "rep")
+        .distinct()
+    )
+    return _rounds(scratch, left, tried, edges, found, sets, pct)
 
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        a = sets.select(F.col("digest").alias("da"), F.col("set").alias("sa"))
-        b = sets.select(F.col("digest").alias("db"), F.col("set").alias("sb"))
-        both = F.size(F.array_intersect("sa", "sb"))
-        return (
-            pairs.join(a, F.col("m.digest") == F.col("da"))
-            .join(b, F.col("hub.digest") == F.col("db"))
-            .withColumn("both", both)
-            .filter(F.col("both") * 100 >= (F.col("m.n") + F.col("hub.n") - F.col("both")) * pct)
-            .select(F.col("m.rep").alias("u"), F.col("hub.rep").alias("v"))
-        )
 
-    edges = scratch.write(confirmed(tried))
-    # a hub has met its whole bucket: what is left to compare is among the others
-    left = scratch.write(
-        buckets.join(shared.filter("size > 2"), "key").filter("m <> hub").select("key", "m")
+def _open_documents(
+    scratch: Scratch, tried: DataFrame, n_pairs: int, found: DataFrame, sets: DataFrame, pct: int
+) -> DataFrame:
+    """(rep) of documents that may have a link which no hub has shown."""
+    members = tried.select(F.col("v").alias("hub"), F.col("u").alias("rep")).unionByName(
+        tried.select(F.col("v").alias("hub"), F.col("v").alias("rep")).distinct()
+    )
+    sizes = sets.groupBy("rep").agg(F.max(F.size("set")).alias("n"))
+    members = scratch.write(
+        members.join(found, "rep", "left")
+        .withColumn("comp", F.coalesce("component", "rep"))
+        .select("hub", "rep", "comp")
+        .join(sizes, "rep"),
+        2 * n_pairs,
     )
-    hubs = MORE_HUBS
+    for _ in range(2):  # a second look, without the documents that the first has settled
+        mixed = (
+            members.groupBy("hub")
+            .agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("n").alias("least"))
+            .filter("lo <> hi")
+            .select("hub", "least")
+        )
+        mixed = scratch.write(mixed, n_pairs)
+        members = scratch.write(members.join(mixed, "hub"), 2 * n_pairs)
+        held = sets.join(members.select("rep").distinct(), "rep", "left_semi").select(
+            "rep", F.explode("set").alias("shingle")
+        )
+        held = scratch.write(held)
+        common = held.groupBy("shingle").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).filter("lo <> hi")
+        bound = held.join(common.select("shingle"), "shingle").groupBy("rep").agg(F.count("*").alias("core"))
+        # |x & y| <= core(x), so core(x) must reach the overlap that the smallest partner needs
+        least = F.greatest(F.col("least"), F.ceil(F.col("n") * pct / 100))
+        members = scratch.write(
+            members.join(bound, "rep")
+            .filter(F.col("core") * (100 + pct) >= pct * (F.col("n") + least))
+            .drop("core", "least"),
+            2 * n_pairs,
+        )
+        scratch.drop(held)
+    mixed = members.groupBy("hub").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
+    left = members.join(mixed.select("hub"), "hub", "left_semi").select("rep").distinct()
+    return scratch.write(left, n_pairs)
+
+
+#: Hubs of a bucket in its first further round; later ones take four times as many.
+MORE_HUBS = 4
+
+
+def _rounds(
+    scratch: Scratch,
+    left: DataFrame,
+    tried: DataFrame,
+    edges: DataFrame,
+    found: DataFrame,
+    sets: DataFrame,
+    pct: int,
+) -> tuple[DataFrame, DataFrame]:
+    """All links, with those between members of buckets ``left`` (key, rep)."""
+    hubs, n = MORE_HUBS, left.count()
     while True:
-        found = components(scratch, edges).withColumnRenamed("node", "rep")
-        named_rows = left.select("key", "m", F.col("m.rep").alias("rep"))
         rest = scratch.write(
-            named_rows.join(scratch.write(found), "rep", "left").select(
-                "key", "m", F.coalesce("component", "rep").alias("comp")
-            )
+            left.join(found, "rep", "left").select("key", "rep", F.coalesce("component", "rep").alias("comp")),
+            n,
         )
         sizes = rest.groupBy("key", "comp").agg(F.count("*").alias("c"))
         mixed = scratch.write(  # buckets with several components, the largest one named
             sizes.groupBy("key")
             .agg(F.max(F.struct("c", "comp")).alias("most"), F.sum("c").alias("size"), F.count("*").alias("comps"))
             .filter("comps > 1")
-            .select("key", F.col("most.comp").alias("main"), (F.col("size") - F.col("most.c")).alias("others"))
+            .select("key", F.col("most.comp").alias("main"), (F.col("size") - F.col("most.c")).alias("others")),
+            n,
         )
         if is_empty(mixed):
-            return edges
-        rest = scratch.write(rest.join(mixed, "key"))
+            return edges, found
         # any pair still open has an end outside the largest component
         share = F.ceil(F.col("others") / hubs)
-        chosen = (F.col("comp") != F.col("main")) & (F.pmod(F.xxhash64("m.digest", F.lit(hubs)), share) == 0)
-        rest = scratch.write(rest.withColumn("is_hub", chosen))
-        new = scratch.write(
-            rest.filter("is_hub").select("key", F.col("m").alias("hub"), F.col("comp").alias("hub_comp"))
-        )
+        chosen = (F.col("comp") != F.col("main")) & (F.pmod(F.xxhash64("rep", F.lit(hubs)), share) == 0)
+        rest = scratch.write(rest.join(mixed, "key").withColumn("is_hub", chosen).drop("main", "others"), n)
+        new = rest.filter("is_hub").select("key", F.col("rep").alias("hub"), F.col("comp").alias("hub_comp"))
         pairs = (
             rest.join(new, "key")
-            .filter(close & (F.col("comp") != F.col("hub_comp")))
-            .select(F.greatest("m", "hub").alias("m"), F.least("m", "hub").alias("hub"))
+            .filter("comp <> hub_comp")
+            .select(F.greatest("rep", "hub").alias("u"), F.least("rep", "hub").alias("v"))
             .distinct()
         )
-        pairs = scratch.write(pairs.join(tried, ["m", "hub"], "left_anti"))
-        edges = scratch.write(edges.unionByName(confirmed(pairs)))
+        pairs = scratch.write(pairs.join(tried, ["u", "v"], "left_anti"))
+        more = scratch.write(_confirmed(pairs, sets, pct))
+        if not is_empty(more):
+            edges = scratch.write(edges.unionByName(more))
+            found = _components(scratch, edges, edges.count())
         tried = scratch.write(tried.unionByName(pairs))
-        left = scratch.write(rest.filter("NOT is_hub").select("key", "m"))
+        left = rest.filter("NOT is_hub").select("key", "rep")
         hubs *= 4
