@@ -30,27 +30,27 @@ LIMIT = "6"
 _LEAST_ID = -(2**63)
 
 
-def _ends(hashes: Column) -> Column:
-    """Positions (from 1) of the last line of each chunk."""
-
-    def cut(i: Column) -> Column:
-        before = F.when(i > 1, F.element_at(hashes, F.greatest(i - 1, F.lit(1)))).otherwise(F.lit(""))
-        rolling = F.md5(F.concat(before, F.element_at(hashes, i)))
-        return (i == F.size(hashes)) | (F.substring(rolling, 1, 1) < LIMIT)
+def with_chunks(df: DataFrame, text: str) -> DataFrame:
+    """Add ``_chunks``: arrays of lines, whose joined form is the text.
 
-    return F.filter(F.sequence(F.lit(1), F.size(hashes)), cut)
+    Every step is a column of its own that the next one reads more than once, so
+    none is worked out again inside another's loop.
+    """
+    df = df.withColumn("_lines", F.split(F.col(text), "\n"))
+    df = df.withColumn("_hashes", F.transform("_lines", lambda x: F.md5(x.cast("binary"))))
 
+    def cut(i: Column) -> Column:  # i: position of a line, from 1
+        before = F.when(i > 1, F.element_at("_hashes", F.greatest(i - 1, F.lit(1)))).otherwise(F.lit(""))
+        rolling = F.md5(F.concat(before, F.element_at("_hashes", i)))
+        return (i == F.size("_hashes")) | (F.substring(rolling, 1, 1) < LIMIT)
 
-def with_chunks(df: DataFrame, text: str) -> DataFrame:
-    """Add ``_chunks``: arrays of lines, whose joined form is the text."""
-    df = df.withColumn("_lines", F.split(F.col(text), "\n"))
-    df = df.withColumn("_ends", _ends(F.transform("_lines", lambda x: F.md5(x.cast("binary")))))
+    df = df.withColumn("_ends", F.filter(F.sequence(F.lit(1), F.size("_hashes")), cut))
 
     def chunk(end: Column, k: Column) -> Column:
         start = F.when(k == 0, F.lit(1)).otherwise(F.element_at("_ends", F.greatest(k, F.lit(1))) + 1)
         return F.slice("_lines", start, end - start + 1)
 
-    return df.withColumn("_chunks", F.transform("_ends", chunk)).drop("_lines", "_ends")
+    return df.withColumn("_chunks", F.transform("_ends", chunk)).drop("_lines", "_hashes", "_ends")
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> tuple[Column, Column]:
@@ -60,25 +60,21 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> tuple[Column, Column]
     )
 
 
-def _repeated_chunks(scratch: Scratch, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(_id, _hash, drops: array of (position, chunk hash) to take away)."""
+def _cleaned_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(_id, _hash, _clean, _n_chunks, _n_lines) of documents that lose something."""
+    scratch = Scratch(docs.sparkSession, "line-dedup")
     own_id, own_hash = _keyed(docs, id_col, text_col)
     named = docs.filter(F.col(text_col).isNotNull()).select(
         own_id.alias("_id"), own_hash.alias("_hash"), F.col(text_col).alias("_text")
     )
-    chunked = with_chunks(named, "_text").drop("_text")
     several = lambda c: F.size(F.filter(c, lambda x: x.rlike(r"[^\x20\x09-\x0D]"))) >= 2
+    hashes = F.transform(
+        "_chunks", lambda c: F.when(several(c), F.md5(F.array_join(c, "\n").cast("binary")))
+    )
     places = scratch.write(
-        chunked.select(
-            "_id",
-            "_hash",
-            F.posexplode(
-                F.transform(
-                    "_chunks",
-                    lambda c: F.when(several(c), F.md5(F.array_join(c, "\n").cast("binary"))),
-                )
-            ).alias("pos", "chunk"),
-        ).filter("chunk IS NOT NULL")
+        with_chunks(named, "_text")
+        .select("_id", "_hash", F.posexplode(hashes).alias("pos", "chunk"))
+        .filter("chunk IS NOT NULL")
     )
     first = F.min(F.struct("_id", "_hash", "pos")).alias("first")
     last = F.max(F.struct("_id", "_hash", "pos")).alias("last")
@@ -91,59 +87,56 @@ def _repeated_chunks(scratch: Scratch, docs: DataFrame, id_col: str, text_col: s
     marked = scratch.write(
         found.groupBy("_id", "_hash").agg(F.collect_set(F.struct("pos", "chunk", "drop")).alias("marks"))
     )
+    held = scratch.write(with_chunks(named.join(marked, ["_id", "_hash"]), "_text").drop("_text"))
     # compare bytes: all texts under one chunk hash must be the same
-    texts = (
-        named.join(marked, ["_id", "_hash"])
-        .transform(lambda d: with_chunks(d, "_text"))
-        .select(
-            F.explode(
-                F.transform(
-                    "marks",
-                    lambda m: F.struct(
-                        m["chunk"].alias("chunk"),
-                        F.array_join(F.element_at("_chunks", m["pos"] + 1), "\n").alias("body"),
-                    ),
-                )
-            ).alias("c")
-        )
-        .select("c.chunk", "c.body")
+    bodies = F.transform(
+        "marks",
+        lambda m: F.struct(
+            m["chunk"].alias("chunk"),
+            F.array_join(F.element_at("_chunks", m["pos"] + 1), "\n").alias("body"),
+        ),
     )
     differ = scratch.write(
-        texts.groupBy("chunk", "body")
-        .agg(F.count("*").alias("n"))
+        held.select(F.explode(bodies).alias("c"))
+        .select("c.chunk", "c.body")
+        .distinct()
         .groupBy("chunk")
         .agg(F.count("*").alias("bodies"))
         .filter("bodies > 1")
         .select("chunk")
     )
-    drops = marked.select("_id", "_hash", F.explode("marks").alias("m")).filter("m.drop")
-    return scratch.write(
-        drops.select("_id", "_hash", F.col("m.pos").alias("pos"), F.col("m.chunk").alias("chunk"))
+    drops = (
+        marked.select("_id", "_hash", F.explode("marks").alias("m"))
+        .filter("m.drop")
+        .select("_id", "_hash", F.col("m.pos").alias("pos"), F.col("m.chunk").alias("chunk"))
         .join(differ, "chunk", "left_anti")
         .groupBy("_id", "_hash")
         .agg(F.collect_set("pos").alias("drops"))
     )
+    lines = held.select("_id", "_hash", "_chunks").join(scratch.write(drops), ["_id", "_hash"])
+    kept = F.filter("_chunks", lambda c, k: ~F.array_contains("drops", k))
+    gone = F.filter("_chunks", lambda c, k: F.array_contains("drops", k))
+    return scratch.write(
+        lines.select(
+            "_id",
+            "_hash",
+            F.array_join(F.flatten(kept), "\n").alias("_clean"),
+            F.size("drops").alias("_n_chunks"),
+            F.size(F.flatten(gone)).alias("_n_lines"),
+        ).dropDuplicates(["_id", "_hash"])
+    )
 
 
 def _cleaned(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """All rows and columns, with the result in ``_clean`` and counts of what went."""
-    scratch = Scratch(docs.sparkSession, "line-dedup")
-    drops = _repeated_chunks(scratch, docs, id_col, text_col)
+    """All rows as ``_row``, the result in ``_clean`` and counts of what went."""
     own_id, own_hash = _keyed(docs, id_col, text_col)
-    joined = docs.withColumns({"_id": own_id, "_hash": own_hash}).join(drops, ["_id", "_hash"], "left")
-    joined = with_chunks(
-        joined.withColumn("_cut", F.when(F.col("drops").isNotNull(), F.col(text_col))), "_cut"
-    )
-    kept = F.filter("_chunks", lambda c, k: ~F.array_contains("drops", k))
-    gone = F.filter("_chunks", lambda c, k: F.array_contains("drops", k))
-    return joined.withColumns(
-        {
-            "_clean": F.when(F.col("drops").isNull(), F.col(text_col)).otherwise(
-                F.array_join(F.flatten(kept), "\n")
-            ),
-            "_n_chunks": F.when(F.col("drops").isNull(), F.lit(0)).otherwise(F.size("drops")),
-            "_n_lines": F.when(F.col("drops").isNull(), F.lit(0)).otherwise(F.size(F.flatten(gone))),
-        }
+    changed = _cleaned_texts(docs, id_col, text_col)
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), own_id.alias("_id"), own_hash.alias("_hash"))
+    return rows.join(changed, ["_id", "_hash"], "left").select(
+        "_row",
+        F.coalesce(F.col("_clean"), F.col("_row")[text_col]).alias("_clean"),
+        F.coalesce("_n_chunks", F.lit(0)).alias("_n_chunks"),
+        F.coalesce("_n_lines", F.lit(0)).alias("_n_lines"),
     )
 
 
@@ -151,7 +144,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """doc_id, cleaned text, chunks and lines removed, for every document."""
     named = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     return _cleaned(named, "doc_id", "text").select(
-        "doc_id",
+        "_row.doc_id",
         F.col("_clean").alias("text"),
         F.col("_n_chunks").cast("long").alias("n_chunks_removed"),
         F.col("_n_lines").cast("long").alias("n_lines_removed"),
@@ -167,9 +160,9 @@ def dedup_documents(docs: DataFrame) -> DataFrame:
             columns.append(F.col("_clean").alias("text"))
         elif c == "n_chars":
             changed = F.char_length("_clean").cast(docs.schema[c].dataType)
-            columns.append(F.when(F.col("_n_lines") > 0, changed).otherwise(F.col(c)).alias(c))
+            columns.append(F.when(F.col("_n_lines") > 0, changed).otherwise(F.col("_row")[c]).alias(c))
         else:
-            columns.append(F.col(c))
+            columns.append(F.col("_row")[c].alias(c))
     return clean.select(*columns)
 
 
