@@ -153,13 +153,12 @@ def scan_licenses(
         "w", F.col("tf") * F.coalesce("idf", F.lit(other))
     )
     norms = F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("length")
+    shares = F.map_from_entries(F.coalesce("parts", F.array().cast("array<struct<k: int, share: double>>")))
     dots = [
-        F.sum(
-            F.col("w") * F.coalesce(F.get(F.filter("parts", lambda p, k=k: p["k"] == k), F.lit(0))["share"], F.lit(0.0))
-        ).alias(f"d{k}")
+        F.sum(F.col("w") * F.coalesce(F.element_at("shares", F.lit(k)), F.lit(0.0))).alias(f"d{k}")
         for k in range(len(notices))
     ]
-    scores = weighed.groupBy("unit").agg(norms, *dots)
+    scores = weighed.withColumn("shares", shares).groupBy("unit").agg(norms, *dots)
     best = F.sort_array(
         F.array(
             *[
