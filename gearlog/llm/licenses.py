@@ -62,7 +62,7 @@ _TERMS = r"[^a-z0-9.]+"
 def terms(text: Column) -> Column:
     """Lower-cased terms of letters, digits and inner full stops."""
     cut = F.split(F.lower(text), _TERMS)
-    bare = F.transform(cut, lambda t: F.regexp_replace(t, r"^\.+|\.+$", ""))
+    bare = F.transform(cut, lambda t: F.btrim(t, F.lit(".")))
     return F.filter(bare, lambda t: t != "")
 
 
@@ -139,14 +139,25 @@ def scan_licenses(
     # lines that hold a cue, and licence files as a whole
     cue = r"(?<![a-z0-9])(" + "|".join(c.replace(".", r"\.") for c in cues) + r")(?![a-z0-9])"
     lines = F.filter(F.split("text", "\n"), lambda x: F.lower(x).rlike(cue))
+    known = F.create_map(*[F.lit(x) for t in vocabulary for x in (t, idf[t])])
+    whole = F.when(F.col("is_license"), terms(F.col("text")))
+    named = named.withColumn("_weights", F.transform(whole, lambda t: F.element_at(known, t)))
+    inside = F.aggregate(F.array_compact("_weights"), F.lit(0.0), lambda a, x: a + x)
+    outside = F.size("_weights") - F.size(F.array_compact("_weights"))
+    # a text is at least as long as its foreign terms, and its known part at most
+    # as long as the sum of their weights: what can't reach the threshold goes
+    may = outside * (other * other * threshold**2) <= (1 - threshold**2) * inside * inside * 1.001
     units = F.array_distinct(
-        F.when(F.col("is_license"), F.concat(lines, F.array(F.col("text")))).otherwise(lines)
+        F.when(F.col("is_license") & may, F.concat(lines, F.array(F.col("text")))).otherwise(lines)
     )
-    unit_rows = named.filter("text IS NOT NULL").select(F.explode(units).alias("unit"))
-    distinct = scratch.write(unit_rows.distinct())  # a line that many files share is scored once
-    tf = (
-        distinct.select("unit", F.explode(terms(F.col("unit"))).alias("term"))
-        .groupBy("unit", "term")
+    held = named.filter("text IS NOT NULL").select(
+        "doc_id", "path", F.xxhash64("text").alias("_hash"), F.explode(units).alias("unit")
+    )
+    held = scratch.write(held.withColumn("unit_key", F.unhex(F.md5(F.col("unit").cast("binary")))))
+    tf = (  # a line that many files share is scored once
+        held.dropDuplicates(["unit_key"])
+        .select("unit_key", F.explode(terms(F.col("unit"))).alias("term"))
+        .groupBy("unit_key", "term")
         .agg(F.count("*").alias("tf"))
     )
     weighed = tf.join(F.broadcast(weights), "term", "left").withColumn(  # a row per template term
@@ -158,7 +169,7 @@ def scan_licenses(
         F.sum(F.col("w") * F.coalesce(F.element_at("shares", F.lit(k)), F.lit(0.0))).alias(f"d{k}")
         for k in range(len(notices))
     ]
-    scores = weighed.withColumn("shares", shares).groupBy("unit").agg(norms, *dots)
+    scores = weighed.withColumn("shares", shares).groupBy("unit_key").agg(norms, *dots)
     best = F.sort_array(
         F.array(
             *[
@@ -170,14 +181,11 @@ def scan_licenses(
         )
     )[0]
     matched = scratch.write(
-        scores.select("unit", best.alias("b"))
-        .filter(-F.col("b.minus") >= threshold)
-        .select("unit", "b")
+        scores.select("unit_key", best.alias("b")).filter(-F.col("b.minus") >= threshold)
     )
     own = (
-        named.filter("text IS NOT NULL")
-        .select("doc_id", "path", F.xxhash64("text").alias("_hash"), F.explode(units).alias("unit"))
-        .join(matched, "unit")
+        held.select("doc_id", "path", "_hash", "unit_key")
+        .join(matched, "unit_key")
         .groupBy("doc_id", "path", "_hash")
         .agg(F.min("b").alias("b"))
     )
