@@ -194,6 +194,26 @@ def _components(scratch: Scratch, edges: DataFrame, rows: int) -> DataFrame:
     return scratch.write(components(scratch, edges, rows).withColumnRenamed("node", "rep"), 2 * rows)
 
 
+#: Bits of the map that holds back texts nobody asks for: 4 MB to broadcast.
+MAP_BITS = 1 << 25
+
+
+def _marked(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows whose id's bit is set: all of ``wanted``, and few others while ``wanted``
+    is small against the map. Texts of the rest never reach a shuffle."""
+    spot = F.pmod(F.xxhash64("doc_id"), F.lit(MAP_BITS))
+    bits = wanted.select(spot.alias("spot")).groupBy(F.bitmap_bucket_number("spot").alias("_bucket"))
+    maps = bits.agg(F.bitmap_construct_agg(F.bitmap_bit_position("spot")).alias("_map"))
+    at = F.bitmap_bit_position(spot)
+    byte = F.conv(F.hex(F.substring("_map", (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return (
+        docs.withColumn("_bucket", F.bitmap_bucket_number(spot))
+        .join(F.broadcast(maps), "_bucket")  # at most MAP_BITS / 32768 rows of 4 KB
+        .filter(F.getbit(byte, (at % 8).cast("int")) == 1)
+        .drop("_bucket", "_map")
+    )
+
+
 def _links(
     scratch: Scratch, named: DataFrame, classes: DataFrame, pct: int
 ) -> tuple[DataFrame, DataFrame | None]:
@@ -212,9 +232,10 @@ def _links(
     n_pairs = tried.count()
     if n_pairs == 0:
         return tried, None
-    wanted = tried.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct()
+    wanted = scratch.write(tried.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct(), 2 * n_pairs)
     sets = scratch.write(
-        named.join(wanted, "doc_id", "left_semi")
+        _marked(named, wanted)
+        .join(wanted, "doc_id", "left_semi")
         .mapInArrow(_full, "rep long, digest binary, set array<long>")
         .join(classes.select("rep", "digest"), ["rep", "digest"], "left_semi")
         .dropDuplicates(["rep", "digest"])
@@ -227,11 +248,11 @@ def _links(
         return edges, found
     # their buckets, without the hubs that have met them all
     left = scratch.write(
-        classes.join(open_docs, "rep", "left_semi")
-        .select(F.explode("bands").alias("key"), "rep")
+        classes.join(open_docs, "rep")
+        .select(F.explode("bands").alias("key"), "rep", "n", "core")
         .join(shared.select("key", "hub"), "key")
         .filter("rep <> hub")
-        .select("key", "rep")
+        .select("key", "rep", "n", "core")
         .distinct()
     )
     return _rounds(scratch, left, tried, edges, found, sets, pct)
@@ -240,11 +261,12 @@ def _links(
 def _open_documents(
     scratch: Scratch, tried: DataFrame, n_pairs: int, found: DataFrame, sets: DataFrame, pct: int
 ) -> DataFrame:
-    """(rep) of documents that may have a link which no hub has shown."""
+    """(rep, n, core) of documents that may have a link which no hub has shown: set
+    size, and shingles that another such document may share."""
     members = tried.select(F.col("v").alias("hub"), F.col("u").alias("rep")).unionByName(
         tried.select(F.col("v").alias("hub"), F.col("v").alias("rep")).distinct()
     )
-    sizes = sets.groupBy("rep").agg(F.max(F.size("set")).alias("n"))
+    sizes = sets.groupBy("rep").agg(F.min(F.size("set")).alias("n"))
     members = scratch.write(
         members.join(found, "rep", "left")
         .withColumn("comp", F.coalesce("component", "rep"))
@@ -260,7 +282,7 @@ def _open_documents(
             .select("hub", "least")
         )
         mixed = scratch.write(mixed, n_pairs)
-        members = scratch.write(members.join(mixed, "hub"), 2 * n_pairs)
+        members = scratch.write(members.join(mixed, "hub").select("hub", "rep", "comp", "n", "least"), 2 * n_pairs)
         held = sets.join(members.select("rep").distinct(), "rep", "left_semi").select(
             "rep", F.explode("set").alias("shingle")
         )
@@ -272,12 +294,12 @@ def _open_documents(
         members = scratch.write(
             members.join(bound, "rep")
             .filter(F.col("core") * (100 + pct) >= pct * (F.col("n") + least))
-            .drop("core", "least"),
+            .drop("least"),
             2 * n_pairs,
         )
         scratch.drop(held)
     mixed = members.groupBy("hub").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
-    left = members.join(mixed.select("hub"), "hub", "left_semi").select("rep").distinct()
+    left = members.join(mixed.select("hub"), "hub", "left_semi").select("rep", "n", "core").distinct()
     return scratch.write(left, n_pairs)
 
 
@@ -294,11 +316,13 @@ def _rounds(
     sets: DataFrame,
     pct: int,
 ) -> tuple[DataFrame, DataFrame]:
-    """All links, with those between members of buckets ``left`` (key, rep)."""
+    """All links, with those between members of buckets ``left`` (key, rep, n, core)."""
     hubs, n = MORE_HUBS, left.count()
     while True:
         rest = scratch.write(
-            left.join(found, "rep", "left").select("key", "rep", F.coalesce("component", "rep").alias("comp")),
+            left.join(found, "rep", "left").select(
+                "key", "rep", "n", "core", F.coalesce("component", "rep").alias("comp")
+            ),
             n,
         )
         sizes = rest.groupBy("key", "comp").agg(F.count("*").alias("c"))
@@ -315,10 +339,18 @@ def _rounds(
         share = F.ceil(F.col("others") / hubs)
         chosen = (F.col("comp") != F.col("main")) & (F.pmod(F.xxhash64("rep", F.lit(hubs)), share) == 0)
         rest = scratch.write(rest.join(mixed, "key").withColumn("is_hub", chosen).drop("main", "others"), n)
-        new = rest.filter("is_hub").select("key", F.col("rep").alias("hub"), F.col("comp").alias("hub_comp"))
+        new = rest.filter("is_hub").select(
+            "key",
+            F.col("rep").alias("hub"),
+            F.col("comp").alias("hub_comp"),
+            F.col("n").alias("hub_n"),
+            F.col("core").alias("hub_core"),
+        )
+        # what two sets share is in the core of both, and a link needs this much of it
+        enough = F.least("core", "hub_core") * (100 + pct) >= pct * (F.col("n") + F.col("hub_n"))
         pairs = (
             rest.join(new, "key")
-            .filter("comp <> hub_comp")
+            .filter((F.col("comp") != F.col("hub_comp")) & enough)
             .select(F.greatest("rep", "hub").alias("u"), F.least("rep", "hub").alias("v"))
             .distinct()
         )
@@ -328,5 +360,5 @@ def _rounds(
             edges = scratch.write(edges.unionByName(more))
             found = _components(scratch, edges, edges.count())
         tried = scratch.write(tried.unionByName(pairs))
-        left = rest.filter("NOT is_hub").select("key", "rep")
+        left = rest.filter("NOT is_hub").select("key", "rep", "n", "core")
         hubs *= 4
