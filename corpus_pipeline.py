@@ -7,14 +7,16 @@ but the last return the columns of ``documents``.
 
 1. language ID: texts without a language (null, or no letter) and ambiguous ones go.
    The classifiers learn from the labelled rows of the stage's own input.
-2. line dedup: repeated multi-line chunks are removed from the texts.
+2. line dedup: repeated multi-line chunks are removed from the texts. Near copies of
+   each other keep the chunks they share, or the next stage couldn't know them as
+   copies; rows that lose all their words go.
 3. MinHash near-dedup: one document of each group stays, that of smallest id.
 4. benchmark decontamination: documents that hold a benchmark item go.
 5. SentencePiece: ids and decoded text of what is left, as checksums.
 
 Cases: an empty table passes through all stages as an empty table; rows with null
-ids pass the stages that decide by id, as nothing can be said against them; texts
-that line dedup empties stay as empty rows; repeated rows share their decision.
+ids pass the stages that decide by id, as nothing can be said against them; rows
+that were empty before line dedup stay; repeated rows share their decision.
 Extra columns of the input are carried along until the last stage.
 """
 
@@ -40,7 +42,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return line_dedup.dedup_documents(docs)
+    copies = near_dups.near_duplicates(docs).select("doc_id", F.col("component_id").alias("group"))
+    return line_dedup.dedup_documents(docs, copies, keep_emptied=False)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -15,12 +15,14 @@ Cases: a null text stays null and an empty one empty; lines are split at \\n onl
 rows with the same doc_id and text are one document and get the same result; a
 null doc_id sorts first; chunks whose hashes agree but bytes differ stay; a text
 whose every chunk is repeated becomes empty and its row stays; an empty table
-gives no rows; extra columns are kept by ``dedup_documents`` and not read.
+gives no rows; extra columns are kept by ``dedup_documents`` and not read. With
+``groups`` (copies of each other) a chunk counts as repeated in another group or
+earlier in its own text only, so copies stay copies.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Scratch
@@ -28,6 +30,7 @@ from .common import Scratch
 #: A cut after a line where the first hex digit of the rolling hash is below this.
 LIMIT = "6"
 _LEAST_ID = -(2**63)
+_WORD = r"[^\x20\x09-\x0D]"
 
 
 def with_chunks(df: DataFrame, text: str) -> DataFrame:
@@ -60,30 +63,41 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> tuple[Column, Column]
     )
 
 
-def _cleaned_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _cleaned_texts(docs: DataFrame, id_col: str, text_col: str, groups: DataFrame | None) -> DataFrame:
     """(_id, _hash, _clean, _n_chunks, _n_lines) of documents that lose something."""
     scratch = Scratch(docs.sparkSession, "line-dedup")
     own_id, own_hash = _keyed(docs, id_col, text_col)
     named = docs.filter(F.col(text_col).isNotNull()).select(
         own_id.alias("_id"), own_hash.alias("_hash"), F.col(text_col).alias("_text")
     )
-    several = lambda c: F.size(F.filter(c, lambda x: x.rlike(r"[^\x20\x09-\x0D]"))) >= 2
+    several = lambda c: F.size(F.filter(c, lambda x: x.rlike(_WORD))) >= 2
     hashes = F.transform(
         "_chunks", lambda c: F.when(several(c), F.md5(F.array_join(c, "\n").cast("binary")))
     )
+    hashed = with_chunks(named, "_text").select("_id", "_hash", hashes.alias("_keys"))
+    keys = ["_id", "_hash"]
+    if groups is not None:  # rows without a group are one by themselves
+        keys.append("_group")
+        named_groups = groups.select(F.col("doc_id").alias("_id"), F.col("group").alias("_group"))
+        hashed = hashed.join(named_groups.filter("_id IS NOT NULL").distinct(), "_id", "left")
     places = scratch.write(
-        with_chunks(named, "_text")
-        .select("_id", "_hash", F.posexplode(hashes).alias("pos", "chunk"))
-        .filter("chunk IS NOT NULL")
+        hashed.select(*keys, F.posexplode("_keys").alias("pos", "chunk")).filter("chunk IS NOT NULL")
     )
-    first = F.min(F.struct("_id", "_hash", "pos")).alias("first")
-    last = F.max(F.struct("_id", "_hash", "pos")).alias("last")
+    place = F.struct("_id", "_hash", "pos", *keys[2:])
     repeated = scratch.write(  # more than one place (rows of one document are one place)
-        places.groupBy("chunk").agg(first, last).filter("first <> last").select("chunk", "first")
-    )
-    found = places.join(repeated, "chunk").withColumn(
-        "drop", F.struct("_id", "_hash", "pos") != F.col("first")
+        places.groupBy("chunk")
+        .agg(F.min(place).alias("first"), F.max(place).alias("last"))
+        .filter("first <> last")
+        .select("chunk", "first")
     )
+    found = places.join(repeated, "chunk")
+    if groups is None:
+        found = found.withColumn("drop", place != F.col("first"))
+    else:
+        own = (F.col("_id") == F.col("first._id")) & (F.col("_hash") == F.col("first._hash"))
+        copy = F.coalesce(F.col("_group") == F.col("first._group"), F.lit(False))
+        earliest = F.min("pos").over(Window.partitionBy("_id", "_hash", "chunk"))
+        found = found.withColumn("drop", ~(own | copy) | (F.col("pos") != earliest))
     marked = scratch.write(
         found.groupBy("_id", "_hash").agg(F.collect_set(F.struct("pos", "chunk", "drop")).alias("marks"))
     )
@@ -127,10 +141,10 @@ def _cleaned_texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
-def _cleaned(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _cleaned(docs: DataFrame, id_col: str, text_col: str, groups: DataFrame | None = None) -> DataFrame:
     """All rows as ``_row``, the result in ``_clean`` and counts of what went."""
     own_id, own_hash = _keyed(docs, id_col, text_col)
-    changed = _cleaned_texts(docs, id_col, text_col)
+    changed = _cleaned_texts(docs, id_col, text_col, groups)
     rows = docs.select(F.struct(*docs.columns).alias("_row"), own_id.alias("_id"), own_hash.alias("_hash"))
     return rows.join(changed, ["_id", "_hash"], "left").select(
         "_row",
@@ -151,9 +165,15 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
 
 
-def dedup_documents(docs: DataFrame) -> DataFrame:
-    """The documents themselves with cleaned ``text`` (and ``n_chars``, if present)."""
-    clean = _cleaned(docs, "doc_id", "text")
+def dedup_documents(docs: DataFrame, groups: DataFrame | None = None, keep_emptied: bool = True) -> DataFrame:
+    """The documents themselves with cleaned ``text`` (and ``n_chars``, if present).
+
+    ``groups`` (doc_id, group) names copies that a later step will choose from.
+    Without ``keep_emptied`` rows go that lost all their words here.
+    """
+    clean = _cleaned(docs, "doc_id", "text", groups)
+    if not keep_emptied:
+        clean = clean.filter((F.col("_n_lines") == 0) | F.col("_clean").rlike(_WORD))
     columns = []
     for c in docs.columns:
         if c == "text":

@@ -287,3 +287,39 @@ def test_pipeline_stages(spark, tmp_path):
     for _, stage in corpus_pipeline.STAGES[1:]:
         empty = stage(spark, empty, src)
     assert empty.count() == 0
+
+
+def test_pipeline_leaves_one_row_of_copies(spark):
+    import corpus_pipeline
+
+    rng = random.Random(12)
+    rows, own = [], {}
+    for g in range(12):
+        lines = [" ".join(words(rng, rng.randrange(4, 12), 3000)) for _ in range(3 + 4 * g)]
+        texts = ["\n".join(lines)] * 3  # exact copies
+        if len(lines) > 15:  # and near copies, with one line edited
+            for k in range(2):
+                texts.append("\n".join([*lines[:7], f"changed line {g} {k}", *lines[8:]]))
+        for t in texts:
+            own[len(rows)] = g
+            rows.append((len(rows), t))
+    whole = "\n".join(rows[-1][1].split("\n") * 3)  # nothing but repeats of its own lines
+    rows += [(500, whole), (501, ""), (502, None)]
+    df = frame(spark, rows)
+    copies = near_dups.near_duplicates(df)
+    groups = {r["doc_id"]: r["component_id"] for r in copies.collect()}
+    assert len({groups[d] for d in own}) == 12
+    lined = Scratch(spark, "t").write(corpus_pipeline.line_dedup_stage(spark, df, ""))
+    left = {r["doc_id"]: r["text"] for r in corpus_pipeline.near_dedup(spark, lined, "").collect()}
+    kept = collections.Counter(own[d] for d, t in left.items() if d in own)
+    assert kept == {g: 1 for g in range(12)}
+    assert all(left[d].strip() for d in left if d < 500)
+    assert left[501] == "" and left[502] is None  # empty before, so they stay
+
+
+def test_line_dedup_drops_only_rows_it_empties(spark):
+    block = "\n".join(f"a line with some words {i}" for i in range(40))
+    rows = [(1, block + "\nan end of its own"), (2, block + "\nan end of its own"), (3, ""), (4, None)]
+    out = line_dedup.dedup_documents(frame(spark, rows), keep_emptied=False).collect()
+    before = {r["doc_id"]: r["text"] for r in line_dedup.dedup_documents(frame(spark, rows)).collect()}
+    assert {r["doc_id"] for r in out} == {d for d, t in before.items() if d in (1, 3, 4) or t.strip()}
