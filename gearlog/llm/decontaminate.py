@@ -1,19 +1,25 @@
-"""Benchmark decontamination through the CGK embedding and bit sampling.
-
-Documents and items are sequences of lower-cased words. A random walk (CGK:
-Chakraborty, Goldenberg, Koucky) reads a window from its start: at every step it
-emits the word under its pointer, and a random bit of (step, word) says whether
-the pointer moves on. Two windows a few edits apart fall out of step at an edit
-and fall into step again, so that edit distance becomes Hamming distance of the
-emitted words. Sampling a few steps and hashing their words gives keys that agree
-with probability (matching share) ** samples; several walks and several samples of
-each are repeated until ``recall`` is reached for ``edit_pct`` edits.
-
-Document windows start at every ``stride``-th word. Item windows start at as many
-successive offsets, at the start, middle and end of an item, so a copy at any place
-meets a document window that starts at the very same word. Window sizes follow the
-items: each item uses the longest size that fits its length. Keys that meet give
-(document, item, place) candidates, and the edit distance of the whole item to the
+"""Benchmark decontamination: shared word runs, CGK embedding and bit sampling.
+
+Documents and items are sequences of lower-cased words. An item of n words leaks
+where a run of a document is within e edits of it (``edit_pct`` of n).
+
+Items of fewer than ``LONG`` words are found by their runs of q words. An edit
+spoils q of an item's n - q + 1 runs at most, so n - q + 1 - q * e stay whole, on
+diagonals (document position less item position) within e of the start. Whatever
+has as many runs on neighbouring diagonals is a candidate: none is lost.
+
+Longer items go through a random walk (CGK: Chakraborty, Goldenberg, Koucky). It
+reads a window from its start: at every step it emits the word under its pointer,
+and a random bit of (step, word) says whether the pointer moves on. Two windows a
+few edits apart fall out of step at an edit and into step again, so that edit
+distance becomes Hamming distance of the emitted words. Sampling a few steps and
+hashing their words gives keys. Document windows start at every ``stride``-th word,
+item windows at as many successive offsets at each of ``PLACES`` places, so a copy
+at any place meets a document window that starts at the very same word. The number
+of keys comes from simulated items with all ``edit_pct`` edits: as many as it takes
+for ``recall`` of them to be met.
+
+Candidates are (document, item, place); the edit distance of the whole item to the
 best matching run of words at that place is computed exactly.
 
 Items are read in blocks of ``block_items``, one pass over the documents for each
@@ -30,7 +36,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -38,23 +44,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch, slices
-from .words import batch_words, mix
+from .words import batch_words, grams, mix
 
-#: Window sizes in words, words between document windows, steps of a walk.
-SIZES, STRIDE, STEPS = (8, 16, 32), 8, 64
+#: Items from this many words on are found by walks, shorter ones by runs of at
+#: most RUN words.
+LONG, RUN = 64, 3
+#: Words of a window, words between document windows, steps of a walk.
+SIZE, STRIDE, STEPS = 8, 8, 16
 #: Sampled steps per key, walks, wanted recall, allowed edits in % of an item's words.
 SAMPLES, WALKS, RECALL, EDIT_PCT = 4, 2, 0.99, 25
-#: Places of an item (start, middle, end) where its windows start.
-PLACES = 3
+#: Places of an item, evenly apart, where its windows start.
+PLACES = 7
 BLOCK_ITEMS = 20000
-_FILTER_BITS = 20
+_FILTER_BITS = 22
 
 
 @dataclass
 class Plan:
-    """Which steps each key samples, by window size."""
+    """Which steps each key samples, and the edits that are allowed."""
 
-    steps: dict[int, np.ndarray] = field(default_factory=dict)  # size -> (walks, keys, samples)
+    steps: np.ndarray  # (walks, keys, samples)
+    edit_pct: int
 
 
 def _seeds(walks: int) -> np.ndarray:
@@ -71,68 +81,84 @@ def walk(words: np.ndarray, starts: np.ndarray, steps: int, seed: np.uint64) ->
         at = at + ((moves[at] >> np.uint64(j)) & np.uint64(1)).astype(at.dtype)
 
 
-def keys_of(words: np.ndarray, starts: np.ndarray, sizes: tuple[int, ...], plan: Plan) -> Iterator[tuple[int, int, np.ndarray]]:
-    """(size, key number, key of every start). Beyond a window its words count as 0."""
+def keys_of(words: np.ndarray, starts: np.ndarray, plan: Plan) -> Iterator[tuple[int, np.ndarray]]:
+    """(key number, key of every start). Beyond a window its words count as 0."""
     for w, seed in enumerate(_seeds(WALKS)):
-        made, wanted = {}, {}
-        for s in sizes:
-            for k in range(len(plan.steps[s][w])):
-                made[s, k] = np.full(len(starts), s * 1000 + w * 100 + k, np.uint64)
-                for j in plan.steps[s][w, k].tolist():
-                    wanted.setdefault(j, []).append((s, k))
-        if not wanted:
-            continue
+        made = [np.full(len(starts), w * 1000 + k, np.uint64) for k in range(len(plan.steps[w]))]
+        wanted: dict[int, list[int]] = {}
+        for k, steps in enumerate(plan.steps[w].tolist()):
+            for j in steps:
+                wanted.setdefault(j, []).append(k)
         for j, at in enumerate(walk(words, starts, max(wanted) + 1, seed)):
             if j not in wanted:
                 continue
-            emitted = words[at]
-            far = at - starts
-            for s, k in wanted[j]:
-                x = made[s, k]
-                x ^= np.where(far < s, emitted, np.uint64(0)) if j >= s else emitted
+            emitted = np.where(at - starts < SIZE, words[at], np.uint64(0))
+            for k in wanted[j]:
+                x = made[k]
+                x ^= emitted
                 x *= np.uint64(0xD6E8FEB86659FD93)
                 x ^= x >> np.uint64(29)
-        for (s, k), x in made.items():
-            yield s, w * 1000 + k, x
+        for k, x in enumerate(made):
+            yield w * 1000 + k, x
+
+
+def item_offsets(n: int) -> np.ndarray:
+    """Where the windows of an item of n words start."""
+    firsts = np.linspace(0, n - SIZE - STRIDE + 1, PLACES).astype(np.int64)
+    return np.unique(firsts[:, None] + np.arange(STRIDE))
+
 
+def edited(words: np.ndarray, edits: int, rng: np.random.Generator) -> np.ndarray:
+    """A copy with that many random words replaced, dropped or put in."""
+    out = words.tolist()
+    for _ in range(edits):
+        i, kind, new = int(rng.integers(0, len(out))), rng.integers(0, 3), int(rng.integers(1, 2**63))
+        out[i : i + (kind < 2)] = [new] if kind != 1 else []
+    return np.array(out, np.uint64)
 
-def matching_share(size: int, edit_pct: int, trials: int = 200) -> float:
-    """Share of walk steps that agree for windows with that many random edits."""
-    rng = np.random.default_rng(size)
-    agree = 0.0
-    seed = _seeds(1)[0]
-    steps = min(STEPS, 2 * size)
+
+def simulated_recall(plan: Plan, n: int, edit_pct: int, trials: int = 1000) -> np.ndarray:
+    """Share of edited items of n words met by the first 1, 2, ... keys of each walk."""
+    rng = np.random.default_rng(n)
+    items, docs, spots, marks, at_item, at_doc = [], [], [], [], 0, 0
+    offsets = item_offsets(n)
     for _ in range(trials):
-        a = rng.integers(1, 2**63, size + 40).astype(np.uint64)
-        b = a.tolist()
-        for _ in range(max(1, size * edit_pct // 200)):  # typical: half of what is allowed
-            i = int(rng.integers(0, size))
-            kind = rng.integers(0, 3)
-            if kind == 0:
-                b[i] = int(rng.integers(1, 2**63))
-            elif kind == 1:
-                del b[i]
-            else:
-                b.insert(i, int(rng.integers(1, 2**63)))
-        both = [np.array([*x[: size + 30], 0], np.uint64) for x in (a.tolist(), b)]
-        runs = [[x[p[0]] for p in walk(x, np.zeros(1, np.int64), steps, seed)] for x in both]
-        agree += np.mean([p == q for p, q in zip(*runs)])
-    return agree / trials
-
-
-def make_plan(sizes: tuple[int, ...] = SIZES, recall: float = RECALL, edit_pct: int = EDIT_PCT) -> Plan:
-    """Enough keys per walk and size to reach the recall (each place in an item
-    where windows start gives every key a chance)."""
-    plan = Plan()
+        item = rng.integers(1, 2**63, n).astype(np.uint64)
+        before = rng.integers(1, 2**63, int(rng.integers(STRIDE, 2 * STRIDE))).astype(np.uint64)
+        text = np.concatenate([before, edited(item, n * edit_pct // 100, rng), before])
+        items.append(np.append(item, np.uint64(0)))
+        docs.append(np.append(text, np.uint64(0)))
+        spots.append(at_item + offsets)
+        marks.append(at_doc + np.arange(0, len(text), STRIDE))
+        at_item, at_doc = at_item + n + 1, at_doc + len(text) + 1
+    owner_i = np.repeat(np.arange(trials), len(offsets)).astype(np.uint64)
+    owner_d = np.repeat(np.arange(trials), [len(m) for m in marks]).astype(np.uint64)
+    met = np.zeros((plan.steps.shape[1], trials), bool)
+    left = keys_of(np.concatenate(items), np.concatenate(spots), plan)
+    right = keys_of(np.concatenate(docs), np.concatenate(marks), plan)
+    for (number, a), (_, b) in zip(left, right):
+        hit = np.isin(mix(b) ^ mix(owner_d), mix(a) ^ mix(owner_i))
+        met[number % 1000, owner_d[hit].astype(np.int64)] = True
+    return np.logical_or.accumulate(met).mean(axis=1)
+
+
+def make_plan(recall: float = RECALL, edit_pct: int = EDIT_PCT) -> Plan:
+    """As many keys per walk as long items need with all edits that are allowed: the
+    shortest, and longer ones, which have the same places farther apart."""
     rng = np.random.default_rng(9)
-    for s in sizes:
-        share = matching_share(s, edit_pct)
-        chances = math.log(1 - recall) / math.log(1 - share**SAMPLES)
-        keys = max(1, math.ceil(chances / (PLACES * WALKS)))
-        # one step of every quarter of the walk, so that a key's words lie apart
-        quarter = min(STEPS, 2 * s) // SAMPLES
-        plan.steps[s] = rng.integers(0, quarter, (WALKS, keys, SAMPLES)) + quarter * np.arange(SAMPLES)
-    return plan
+    # one step of every quarter of the walk, so that a key's words lie apart
+    quarter = STEPS // SAMPLES
+    keys = 8
+    while True:
+        steps = rng.integers(0, quarter, (WALKS, keys, SAMPLES)) + quarter * np.arange(SAMPLES)
+        plan = Plan(steps, edit_pct)
+        found = np.minimum(simulated_recall(plan, LONG, edit_pct), simulated_recall(plan, 4 * LONG, edit_pct))
+        # two standard errors above the wanted share
+        enough = np.flatnonzero(found >= min(recall + 2 * math.sqrt(recall * (1 - recall) / 1000), 0.999))
+        if len(enough) or keys >= 64:
+            plan.steps = steps[:, : (enough[0] + 1 if len(enough) else keys)]
+            return plan
+        keys *= 2
 
 
 def edit_distance(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
@@ -154,16 +180,42 @@ def edit_distance(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
+@dataclass
+class Index:
+    """Sorted keys with the item and the offset each comes from, behind a bit filter."""
+
+    keys: np.ndarray
+    items: np.ndarray
+    offsets: np.ndarray
+    bits: np.ndarray
+
+    def hits(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(position in ``keys``, item, offset) of everything that meets."""
+        at = np.flatnonzero(self.bits[(keys >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)])
+        lo, hi = (np.searchsorted(self.keys, keys[at], side) for side in ("left", "right"))
+        n = hi - lo
+        rows = np.arange(n.sum()) + np.repeat(lo - (np.cumsum(n) - n), n)
+        return np.repeat(at, n), self.items[rows], self.offsets[rows]
+
+
+def make_index(keys: np.ndarray, items: np.ndarray, offsets: np.ndarray) -> Index:
+    order = np.argsort(keys)
+    bits = np.zeros(1 << _FILTER_BITS, bool)
+    bits[(keys >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
+    return Index(keys[order], items[order], offsets[order], bits)
+
+
 @dataclass
 class Block:
     """One block of items with their keys, small enough for every task."""
 
     items: list[tuple[int, np.ndarray]]  # item_id, words
-    sizes: tuple[int, ...]
     plan: Plan
-    filters: dict[tuple[int, int], np.ndarray]
-    places: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]]  # sorted keys, item * 4096 + offset
-    short: dict[int, list[int]]  # first word -> items below the smallest size
+    walks: dict[int, Index]  # key number -> long items
+    runs: dict[int, Index]  # words of a run -> other items
+    edits: np.ndarray  # allowed edits of each item
+    least: np.ndarray  # runs that stay whole at least
+    short: dict[int, list[int]]  # first word -> items below the smallest window
 
 
 def make_block(items: list[tuple[int, str | None]], plan: Plan) -> Block | None:
@@ -172,40 +224,44 @@ def make_block(items: list[tuple[int, str | None]], plan: Plan) -> Block | None:
     cut = [(i, hashes[a:b]) for (i, _), a, b in zip(known, first[:-1], first[1:]) if b > a]
     if not cut:
         return None
-    by_size: dict[int, list[tuple[int, int]]] = {}
+    sizes = np.array([len(w) for _, w in cut], np.int64)
+    edits = sizes * plan.edit_pct // 100
+    spans = np.minimum(RUN, np.maximum(1, sizes // (edits + 1)))  # words of a run
+    least = np.maximum(1, sizes - spans + 1 - spans * edits)
     short: dict[int, list[int]] = {}
-    smallest = min(SIZES) + STRIDE - 1
+    by_span: dict[int, list[int]] = {}
+    long = []
     for k, (_, words) in enumerate(cut):
-        n = len(words)
-        if n < smallest:
+        if len(words) < SIZE + STRIDE - 1:
             short.setdefault(int(words[0]), []).append(k)
-            continue
-        size = max(s for s in SIZES if s + STRIDE - 1 <= n)
-        middle = (n - size - STRIDE + 1) // 2
-        offsets = {*range(STRIDE), *range(middle, middle + STRIDE), *range(n - size - STRIDE + 1, n - size + 1)}
-        by_size.setdefault(size, []).extend((k, o) for o in sorted(offsets))
-    flat = np.concatenate([np.append(w, np.uint64(0)) for _, w in cut])
-    begin = np.cumsum([0, *(len(w) + 1 for _, w in cut)])
-    filters, places = {}, {}
-    for size, spots in by_size.items():
-        starts = np.array([begin[k] + o for k, o in spots], np.int64)
-        tags = np.array([(k << 12) + o for k, o in spots], np.int64)
-        for s, number, keys in keys_of(flat, starts, (size,), plan):
-            order = np.argsort(keys)
-            places[s, number] = keys[order], tags[order]
-            bits = np.zeros(1 << _FILTER_BITS, bool)
-            bits[(keys >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
-            filters[s, number] = bits
-    return Block(cut, tuple(sorted(by_size)), plan, filters, places, short)
-
-
-def _verified(block: Block, words: np.ndarray, seen: set[tuple[int, int]], edit_pct: int) -> Iterator[tuple[int, int, int]]:
-    """(item index, edits, end word) for candidates (item, guessed start)."""
+        elif len(words) < LONG:
+            by_span.setdefault(int(spans[k]), []).append(k)
+        else:
+            long.append(k)
+    runs = {}
+    for q, ks in by_span.items():
+        made = [grams(cut[k][1], q) for k in ks]
+        owner = np.repeat(ks, [len(m) for m in made])
+        runs[q] = make_index(np.concatenate(made), owner, np.concatenate([np.arange(len(m)) for m in made]))
+    walks = {}
+    if long:
+        flat = np.concatenate([np.append(cut[k][1], np.uint64(0)) for k in long])
+        begin = np.cumsum([0, *(sizes[k] + 1 for k in long)])[:-1]
+        offsets = [item_offsets(int(sizes[k])) for k in long]
+        starts = np.concatenate([b + o for b, o in zip(begin, offsets)])
+        owner = np.repeat(long, [len(o) for o in offsets])
+        for number, keys in keys_of(flat, starts, plan):
+            walks[number] = make_index(keys, owner, np.concatenate(offsets))
+    return Block(cut, plan, walks, runs, edits, least, short)
+
+
+def _verified(block: Block, words: np.ndarray, seen: set[tuple[int, int, int]]) -> Iterator[tuple[int, int, int]]:
+    """(item index, edits, end word) for candidates (item, first and last guessed start)."""
     done: dict[int, tuple[int, int]] = {}
-    for k, start in sorted(seen):
+    for k, start, last in sorted(seen):
         item = block.items[k][1]
         n = len(item)
-        most = n * edit_pct // 100
+        most = int(block.edits[k])
         if k in done and done[k][0] == 0:
             continue
         a = max(0, start)
@@ -213,7 +269,7 @@ def _verified(block: Block, words: np.ndarray, seen: set[tuple[int, int]], edit_
             done[k] = 0, a + n
             continue
         a = max(0, start - most)
-        near = words[a : start + n + most]
+        near = words[a : max(0, last + n + most)]
         if np.isin(item, near).sum() < n - most:  # words that are missing are edits
             continue
         d, end = edit_distance(item, near)
@@ -223,7 +279,32 @@ def _verified(block: Block, words: np.ndarray, seen: set[tuple[int, int]], edit_
         yield k, d, end
 
 
-def _matches(block: Block, texts: list[str | None], edit_pct: int) -> Iterator[tuple[int, int, int, int]]:
+def _shared_runs(block: Block, q: int, flat: np.ndarray, begin: np.ndarray, found: dict) -> None:
+    """Candidates whose runs of q words are as many as an item keeps under its edits."""
+    at, k, offset = block.runs[q].hits(grams(flat, q))
+    if not len(at):
+        return
+    text = np.searchsorted(begin, at, "right") - 1
+    diagonal = at - begin[text] - offset
+    width = 2 * block.edits[k] + 1  # two neighbouring bands hold any such span of diagonals
+    band = diagonal // width
+    text, k, offset, diagonal = (np.concatenate([x, x]) for x in (text, k, offset, diagonal))
+    band = np.concatenate([band, band - 1])
+    order = np.lexsort((offset, band, k, text))
+    text, k, band, offset, diagonal = (x[order] for x in (text, k, band, offset, diagonal))
+    group = np.ones(len(text), bool)
+    group[1:] = (text[1:] != text[:-1]) | (k[1:] != k[:-1]) | (band[1:] != band[:-1])
+    other = group.copy()  # an item's run counts once
+    other[1:] |= offset[1:] != offset[:-1]
+    head = np.flatnonzero(group)
+    runs = np.add.reduceat(other.astype(np.int64), head)
+    lows, highs = np.minimum.reduceat(diagonal, head), np.maximum.reduceat(diagonal, head)
+    for g in np.flatnonzero(runs >= block.least[k[head]]).tolist():
+        h = head[g]
+        found.setdefault(int(text[h]), set()).add((int(k[h]), int(lows[g]), int(highs[g])))
+
+
+def _matches(block: Block, texts: list[str | None]) -> Iterator[tuple[int, int, int, int]]:
     """(text index, item index, edits, first word) of a batch of texts."""
     data = [(t or "").encode("utf-8", "replace").lower() for t in texts]
     hashes, _, _, first = batch_words(data)
@@ -233,30 +314,29 @@ def _matches(block: Block, texts: list[str | None], edit_pct: int) -> Iterator[t
     shift = np.repeat(np.arange(len(data)), n)
     flat[np.arange(len(hashes)) + shift] = hashes
     begin = first[:-1] + np.arange(len(data))
-    counts = -(-n // STRIDE)
-    owner = np.repeat(np.arange(len(data)), counts)
-    inside = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
-    starts = begin[owner] + inside * STRIDE
-    found: dict[int, set[tuple[int, int]]] = {}
-    for s, number, keys in keys_of(flat, starts, block.sizes, block.plan):
-        hit = np.flatnonzero(block.filters[s, number][(keys >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)])
-        if not len(hit):
-            continue
-        table, tags = block.places[s, number]
-        lo, hi = np.searchsorted(table, keys[hit], "left"), np.searchsorted(table, keys[hit], "right")
-        for at, a, b in zip(hit[hi > lo].tolist(), lo[hi > lo].tolist(), hi[hi > lo].tolist()):
-            for tag in tags[a:b].tolist():
-                d = int(owner[at])
-                found.setdefault(d, set()).add((tag >> 12, int(starts[at] - begin[d]) - (tag & 4095)))
+    found: dict[int, set[tuple[int, int, int]]] = {}
+    for q in block.runs:
+        _shared_runs(block, q, flat, begin, found)
+    if block.walks:
+        counts = -(-n // STRIDE)
+        owner = np.repeat(np.arange(len(data)), counts)
+        inside = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
+        starts = begin[owner] + inside * STRIDE
+        for number, keys in keys_of(flat, starts, block.plan):
+            at, k, offset = block.walks[number].hits(keys)
+            guess = starts[at] - begin[owner[at]] - offset
+            for d, i, g in zip(owner[at].tolist(), k.tolist(), guess.tolist()):
+                found.setdefault(d, set()).add((i, g, g))
     if block.short:
         firsts = np.fromiter(block.short, np.uint64)
         for at in np.flatnonzero(np.isin(flat, firsts)).tolist():
             d = int(np.searchsorted(begin, at, "right")) - 1
             for k in block.short[int(flat[at])]:
-                found.setdefault(d, set()).add((k, at - int(begin[d])))
+                start = at - int(begin[d])
+                found.setdefault(d, set()).add((k, start, start))
     for d, seen in found.items():
         words = flat[begin[d] : begin[d] + n[d]]
-        for k, edits, end in _verified(block, words, seen, edit_pct):
+        for k, edits, end in _verified(block, words, seen):
             yield d, k, edits, end - len(block.items[k][1])
 
 
@@ -300,7 +380,7 @@ def find_leaks(
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             b = shared.value
             for batch in slices(batches, 1 << 20):
-                got = list(_matches(b, batch.column(1).to_pylist(), edit_pct))
+                got = list(_matches(b, batch.column(1).to_pylist()))
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).take(pa.array([d for d, *_ in got], pa.int64())),

@@ -229,6 +229,38 @@ def test_leaks_copies_edits_and_clean_texts(spark):
     assert set(again) == set(got)
 
 
+def planted(rng, lengths, count):
+    """Items, and documents that hold one each with 10, 20 and 25 % of its words edited."""
+    items, docs = [], []
+    for n in lengths:
+        for _ in range(count):
+            item = words(rng, n, 5000)
+            items.append((len(items), " ".join(item)))
+            for pct in (10, 20, 25):
+                w = list(item)
+                for _ in range(n * pct // 100):
+                    i, kind = rng.randrange(len(w)), rng.randrange(3)
+                    w[i : i + (kind < 2)] = [f"e{rng.randrange(10**6)}"] if kind != 1 else []
+                text = words(rng, rng.randrange(8, 30), 5000) + w + words(rng, 9, 5000)
+                docs.append((len(docs), " ".join(text)))
+    return items, docs
+
+
+@pytest.mark.parametrize("lengths, share", [((15, 16, 19, 23, 24, 31, 39, 40, 59, 63), 1), ((64, 100, 300), 0.97)])
+def test_leaks_equal_brute_force_at_all_edits(spark, lengths, share):
+    items, docs = planted(random.Random(21), lengths, 12)
+    want = {}
+    for d, text in docs:
+        item = np.array([hash(w) for w in items[d // 3][1].split()])
+        edits, _ = decontaminate.edit_distance(item, np.array([hash(w) for w in text.split()]))
+        if edits <= len(item) * 25 // 100:
+            want[d, d // 3] = edits
+    assert len(want) >= 0.9 * len(docs)
+    got = {k: r["edits"] for k, r in leaks(spark, docs, items).items()}
+    assert got.items() <= want.items()
+    assert len(got) >= share * len(want)
+
+
 def test_leaks_of_odd_rows(spark):
     short, long = "tiny item of five words", " ".join(f"v{i}" for i in range(30))
     docs = [(1, "before " + short), (1, "before " + short), (2, None), (3, ""), (4, long), (5, "v0 v1 v2"), (None, "x " + long)]
