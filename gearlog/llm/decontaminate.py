@@ -25,11 +25,10 @@ best matching run of words at that place is computed exactly.
 Items are read in blocks of ``block_items``, one pass over the documents for each
 block, so what a task holds has a bound at any benchmark size.
 
-Cases: null texts, and items without words, match nothing; items of fewer words
-than the smallest window are looked up by their first word and verified in the
-same way; an item that is a text several times is reported for each item_id;
-repeated document rows give the same result once; empty tables give no rows;
-extra columns are not read.
+Cases: null texts, and items without words, match nothing; items of a few words
+have shorter runs, down to one word; an item that is a text several times is
+reported for each item_id; repeated document rows give the same result once; empty
+tables give no rows; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -215,7 +214,6 @@ class Block:
     runs: dict[int, Index]  # words of a run -> other items
     edits: np.ndarray  # allowed edits of each item
     least: np.ndarray  # runs that stay whole at least
-    short: dict[int, list[int]]  # first word -> items below the smallest window
 
 
 def make_block(items: list[tuple[int, str | None]], plan: Plan) -> Block | None:
@@ -228,13 +226,10 @@ def make_block(items: list[tuple[int, str | None]], plan: Plan) -> Block | None:
     edits = sizes * plan.edit_pct // 100
     spans = np.minimum(RUN, np.maximum(1, sizes // (edits + 1)))  # words of a run
     least = np.maximum(1, sizes - spans + 1 - spans * edits)
-    short: dict[int, list[int]] = {}
     by_span: dict[int, list[int]] = {}
     long = []
     for k, (_, words) in enumerate(cut):
-        if len(words) < SIZE + STRIDE - 1:
-            short.setdefault(int(words[0]), []).append(k)
-        elif len(words) < LONG:
+        if len(words) < LONG:
             by_span.setdefault(int(spans[k]), []).append(k)
         else:
             long.append(k)
@@ -252,7 +247,7 @@ def make_block(items: list[tuple[int, str | None]], plan: Plan) -> Block | None:
         owner = np.repeat(long, [len(o) for o in offsets])
         for number, keys in keys_of(flat, starts, plan):
             walks[number] = make_index(keys, owner, np.concatenate(offsets))
-    return Block(cut, plan, walks, runs, edits, least, short)
+    return Block(cut, plan, walks, runs, edits, least)
 
 
 def _verified(block: Block, words: np.ndarray, seen: set[tuple[int, int, int]]) -> Iterator[tuple[int, int, int]]:
@@ -327,13 +322,6 @@ def _matches(block: Block, texts: list[str | None]) -> Iterator[tuple[int, int,
             guess = starts[at] - begin[owner[at]] - offset
             for d, i, g in zip(owner[at].tolist(), k.tolist(), guess.tolist()):
                 found.setdefault(d, set()).add((i, g, g))
-    if block.short:
-        firsts = np.fromiter(block.short, np.uint64)
-        for at in np.flatnonzero(np.isin(flat, firsts)).tolist():
-            d = int(np.searchsorted(begin, at, "right")) - 1
-            for k in block.short[int(flat[at])]:
-                start = at - int(begin[d])
-                found.setdefault(d, set()).add((k, start, start))
     for d, seen in found.items():
         words = flat[begin[d] : begin[d] + n[d]]
         for k, edits, end in _verified(block, words, seen):

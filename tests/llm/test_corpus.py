@@ -261,6 +261,20 @@ def test_leaks_equal_brute_force_at_all_edits(spark, lengths, share):
     assert len(got) >= share * len(want)
 
 
+def test_leaks_of_very_long_and_short_items(spark):
+    rng = random.Random(22)
+    long = " ".join(words(rng, 5000, 5000))
+    short = {n: words(rng, n, 5000) for n in (4, 7, 8, 11, 12, 14)}
+    items = [(n, " ".join(w)) for n, w in short.items()] + [(99, long)]  # the last of its block
+    docs, want = [(1000, "x y " + long + " z")], {(1000, 99): 0}
+    for n, w in short.items():
+        for d, first in ((n, ["changed"]), (100 + n, [])):  # first word changed or dropped
+            docs.append((d, " ".join(words(rng, 11, 5000) + first + w[1:] + words(rng, 5, 5000))))
+            want[d, n] = 1
+    got = leaks(spark, docs, items)
+    assert {k: r["edits"] for k, r in got.items()} == want
+
+
 def test_leaks_of_odd_rows(spark):
     short, long = "tiny item of five words", " ".join(f"v{i}" for i in range(30))
     docs = [(1, "before " + short), (1, "before " + short), (2, None), (3, ""), (4, long), (5, "v0 v1 v2"), (None, "x " + long)]
