@@ -31,28 +31,53 @@ VOID = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "met
 #: Words of class, id and role names that mark what is not the article.
 NOISE_NAMES = ("ad", "ads", "adv", "advert", "advertisement", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "complementary", "consent", "contentinfo", "cookie", "cookies", "disqus", "footer", "gdpr", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "pagination", "popup", "promo", "related", "replies", "search", "share", "sidebar", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget")
 
+#: First and last parts that such a name may have (site-footer, ad-slot).
+NAME_PREFIXES = ("site", "page", "main", "top", "bottom", "post", "global", "primary", "secondary")
+NAME_SUFFIXES = ("area", "banner", "bar", "block", "box", "buttons", "form", "links", "list", "menu", "section", "slot", "unit", "widget")
+#: Elements that hold the article, whatever their names say.
+ROOTS = ("html", "body", "main", "article")
+#: Elements whose end tag may be left out, and the start tags that end them.
+_CELLS = ("td", "th", "tr", "tbody", "thead", "tfoot")
+ENDED_BY = {"li": ("li",), "dd": ("dd", "dt"), "dt": ("dd", "dt"), "option": ("option",), "td": _CELLS, "th": _CELLS, "tr": _CELLS[2:], "tbody": _CELLS[3:], "thead": _CELLS[3:], "tfoot": _CELLS[3:], "p": tuple(set(BLOCKS) - {"legend", "option", "html", "body"})}
+
 _HIDDEN, _NOISE, _BLOCKS, _VOID, _NAMES = map(frozenset, (HIDDEN, NOISE, BLOCKS, VOID, NOISE_NAMES))
 _RAW = frozenset({"script", "style", "textarea", "title", "noscript", "iframe", "template"})
 _TAG = re.compile(
     r"<(?:!--(?P<c>.*?)(?:-->|\Z)|(?P<end>/)?(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>=]++|=\s*(?:\"[^\"]*\"|'[^']*')?)*+)>|[!?][^>]*>)",
     re.S,
 )
-_ATTR = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_HIDE = re.compile(r"\bhidden\b(?!-)|display\s*:\s*none", re.I)
-_PARTS = re.compile(r"[a-z]+")
+_ATTR = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_NO_DISPLAY = re.compile(r"(?:^|[;\s])display\s*:\s*none", re.I)
 _SPACES = re.compile(r"\s+")
 
 #: Lines per window, and the weight at which a window counts as dense.
 WINDOW, DENSE = 3, 90
 
 
-def _noisy(attrs: str) -> bool:
-    if not attrs:
+def _noise_name(token: str) -> bool:
+    if token in _NAMES:
+        return True
+    parts = token.replace("_", "-").split("-")
+    if len(parts) > 1 and parts[0] in NAME_PREFIXES:
+        parts = parts[1:]
+    if len(parts) > 1 and parts[-1] in NAME_SUFFIXES:
+        parts = parts[:-1]
+    return len(parts) == 1 and parts[0] in _NAMES
+
+
+def _noisy(element: str, attrs: str) -> bool:
+    if not attrs or element in ROOTS:
         return False
     for m in _ATTR.finditer(attrs):
-        if not _NAMES.isdisjoint(_PARTS.findall((m[1] or m[2] or m[3] or "").lower())):
+        name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
+        if name in ("class", "id", "role"):
+            if any(map(_noise_name, value.split())):
+                return True
+        elif name == "hidden" or name == "aria-hidden" and value.strip() == "true":
             return True
-    return bool(_HIDE.search(attrs))
+        elif name == "style" and _NO_DISPLAY.search(value):
+            return True
+    return False
 
 
 def blocks(page: str) -> list[tuple[str, int, bool]]:
@@ -64,6 +89,24 @@ def blocks(page: str) -> list[tuple[str, int, bool]]:
     text: list[str] = []
     plain = 0  # characters of the block outside links
 
+    def leave(i: int) -> None:
+        nonlocal noise, article, link
+        for _, kind in stack[i:]:
+            noise -= kind == NOISE_KIND
+            article -= kind == ARTICLE
+            link -= kind == LINK
+        del stack[i:]
+
+    def end_before(name: str) -> None:  # elements that this start tag ends
+        last = None
+        for i in range(len(stack) - 1, -1, -1):
+            if name in ENDED_BY.get(stack[i][0], ()):
+                last = i
+            elif stack[i][0] in _BLOCKS:
+                break
+        if last is not None:
+            leave(last)
+
     def close() -> None:
         nonlocal plain
         if text:
@@ -95,17 +138,16 @@ def blocks(page: str) -> list[tuple[str, int, bool]]:
                 text.append(" ")
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == name:
-                    for _, kind in stack[i:]:
-                        noise -= kind == NOISE_KIND
-                        article -= kind == ARTICLE
-                        link -= kind == LINK
-                    del stack[i:]
+                    leave(i)
                     break
-                if stack[i][0] in ("article", "main") or stack[i][1] == NOISE_KIND and stack[i][0] in _BLOCKS:
+                open_name, kind = stack[i]
+                if open_name in ("article", "main") or kind == NOISE_KIND and open_name in _BLOCKS and open_name not in ENDED_BY:
                     break  # a stray end tag doesn't close its container
             continue
         if name in _BLOCKS:
             close()
+            if noise:
+                end_before(name)
         elif name == "br":
             text.append(" ")
         if name in _RAW:  # skip to its end, markup inside is text
@@ -114,7 +156,7 @@ def blocks(page: str) -> list[tuple[str, int, bool]]:
             continue
         if name in _VOID or m["attrs"].endswith("/"):
             continue
-        if name in _HIDDEN and name != "head" or name in _NOISE or _noisy(m["attrs"]):
+        if name in _HIDDEN and name != "head" or name in _NOISE or _noisy(name, m["attrs"]):
             stack.append((name, NOISE_KIND))
             noise += 1
         elif name in ("article", "main"):

@@ -51,6 +51,26 @@ def test_main_text(body, text):
     assert html_text.main_text(page(body)) == text
 
 
+@pytest.mark.parametrize(
+    "body, text",
+    [
+        ('<div class="content no-sidebar"><p>A</p></div>', "A"),
+        ('<div class="post comments-open" style="overflow:hidden" aria-hidden="false"><p>A</p></div>', "A"),
+        ('<div data-x="hidden" title="a hidden thing"><a href="/hidden/x">A</a> b</div>', "A b"),
+        ('<p>A</p><p class="share">no<p>B</p>', "A\n\nB"),
+        ('<p>A</p><div><p class="share">no</div>B<p>C', "A\n\nB\n\nC"),
+        ('<ul><li>A<li class="ad">no<li>B</ul>C', "A\n\nB\n\nC"),
+        ('<ul><li>A<li class="ad">no<ul><li>no</ul></ul><p>C', "A\n\nC"),
+        ('<table><tr class="ad"><td>no<tr><td>A</table>B', "A\n\nB"),
+        ('A<div class="site-footer">no</div><div id="ad_slot">no</div><div style="color:red;display : none">no</div><div aria-hidden="true">no</div><p HIDDEN>no</p>B', "A\n\nB"),
+    ],
+)
+def test_names_hide_only_what_they_name(body, text):
+    assert html_text.main_text(page(f"<article class='post comments-open'>{body}</article>")) == text
+    whole = f'<html><body class="has-sidebar" style="overflow:hidden"><main id="menu">{body}</main></body></html>'
+    assert html_text.main_text(whole) == text
+
+
 def test_pages_with_nulls_and_extra_columns(spark):
     rows = [(1, "u", None, 5, "x"), (1, "u", None, 5, "x"), (None, None, "", 5, "x"), (2, "v", page("<article>é</article>"), 5, "x")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, n_chars int, text string")
