@@ -1,12 +1,14 @@
 """Main text of web pages by line-block distribution.
 
 Markup becomes a list of blocks (one line of text each) with a weight: characters
-outside links, and a floor for blocks inside the page's article. Menus, headers,
-footers, sidebars, notices, adverts, forms and reader comments give no text. Sums
-of weights over sliding windows of lines rise at a surge point and fall back at a
-dive point; the text between the two is kept, one region or several.
-
-Cases: null or empty html gives an empty text; a page without any dense region
+outside links. Menus, headers, footers, sidebars, notices, adverts, forms and reader
+comments give no text. Sums of weights over sliding windows of lines rise at a surge
+point, the first window that is dense for its page, and fall back at dive points,
+where a whole window is links. Text from the surge on is kept, without the links
+from a dive to the next text. Where the page's article or main element holds its
+densest window, the text is what these elements hold.
+
+Cases: null or empty html gives an empty text; a page without text outside links
 gives an empty text; unclosed tags end where their container ends, unclosed
 comments and scripts reach to the end of the page; very long pages are read once,
 linearly; repeated rows are repeated; extra columns are not read.
@@ -50,7 +52,8 @@ _ATTR = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)
 _NO_DISPLAY = re.compile(r"(?:^|[;\s])display\s*:\s*none", re.I)
 _SPACES = re.compile(r"\s+")
 
-#: Lines per window, and the weight at which a window counts as dense.
+#: Lines per window, and the weight at which a window counts as dense on any page (on
+#: pages of short lines, half of the densest window's weight does).
 WINDOW, DENSE = 3, 90
 
 
@@ -177,29 +180,33 @@ def blocks(page: str) -> list[tuple[str, int, bool]]:
     return out
 
 
+def _windows(weights: list[int]) -> list[int]:
+    return [sum(weights[i : i + WINDOW]) for i in range(len(weights))]
+
+
 def main_text(page: str | None) -> str:
-    """Blocks between surge and dive points, joined by empty lines."""
+    """Blocks from the surge point on, without dives, joined by empty lines."""
     if not page:
         return ""
     found = blocks(page)
-    inside = any(a for _, _, a in found)
-    # blocks of a marked article are dense by themselves; without one, by length
-    weights = [(w + DENSE if a else 0) if inside else w for _, w, a in found]
+    inside, outside = ([w for _, w, a in found if a is own] for own in (True, False))
+    if inside and max(_windows(inside)) >= max(_windows(outside), default=0):
+        return "\n\n".join(t for t, _, a in found if a)
+    weights = [w for _, w, _ in found]
+    sums = _windows(weights)
+    dense = min(DENSE, max(sums, default=0) / 2)
+    # surge: a dense window that starts with text, and text goes on after it
+    start = next((i for i, w in enumerate(weights) if w and sums[i] >= dense), len(found))
     kept: list[str] = []
-    n, start = len(found), None
-    sums = [sum(weights[i : i + WINDOW]) for i in range(n)]
-    at = 0
-    while at < n:
-        if start is None:
-            # surge: a dense window that starts with text, and text goes on after it
-            if weights[at] and sums[at] >= DENSE:
-                start = at
-        elif sums[at] == 0:  # dive: a whole window without text
-            kept += [t for (t, _, _), w in zip(found[start:at], weights[start:at]) if w]
-            start = None
-        at += 1
-    if start is not None:
-        kept += [t for (t, _, _), w in zip(found[start:], weights[start:]) if w]
+    links: list[str] = []  # link-only blocks since the last text
+    for t, w, _ in found[start:]:
+        if not w:
+            links.append(t)
+            continue
+        if len(links) < WINDOW:  # else a dive: a whole window without text
+            kept += links
+        links = []
+        kept.append(t)
     return "\n\n".join(kept)
 
 

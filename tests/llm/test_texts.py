@@ -71,6 +71,26 @@ def test_names_hide_only_what_they_name(body, text):
     assert html_text.main_text(whole) == text
 
 
+MENU = "<ul><li><a href='/a'>One</a></li><li><a href='/b'>Two</a></li><li><a href='/c'>Three</a></li></ul>"
+
+
+@pytest.mark.parametrize(
+    "body, text",
+    [
+        (f"{MENU}<p>A short article.</p>", "A short article."),
+        (MENU + "".join(f"<p>line {i} of verse</p>" for i in range(6)), "\n\n".join(f"line {i} of verse" for i in range(6))),
+        ("<dl><dt>One</dt><dd>the first</dd><dt>Two</dt><dd>the second</dd></dl>", "One\n\nthe first\n\nTwo\n\nthe second"),
+        (f"<p>{LONG}</p>{MENU}<p>The end.</p>{MENU}", f"{LONG}\n\nThe end."),
+        (f"<p>{LONG}</p><p><a href='/x'>A link of its own</a></p><p>{LONG}</p>", f"{LONG}\n\nA link of its own\n\n{LONG}"),
+        (f"<article>Teaser card</article><div><p>{LONG}</p><p>{LONG}</p></div>", f"Teaser card\n\n{LONG}\n\n{LONG}"),
+        (f"<article><p>{LONG}</p><p>Hi.</p></article><div>Some words outside</div>", f"{LONG}\n\nHi."),
+        (MENU, ""),
+    ],
+)
+def test_density_is_relative_to_the_page(body, text):
+    assert html_text.main_text(page(body)) == text
+
+
 def test_pages_with_nulls_and_extra_columns(spark):
     rows = [(1, "u", None, 5, "x"), (1, "u", None, 5, "x"), (None, None, "", 5, "x"), (2, "v", page("<article>é</article>"), 5, "x")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, n_chars int, text string")
