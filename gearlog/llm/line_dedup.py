@@ -74,15 +74,17 @@ def _cleaned_texts(docs: DataFrame, id_col: str, text_col: str, groups: DataFram
     hashes = F.transform(
         "_chunks", lambda c: F.when(several(c), F.md5(F.array_join(c, "\n").cast("binary")))
     )
-    hashed = with_chunks(named, "_text").select("_id", "_hash", hashes.alias("_keys"))
     keys = ["_id", "_hash"]
-    if groups is not None:  # rows without a group are one by themselves
+    chunks = (
+        with_chunks(named, "_text")
+        .select(*keys, F.posexplode(hashes).alias("pos", "chunk"))
+        .filter("chunk IS NOT NULL")
+    )
+    if groups is not None:  # after the explode: a filter on arrays would work the chunks out again
         keys.append("_group")
         named_groups = groups.select(F.col("doc_id").alias("_id"), F.col("group").alias("_group"))
-        hashed = hashed.join(named_groups.filter("_id IS NOT NULL").distinct(), "_id", "left")
-    places = scratch.write(
-        hashed.select(*keys, F.posexplode("_keys").alias("pos", "chunk")).filter("chunk IS NOT NULL")
-    )
+        chunks = chunks.join(named_groups.filter("_id IS NOT NULL").distinct(), "_id", "left")
+    places = scratch.write(chunks.select(*keys, "pos", "chunk"))
     place = F.struct("_id", "_hash", "pos", *keys[2:])
     repeated = scratch.write(  # more than one place (rows of one document are one place)
         places.groupBy("chunk")
