@@ -56,8 +56,8 @@ def test_maintenance_ends(spark):
     out = labels.maintenance_features(t, P)
     assert rows(out, "timestamp", "maint_count_7d", "maint_components_replaced") == [
         (hours(9), 0, ""),
-        (hours(10), 2, "comp3,other"),
-        (hours(177.5), 2, "comp3,other"),
+        (hours(10), 2, "comp3,gearbox"),
+        (hours(177.5), 2, "comp3,gearbox"),
         (hours(178), 0, ""),
     ]
 

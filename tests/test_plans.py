@@ -2,13 +2,13 @@
 
 import pytest
 
-import __spark_entry__ as entry
+from gearlog import catalog
 from gearlog.operators import health, labels
 from gearlog.params import FIXTURE
 from gearlog.sources.bindings import bind
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
+QUERIES = catalog.queries()
 PYTHON = {"spectral", "build_features"}
 EAGER = {n for n in QUERIES if n.startswith("stream_") or n.endswith("_predictions")} | {
     "feature_importance",

@@ -5,10 +5,12 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from gearlog import catalog
+from oracle import all_sql
 from tests.compare import check, connect
 
 FOLDER = os.environ.get("SF_DIR", "/root/testdata/sf0.001")
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = catalog.queries(), all_sql()
 
 
 @pytest.fixture(scope="module")
@@ -29,6 +31,7 @@ def test_query_without_sql_returns_rows(spark, name):
 
 def test_every_statement_has_a_query():
     assert set(SQL) <= set(QUERIES)
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_entry_has_rows(spark):
