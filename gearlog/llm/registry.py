@@ -9,6 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (
+    alignment,
     decontaminate,
     html_text,
     language,
@@ -65,6 +66,11 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.align_digest(table(spark, sf_dir, "documents"), *paths)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     ops = (
         op1_lpt_shards,
@@ -77,6 +83,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_license_scan,
         op9_benchmark_leaks,
         op10_near_duplicates,
+        op13_token_alignment,
     )
     return {f.__name__: f for f in ops} | {"pipeline": corpus_pipeline.run}
 
