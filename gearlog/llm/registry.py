@@ -17,6 +17,7 @@ from . import (
     line_dedup,
     near_dups,
     pieces,
+    prefix_trie,
     quality_rules,
     sharding,
     token_counts,
@@ -66,6 +67,10 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
     return alignment.align_digest(table(spark, sf_dir, "documents"), *paths)
@@ -83,13 +88,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_license_scan,
         op9_benchmark_leaks,
         op10_near_duplicates,
+        op12_prefix_trie,
         op13_token_alignment,
     )
     return {f.__name__: f for f in ops} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    sql = {"op7_line_chunks": line_dedup.SQL}
+    sql = {"op7_line_chunks": line_dedup.SQL, "op12_prefix_trie": prefix_trie.SQL}
     if corpus_pipeline.ORACLE_SQL:
         sql["pipeline"] = corpus_pipeline.ORACLE_SQL
     return sql
