@@ -21,6 +21,7 @@ from . import (
     quality_rules,
     sharding,
     token_counts,
+    vantage,
 )
 from .common import table
 
@@ -67,6 +68,10 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_vantage_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vantage.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
 
@@ -88,6 +93,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_license_scan,
         op9_benchmark_leaks,
         op10_near_duplicates,
+        op11_vantage_neighbours,
         op12_prefix_trie,
         op13_token_alignment,
     )
