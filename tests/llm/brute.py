@@ -63,32 +63,44 @@ def quality_counts(text):
     }
 
 
-def line_chunks(rows):
-    """Cleaned texts of (doc_id, text) rows with unique ids."""
+def chunk_lines(text):
+    """First and last line (exclusive) of every chunk."""
     from hashlib import md5
 
-    def h(s):
-        return md5(s.encode()).hexdigest()
+    h = lambda x: md5(x.encode()).hexdigest()
+    lines = text.split("\n")
+    at = [i for i, line in enumerate(lines) if WORD.search(line)]
+    r = ["~"] + [h(h(lines[a]) + h(lines[b])) for a, b in zip(at, at[1:])]
+    ends = [at[k + 1] for k in range(1, len(at) - 2) if r[k] < r[k - 1] and r[k] <= r[k + 1]]
+    ends.append(len(lines))
+    return lines, len(at), list(zip([0, *ends], ends))
+
 
-    places, docs = {}, {}
-    for d, text in rows:
-        if text is None:
-            docs[d] = None
-            continue
-        chunks, now, before = [], [], ""
-        lines = text.split("\n")
-        for k, line in enumerate(lines):
-            now.append(line)
-            if h(before + h(line))[0] < "6" or k == len(lines) - 1:
-                chunks.append(now)
-                now = []
-            before = h(line)
-        docs[d] = chunks
-        for pos, c in enumerate(chunks):
-            if sum(bool(WORD.search(x)) for x in c) >= 2:
-                places.setdefault(tuple(c), []).append((d, pos))
-    gone = {p for at in places.values() for p in sorted(at)[1:]}
+def line_chunks(rows):
+    """Cleaned texts of (doc_id, text) rows with unique ids."""
+    docs = {d: None if t is None else chunk_lines(t) for d, t in rows}
+    places = {}
+    for d, found in docs.items():
+        if found and found[1] >= 2:
+            for a, b in found[2]:
+                places.setdefault(tuple(found[0][a:b]), []).append((d, a, b))
+    gone = {d: set() for d in docs}
+    for at in places.values():
+        (f, fa, fb), *others = sorted(at)
+        theirs, chunks = docs[f][0], docs[f][2]
+        f_low = max([a for a, b in chunks if b == fa], default=fa)
+        f_high = min([b for a, b in chunks if a == fb], default=fb)
+        for d, a, b in others:
+            own, mine = docs[d][0], docs[d][2]
+            low = max([x for x, y in mine if y == a], default=a)
+            high = min([y for x, y in mine if x == b], default=b)
+            i, j = a, fa
+            while i > low and j > f_low and own[i - 1] == theirs[j - 1]:
+                i, j = i - 1, j - 1
+            k, m = b, fb
+            while k < high and m < f_high and own[k] == theirs[m]:
+                k, m = k + 1, m + 1
+            gone[d].update(range(i, k))
     return {
-        d: None if c is None else "\n".join(x for pos, ls in enumerate(c) if (d, pos) not in gone for x in ls)
-        for d, c in docs.items()
+        d: None if c is None else "\n".join(x for i, x in enumerate(c[0]) if i not in gone[d]) for d, c in docs.items()
     }

@@ -92,6 +92,46 @@ def test_near_duplicates_equal_brute_force(spark, seed):
         assert r["kept"] == (r["doc_id"] == r["component_id"])
 
 
+def family(n, seed, edits, size=100):
+    """Texts that differ from one base in ``edits`` words each."""
+    rng = random.Random(seed)
+    base, out = words(rng, size, 5000), []
+    for _ in range(n):
+        own = list(base)
+        for at in rng.sample(range(size), edits):
+            own[at] = f"x{rng.randrange(10**9)}"
+        out.append(" ".join(own))
+    return out
+
+
+def test_pairs_of_similar_unlinked_texts_grow_with_their_number(spark, monkeypatch):
+    plain, tried = near_dups._confirmed, []
+
+    def counted(pairs, sets, pct):
+        tried.append(pairs.count())
+        return plain(pairs, sets, pct)
+
+    monkeypatch.setattr(near_dups, "_confirmed", counted)
+    sums = []
+    for n in (250, 500, 1000):
+        tried.clear()
+        rows = list(enumerate(family(n, 3, 3)))
+        got = near_dups.near_duplicates(frame(spark, rows)).collect()
+        assert all(r["kept"] for r in got)
+        sums.append(sum(tried))
+    assert sums[1] <= 2.2 * sums[0] and sums[2] <= 2.2 * sums[1], sums
+
+
+def test_recall_in_families_near_the_threshold(spark):
+    """Links between texts of one family, some just above the threshold, some below."""
+    texts = family(150, 5, 1, 60) + family(150, 6, 2, 100) + family(120, 7, 1, 45)
+    rows = list(enumerate(texts))
+    want = brute.near(rows)
+    got = {r["doc_id"]: r["component_id"] for r in near_dups.near_duplicates(frame(spark, rows)).collect()}
+    right = sum(got[d] == want[d][1] for d in got)
+    assert right >= 0.97 * len(rows), right / len(rows)
+
+
 def test_near_duplicates_of_odd_rows(spark):
     t = "some words of a text that is long enough for shingles to exist"
     rows = [(1, t), (1, t), (2, t + " x"), (None, t), (2, "quite another text under the same number as before"), (3, "quite another text under the same number as before"), (4, None)]
@@ -136,7 +176,33 @@ def test_line_chunks_equal_plain_python(spark):
     got = line_dedup.dedup_lines(frame(spark, rows)).collect()
     assert {r["doc_id"]: r["text"] for r in got} == want
     kept = [r for r in got if 60 <= r["doc_id"] < 80]
-    assert sum(r["n_lines_removed"] for r in kept) > 20 * 19  # most of the passage, wherever it stands
+    assert sum(r["n_lines_removed"] for r in kept) > 28 * 19  # nearly all of the passage, wherever it stands
+
+
+@pytest.mark.parametrize("size, share", [(10, 0.95), (20, 0.97), (5, 0.5)])
+def test_share_of_a_passage_that_goes(size, share):
+    """Passages in changing surroundings, by the plain version that the query equals."""
+    rng, rows = random.Random(5), []
+    for g in range(40):
+        passage = [f"p{g} " + " ".join(words(rng, 8, 4000)) for _ in range(size)]
+        for _ in range(6):
+            around = [[" ".join(words(rng, 9, 4000)) for _ in range(rng.randrange(3, 12))] for _ in range(2)]
+            rows.append((len(rows), "\n".join([*around[0], *passage, *around[1]])))
+    out = brute.line_chunks(rows)
+    left = sum(out[d].count(f"p{d // 6} ") for d, _ in rows if d % 6)
+    assert left <= (1 - share) * 40 * 5 * size
+    assert all(out[d] == t for d, t in rows if d % 6 == 0)
+
+
+def test_near_copies_keep_what_they_share(spark):
+    rng = random.Random(8)
+    lines = [" ".join(words(rng, 9, 4000)) for _ in range(30)]
+    half = lines[:16] + [" ".join(words(rng, 9, 4000)) for _ in range(12)]
+    less = lines[:12] + [" ".join(words(rng, 9, 4000)) for _ in range(18)]
+    rows = [(i, "\n".join(x)) for i, x in enumerate((lines, half, less, lines))]
+    got = {r["doc_id"]: r["text"] for r in line_dedup.dedup_documents(frame(spark, rows), copy_share=0.5).collect()}
+    assert got[0] == got[3] == rows[0][1] and got[1] == rows[1][1]
+    assert len(got[2]) < len(rows[2][1])
 
 
 def test_line_chunks_keep_rows_and_columns(spark):
