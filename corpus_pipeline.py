@@ -7,9 +7,10 @@ but the last return the columns of ``documents``.
 
 1. language ID: texts without a language (null, or no letter) and ambiguous ones go.
    The classifiers learn from the labelled rows of the stage's own input.
-2. line dedup: repeated multi-line chunks are removed from the texts. Near copies of
-   each other keep the chunks they share, or the next stage couldn't know them as
-   copies; rows that lose all their words go.
+2. line dedup: repeated multi-line chunks are removed from the texts, with DataFrame
+   functions only. A document that shares half of its lines with the one that holds a
+   chunk first keeps the chunk, or the next stage couldn't know it as a copy; rows that
+   lose all their words go.
 3. MinHash near-dedup: one document of each group stays, that of smallest id.
 4. benchmark decontamination: documents that hold a benchmark item go.
 5. SentencePiece: ids and decoded text of what is left, as checksums.
@@ -30,6 +31,10 @@ from gearlog.llm import decontaminate, language, line_dedup, near_dups, pieces
 from gearlog.llm.common import Scratch, table
 
 
+#: Share of lines in common from which line dedup leaves a document to near-dedup.
+COPY_SHARE = 0.5
+
+
 def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
     """Rows whose doc_id isn't in ``gone`` (column gone_id); null ids stay."""
     return docs.join(gone.distinct(), docs["doc_id"] == gone["gone_id"], "left_anti").select(*docs.columns)
@@ -42,8 +47,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    copies = near_dups.near_duplicates(docs).select("doc_id", F.col("component_id").alias("group"))
-    return line_dedup.dedup_documents(docs, copies, keep_emptied=False)
+    return line_dedup.dedup_documents(docs, copy_share=COPY_SHARE, keep_emptied=False)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
