@@ -47,7 +47,7 @@ from . import pieces
 from .common import Scratch, slices
 
 #: Distinct units a task remembers, and pairs whose counts are broadcast.
-UNITS_KEPT, HOT_PAIRS = 300_000, 1 << 16
+UNITS_KEPT, HOT_PAIRS = 500_000, 1 << 16
 #: White space that starts a unit behind a character that is none.
 _STARTS = " \n\t"
 _UNIT = re.compile(rf"[{_STARTS}]\s*\S*(?:[^\S{_STARTS}]\s*\S*)*")
@@ -83,12 +83,16 @@ class ByteLevel:
             and not cut.get("add_prefix_space")
         )
         at = _byte_of()
-        self.entries = {i: bytes(at[c] for c in t) for t, i in spec["model"]["vocab"].items() if all(c in at for c in t)}
+        vocab = spec["model"]["vocab"]
+        self.entries = [b""] * self.tok.get_vocab_size()
+        for t, i in vocab.items():
+            if all(c in at for c in t):
+                self.entries[i] = bytes(at[c] for c in t)
 
     def encode(self, text: str) -> tuple[list[int], np.ndarray]:
         """Ids, and the byte span of the characters each one has a part in."""
         e = self.tok.encode(text, add_special_tokens=False)
-        spans = np.array(e.offsets, np.int64).reshape(-1, 2)
+        spans = np.fromiter(chain.from_iterable(e.offsets), np.int64).reshape(-1, 2)
         if not text.isascii():  # characters -> bytes
             code = np.frombuffer(text.encode("utf-32-le", "replace"), "<u4")
             wide = 1 + (code >= 0x80).astype(np.int64) + (code >= 0x800) + (code >= 0x10000)
@@ -106,14 +110,14 @@ class PieceModel:
         self.by_unit = model.fast and not any(map(crossing.search, names))
         # in units the space is there already; a model that normalises puts it there
         self.sp = model.plain if self.by_unit else model.whole
-        self.entries = {
-            i: bytes([int(t[3:5], 16)])
+        self.entries = [
+            bytes([int(t[3:5], 16)])
             if self.sp.is_byte(i)
             else b""
             if self.sp.is_control(i)
             else t.replace(pieces.SPACE, " ").encode()
             for i, t in enumerate(names)
-        }
+        ]
 
     def encode(self, text: str) -> tuple[list[int], np.ndarray]:
         """Ids, and the byte span of each piece."""
@@ -139,6 +143,8 @@ class Aligner:
     def __init__(self, a_path: str, b_path: str):
         self.a, self.b = ByteLevel(a_path), PieceModel(b_path)
         self.by_unit = self.a.by_unit and self.b.by_unit
+        ids = range(max(len(self.a.entries), len(self.b.entries)))
+        self.words = [f"{i}{sign}" for i in ids for sign in (",", "|", ";", "\n")]
         self.forget()
 
     def forget(self) -> None:
@@ -152,7 +158,7 @@ class Aligner:
         raw, out = text.encode("utf-8", "replace"), []
         for side in (self.a, self.b):
             ids, spans = side.encode(text)
-            parts = [side.entries.get(i, b"") for i in ids]
+            parts = list(map(side.entries.__getitem__, ids))
             if b"".join(parts) != raw:
                 return None
             sizes = np.fromiter(map(len, parts), np.int64, len(parts))
@@ -162,47 +168,50 @@ class Aligner:
             out += [ids, ends]
         return tuple(out)
 
-    def _add(self, units: list[str], found: tuple | None) -> None:
-        """Groups and links of units that have been encoded together."""
+    def _described(self, units: list[str], found: tuple | None) -> tuple[list[str | None], np.ndarray, np.ndarray]:
+        """Texts, sizes and linked pairs of units that have been encoded together."""
         if found is None:
-            for u in units:
-                self.slots[u] = len(self.shown)
-                self.shown.append(None)
-            self.sizes = np.concatenate([self.sizes, np.zeros((len(units), 4), np.int64)])
-            self.starts = np.concatenate([self.starts, np.zeros(len(units), np.int64)])
-            return
+            return [None] * len(units), np.zeros((len(units), 4), np.int64), np.zeros(0, np.int64)
         a, a_ends, b, b_ends = found
         stops = np.cumsum([len(u.encode("utf-8", "replace")) for u in units])
         cuts = common_ends(a_ends, b_ends)
-        text = show(groups_of(a, a_ends, b, b_ends, cuts))
-        last = np.searchsorted(cuts, stops, "right").tolist()
-        first = 0
-        for u, end in zip(units, last):
-            self.slots[u] = len(self.shown)
-            self.shown.append(";".join(text[first:end]))
-            first = end
         pairs, at = links_of(a, a_ends, b, b_ends, cuts)
-        owner = np.searchsorted(stops, at)
         count = lambda ends: np.bincount(np.searchsorted(stops, ends), minlength=len(units))
-        n_links = np.bincount(owner, minlength=len(units))
-        sizes = np.stack([count(a_ends), count(b_ends), count(cuts), n_links], axis=1)
-        self.sizes = np.concatenate([self.sizes, sizes])
-        self.starts = np.concatenate([self.starts, len(self.pairs) + np.cumsum(n_links) - n_links])
-        self.pairs = np.concatenate([self.pairs, pairs])
+        sizes = np.stack([count(a_ends), count(b_ends), count(cuts), count(at)], axis=1)
+        return self._texts(a, a_ends, b, b_ends, cuts, stops), sizes, pairs
+
+    def _texts(self, a: list[int], a_ends: np.ndarray, b: list[int], b_ends: np.ndarray, cuts: np.ndarray, stops: np.ndarray) -> list[str]:
+        """Groups of every unit as text, as ``show`` has them: each id is a word with the
+        sign that follows it, a line end behind a unit."""
+        ga, gb = np.searchsorted(cuts, a_ends), np.searchsorted(cuts, b_ends)
+        ends = np.zeros(len(cuts), bool)
+        ends[np.searchsorted(cuts, stops)] = True
+        last_a, last_b = (np.append(g[1:] != g[:-1], True) for g in (ga, gb))
+        sign_b = np.where(last_b, np.where(ends[gb], 3, 2), 0)
+        words = np.concatenate([np.array(a) * 4 + last_a, np.array(b) * 4 + sign_b])
+        order = np.argsort(np.concatenate([ga * 2, gb * 2 + 1]), kind="stable")
+        return "".join(map(self.words.__getitem__, words[order].tolist())).split("\n")[:-1]
 
     def learn(self, units: list[str]) -> None:
         """Units behind each other are a text of these units, so they are encoded at
         once; those with a literal mark or white space at their end are not."""
         plain = [u for u in units if self.by_unit and pieces.SPACE not in u and not u[-1].isspace()]
-        alone = set(units).difference(plain)
         found = self.aligned("".join(plain)) if plain else None
-        if found is not None:
-            self._add(plain, found)
-        else:
-            alone.update(plain)
-        for u in units:
-            if u in alone:
-                self._add([u], self.aligned(u))
+        if found is None:
+            plain = []
+        known = set(plain)
+        alone = [u for u in units if u not in known]
+        parts = [self._described(plain, found)] if plain else []
+        parts += [self._described([u], self.aligned(u)) for u in alone]
+        for u in chain(plain, alone):
+            self.slots[u] = len(self.slots)
+        for shown, _, _ in parts:
+            self.shown += shown
+        sizes = np.concatenate([np.zeros((0, 4), np.int64), *(x for _, x, _ in parts)])
+        ends = len(self.pairs) + np.cumsum(sizes[:, 3])
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.starts = np.concatenate([self.starts, ends - sizes[:, 3]])
+        self.pairs = np.concatenate([self.pairs, *(x for _, _, x in parts)])
 
     def trim(self) -> None:
         """Forget the newest units beyond the limit; the first ones are mostly frequent."""
@@ -223,7 +232,7 @@ class Aligner:
         out = []
         for units in cut:
             at = list(map(self.slots.__getitem__, units))
-            shown = [self.shown[i] for i in at]
+            shown = list(map(self.shown.__getitem__, at))
             if not at or None in shown:
                 out.append((np.zeros(4, np.int64), "", np.zeros(0, np.int64)))
                 continue
@@ -269,15 +278,8 @@ def links_of(
     return left << 32 | right, cuts[cut]
 
 
-_NAMES = [str(i) for i in range(1 << 16)]
-
-
-def _name(i: int) -> str:
-    return _NAMES[i] if i < len(_NAMES) else str(i)
-
-
 def show(groups: list[tuple[list[int], list[int]]]) -> list[str]:
-    return [",".join(map(_name, a)) + "|" + ",".join(map(_name, b)) for a, b in groups]
+    return [",".join(map(str, a)) + "|" + ",".join(map(str, b)) for a, b in groups]
 
 
 @lru_cache(maxsize=2)
