@@ -32,6 +32,7 @@ from .sources.sinks import write_csv, write_features
 from .sources.tables import FILES, SCHEMAS, Tables, read_csv_tables, standardise
 from .streaming import jobs
 from .streaming import readings as streams
+from .streaming import rollups, state
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -224,7 +225,43 @@ def _stream_last_events(spark: SparkSession, folder: str) -> DataFrame:
     return jobs.update_to(last, jobs.new_run(spark, "last"), ["machineID"])
 
 
+def _hourly_states(spark: SparkSession, folder: str) -> DataFrame:
+    return jobs.update_to(
+        rollups.partial_states(_stream(spark, folder)), jobs.new_run(spark, "states"), WINDOW_KEY
+    )
+
+
+def _stream_rollup_daily(spark: SparkSession, folder: str) -> DataFrame:
+    return rollups.statistics(rollups.merged(_hourly_states(spark, folder), "day"))
+
+
+def _stream_rollup_monthly(spark: SparkSession, folder: str) -> DataFrame:
+    days = rollups.merged(_hourly_states(spark, folder), "day")
+    return rollups.statistics(rollups.merged(days, "month"))
+
+
+ORDER = ("datetime", "event_id")
+
+
+def _stream_machine_state(spark: SparkSession, folder: str) -> DataFrame:
+    with state.rocksdb(spark):
+        states = state.machine_state(_stream(spark, folder), expiry_hours=120, order=ORDER)
+        return jobs.append_to(states, jobs.new_run(spark, "state"))
+
+
+def _stream_alerts(spark: SparkSession, folder: str) -> DataFrame:
+    readings = _stream(spark, folder).withWatermark("datetime", streams.WATERMARK)
+    scored = streams.flag_odd(readings, _baseline(spark, folder), sigmas=2.0, keep=("event_id",))
+    with state.rocksdb(spark):
+        events = state.alert_states(scored, 1.5, 0.75, quiet_hours=168, order=ORDER)
+        return jobs.append_to(events, jobs.new_run(spark, "alerts"))
+
+
 STREAMS: dict[str, Query] = {
+    "stream_rollup_daily": _stream_rollup_daily,
+    "stream_rollup_monthly": _stream_rollup_monthly,
+    "stream_machine_state": _stream_machine_state,
+    "stream_alerts": _stream_alerts,
     "stream_late_data": _stream_late_data,
     "stream_last_events": _stream_last_events,
     "stream_flags": _stream_flags,
@@ -277,6 +314,7 @@ def _importance(t: Tables, p) -> DataFrame:
 
 HISTORY: dict[str, Callable] = {
     "similar_machines": lambda t, p: fleet.similar_machines(t, p, 3),
+    "error_to_failure_machine": lambda t, p: maintenance.error_to_failure(t, p, machine=12),
     "error_features": labels.error_features,
     "maintenance_features": labels.maintenance_features,
     "failure_labels": labels.failure_labels,
@@ -356,6 +394,7 @@ def queries() -> dict[str, Query]:
         failures.failures_by_weekday,
         maintenance.reactive_ratio,
         maintenance.error_to_failure,
+        maintenance.error_outcomes,
         maintenance.maintenance_effectiveness,
         maintenance.replacement_cost,
         maintenance.maintenance_intervals,
@@ -377,6 +416,7 @@ def queries() -> dict[str, Query]:
         fleet.fleet_kpis,
         fleet.peer_ranking,
         advanced.survival_summary,
+        advanced.survival_curve,
         advanced.maintenance_forecast,
         advanced.prefailure_profile,
         advanced.prognostic_horizon,

@@ -1,41 +1,39 @@
 """Cumulative distributions and exact quantiles over large value columns.
 
-An ordered running total over all values needs a sort in one task. Here values
-are first counted, then cut into ranges at approximate quantiles, and each range
-continues from the totals of the ranges before it.
+An ordered running total over all values needs a sort in one task. Here values are
+counted, and the counts are written once, in ranges of (group, value), one for each
+task. What earlier ranges hold together is a sum over ranges, so every range continues
+alone; a quantile's rank is looked up in that small table first and then in the one
+range that holds it. The source is read once, whatever is asked of the counts.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from .spans import running
+from ..sources.shared import shared_path
 
 
-def value_ranges(df: DataFrame, value: str, ranges: int | None = None) -> DataFrame:
-    """Add ``_range``, an index that grows with ``value``.
+def written_counts(counted: DataFrame, value: str, group: list[str]) -> DataFrame:
+    """``counted`` (one row per group and value) as a written table with ``_part``, the
+    number of its range; ranges follow the order of (group, value)."""
+    spark = counted.sparkSession
+    ranged = counted.repartitionByRange(*group, value).withColumn("_part", F.spark_partition_id())
+    path = shared_path(spark, "counts")
+    ranged.write.parquet(path)
+    return spark.read.schema(ranged.schema).parquet(path)
 
-    The cut points are approximate quantiles, a scalar subquery of the same plan, so
-    nothing runs before the result is asked for. They only balance the ranges;
-    results do not depend on where they fall. Without ``ranges`` there are four for
-    each shuffle partition, so their number follows the size the session is set to.
-    """
-    if ranges is None:
-        ranges = max(64, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    step = math.ceil(math.sqrt(ranges))
-    probs = [F.lit(i / ranges) for i in range(1, ranges)]
-    cuts = df.agg(F.percentile_approx(value, F.array(*probs), 4 * ranges)).scalar()
-    below = lambda c: c < F.col("_value")
-    df = df.withColumns({"_cuts": cuts, "_value": F.col(value)})
-    # every step-th cut first, then the few cuts between two of those
-    coarse = F.filter("_cuts", lambda c, i: ((i + 1) % step == 0) & below(c))
-    df = df.withColumn("_coarse", F.size(coarse) * step)
-    fine = F.size(F.filter(F.slice("_cuts", F.col("_coarse") + 1, F.lit(step)), below))
-    found = F.greatest(F.coalesce(F.col("_coarse") + fine, F.lit(0)), F.lit(0))
-    return df.withColumn("_range", found).drop("_cuts", "_value", "_coarse")
+
+def _before(parts: DataFrame, group: list[str], c: str, descending: bool = False) -> Column:
+    """Sum of ``c`` over the earlier ranges of a group."""
+    earlier = (
+        Window.partitionBy(*group)
+        .orderBy(F.desc("_part") if descending else F.asc("_part"))
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    return F.coalesce(F.sum(c).over(earlier), F.lit(0).cast(parts.schema[c].dataType))
 
 
 def cumulative(
@@ -47,54 +45,79 @@ def cumulative(
 ) -> DataFrame:
     """Running totals ``cum_<c>`` of ``sums`` in value order, per group.
 
-    ``counted`` has one row per group and value.
+    ``counted`` has one row per group and value; groups aren't null.
     """
-    out = running(
-        value_ranges(counted, value),
-        group,
-        [F.desc(value) if descending else F.asc(value)],
-        {f"cum_{c}": ("sum", F.col(c)) for c in sums},
-        F.col("_range").cast("long"),
-        reverse=descending,
+    table = written_counts(counted, value, group)
+    parts = table.groupBy(*group, "_part").agg(*[F.sum(c).alias(c) for c in sums])
+    offsets = parts.select(
+        *group, "_part", *[_before(parts, group, c, descending).alias(f"_off_{c}") for c in sums]
+    )
+    upto = (
+        Window.partitionBy(*group, "_part")
+        .orderBy(F.desc(value) if descending else F.asc(value))
+        .rowsBetween(Window.unboundedPreceding, 0)
+    )
+    return (
+        table.join(offsets, [*group, "_part"])
+        .withColumns({f"cum_{c}": F.sum(c).over(upto) + F.col(f"_off_{c}") for c in sums})
+        .drop("_part", *[f"_off_{c}" for c in sums])
     )
-    return out.drop("_range")
 
 
 def exact_quantiles(
     df: DataFrame, value: str, probs: dict[str, float], group: list[str]
 ) -> DataFrame:
     """Exact, linearly interpolated quantiles per group (few groups, many values)."""
-    keys = group or ["_all"]
     counted = (
         df.filter(F.col(value).isNotNull())
         .groupBy(*group, value)
         .agg(F.count("*").alias("_n"))
     )
-    totals = counted.groupBy(*group).agg(F.sum("_n").alias("_total"))
-    if group:
-        cum = cumulative(counted, value, ["_n"], keys).join(totals, group)
-    else:
-        whole = counted.withColumn("_all", F.lit(0))
-        cum = cumulative(whole, value, ["_n"], keys).withColumn("_total", totals.scalar())
-    spots = {n: (F.col("_total") - 1) * F.lit(p) for n, p in probs.items()}
-    ends = cum.groupBy(*keys).agg(
-        *[
-            F.min(F.when(F.col("cum__n") > F.floor(h), F.col(value))).alias(f"_lo_{n}")
-            for n, h in spots.items()
-        ],
+    keys = group
+    if not group:
+        counted, keys = counted.withColumn("_all", F.lit(0)), ["_all"]
+    table = written_counts(counted, value, keys)
+    parts = table.groupBy(*keys, "_part").agg(F.sum("_n").alias("_in"))
+    parts = parts.select(
+        *keys,
+        "_part",
+        "_in",
+        _before(parts, keys, "_in").alias("_off"),
+        F.sum("_in").over(Window.partitionBy(*keys)).alias("_total"),
+    )
+    spot = {n: (F.col("_total") - 1) * F.lit(p) for n, p in probs.items()}
+    ranks = F.array(
         *[
-            F.min(F.when(F.col("cum__n") > F.ceil(h), F.col(value))).alias(f"_hi_{n}")
-            for n, h in spots.items()
-        ],
-        F.max("_total").alias("_total"),
+            F.struct(F.lit(f"{end}_{n}").alias("name"), fn(h).alias("rank"))
+            for n, h in spot.items()
+            for end, fn in (("lo", F.floor), ("hi", F.ceil))
+        ]
+    )
+    spots = (
+        parts.withColumn("_spot", F.explode(ranks))
+        .filter((F.col("_spot.rank") >= F.col("_off")) & (F.col("_spot.rank") < F.col("_off") + F.col("_in")))
+        .select(*keys, "_part", "_total", "_spot.name", (F.col("_spot.rank") - F.col("_off")).alias("_nth"))
+    )
+    upto = Window.partitionBy(*keys, "_part").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    ends = (
+        table.join(spots.select(*keys, "_part").distinct(), [*keys, "_part"], "left_semi")
+        .withColumn("_cum", F.sum("_n").over(upto))
+        .join(spots, [*keys, "_part"])
+        .filter((F.col("_cum") > F.col("_nth")) & (F.col("_cum") - F.col("_n") <= F.col("_nth")))
+        .groupBy(*keys)
+        .agg(
+            F.max("_total").alias("_total"),
+            *[
+                F.max(F.when(F.col("name") == f"{end}_{n}", F.col(value))).alias(f"_{end}_{n}")
+                for n in probs
+                for end in ("lo", "hi")
+            ],
+        )
     )
     return ends.select(
         *group,
         *[
-            (
-                F.col(f"_lo_{n}")
-                + (h - F.floor(h)) * (F.col(f"_hi_{n}") - F.col(f"_lo_{n}"))
-            ).alias(n)
-            for n, h in spots.items()
+            (F.col(f"_lo_{n}") + (h - F.floor(h)) * (F.col(f"_hi_{n}") - F.col(f"_lo_{n}"))).alias(n)
+            for n, h in spot.items()
         ],
     )

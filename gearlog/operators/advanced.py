@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.ranges import exact_quantiles
+from ..functions.ranges import cumulative, exact_quantiles
 from ..functions.spans import (
     DAY_US,
     HOUR_US,
@@ -30,6 +30,7 @@ def survival_times(t: Tables, p: Params) -> DataFrame:
     )
     return t.machines.join(first, "machineID", "left").select(
         "machineID",
+        "model",
         F.coalesce("h", F.lit(p.horizon_hours)).alias("survival_hours"),
         F.col("h").isNull().alias("censored"),
     )
@@ -50,6 +51,48 @@ def survival_summary(t: Tables, p: Params) -> DataFrame:
     ).withColumn("median_survival_hours", median)
 
 
+def survival_curve(t: Tables, p: Params, fleet: str = "fleet") -> DataFrame:
+    """Product-limit survival of each model and of the whole fleet, step by step.
+
+    One row per group and distinct time: machines at risk just before it, failures and
+    machines lost from sight at it, the share that survives it, and the variance of
+    that share (Greenwood). The last step may take all machines left; the share is 0
+    from there on and has no variance. Machines without a model are group ''.
+    Products are sums of logarithms, which run over written ranges of (group, time).
+    """
+    groups = F.array(F.coalesce("model", F.lit("")), F.lit(fleet))
+    counted = (
+        survival_times(t, p)
+        .withColumn("model", F.explode(groups))
+        .groupBy("model", F.col("survival_hours").alias("time_hours"))
+        .agg(F.count("*").alias("lives"), F.count_if(~F.col("censored")).alias("events"))
+    )
+    n, d = F.col("at_risk"), F.col("events")
+    steps = (
+        cumulative(counted, "time_hours", ["lives"], ["model"], descending=True)
+        .withColumnRenamed("cum_lives", "at_risk")
+        .withColumns(
+            {
+                "_log": F.when(n > d, F.log((n - d) / n)).otherwise(0.0),
+                "_var": F.when(n > d, d / (n.cast("double") * (n - d))).otherwise(0.0),
+                "_out": (n == d).cast("long"),
+            }
+        )
+    )
+    out = cumulative(steps, "time_hours", ["_log", "_var", "_out"], ["model"])
+    alive = F.col("cum__out") == 0
+    share = F.when(alive, F.exp("cum__log")).otherwise(0.0)
+    return out.select(
+        "model",
+        "time_hours",
+        "at_risk",
+        "events",
+        (F.col("lives") - d).alias("censored"),
+        share.alias("survival"),
+        F.when(alive, F.exp(F.col("cum__log") * 2) * F.col("cum__var")).alias("variance"),
+    ).orderBy("model", "time_hours")
+
+
 def maintenance_forecast(t: Tables, p: Params) -> DataFrame:
     """Interval between maintenance of one component, with a 95 % band."""
     mean, std = F.col("avg_interval_hours"), F.col("std_interval_hours")

@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
+from ..functions.ranges import cumulative
 from ..functions.stats import safe_corr
 from ..params import Params
+from ..sources.shared import shared_path
 from ..sources.tables import Tables
 from .cost import fleet_size
 
@@ -253,11 +254,19 @@ def fleet_kpis(t: Tables, p: Params, fanout: bool = False) -> DataFrame:
     )
 
 
+def _rank_in_model(base: DataFrame, value: str, name: str) -> DataFrame:
+    """Rank of each distinct value inside its model, the largest first: one more than
+    the machines above it, counted over ranges of (model, value)."""
+    counted = base.groupBy("_model", value).agg(F.count("*").alias("_n"))
+    above = cumulative(counted, value, ["_n"], ["_model"], descending=True)
+    return above.select("_model", value, (F.col("cum__n") - F.col("_n") + 1).alias(name))
+
+
 def peer_ranking(t: Tables, p: Params, fanout: bool = False) -> DataFrame:
     """Rank of each machine inside its model by vibration and by failures.
 
-    The rank windows run on one row per machine. ``fanout=True`` counts each
-    failure once per reading.
+    No window holds a model: ranks come from counts per distinct value. ``fanout=True``
+    counts each failure once per reading.
     """
     recent = (
         t.telemetry.filter(_since(t, p, 30))
@@ -265,21 +274,28 @@ def peer_ranking(t: Tables, p: Params, fanout: bool = False) -> DataFrame:
         .agg(F.avg("vibration").alias("avg_vibration"), F.count("*").alias("n"))
     )
     fails = F.col("f") * F.col("n") if fanout else F.col("f")
-    model = Window.partitionBy("model")
-    return (
+    base = (
         t.machines.join(recent, "machineID")
         .join(_per_machine(t.failures, "f"), "machineID", "left")
         .fillna(0, ["f"])
         .select("model", "machineID", "age", "avg_vibration", fails.alias("failure_count"))
-        .withColumns(
-            {
-                "vibration_rank_in_model": F.rank()
-                .over(model.orderBy(F.desc("avg_vibration")))
-                .cast("long"),
-                "failure_rank_in_model": F.rank()
-                .over(model.orderBy(F.desc("failure_count")))
-                .cast("long"),
-            }
+        .withColumn("_model", F.coalesce("model", F.lit("\x00")))
+    )
+    spark = base.sparkSession
+    path = shared_path(spark, "peers")  # one row per machine, read four times
+    base.write.parquet(path)
+    base = spark.read.schema(base.schema).parquet(path)
+    return (
+        base.join(_rank_in_model(base, "avg_vibration", "vibration_rank_in_model"), ["_model", "avg_vibration"])
+        .join(_rank_in_model(base, "failure_count", "failure_rank_in_model"), ["_model", "failure_count"])
+        .select(
+            "model",
+            "machineID",
+            "age",
+            "avg_vibration",
+            "failure_count",
+            "vibration_rank_in_model",
+            "failure_rank_in_model",
         )
         .orderBy("model", "vibration_rank_in_model", "machineID")
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,8 +25,43 @@ def reactive_ratio(t: Tables, p: Params) -> DataFrame:
     )
 
 
-def error_to_failure(t: Tables, p: Params, hours: int = 168) -> DataFrame:
-    """Every error with each failure that follows within ``hours``."""
+def error_outcomes(t: Tables, p: Params, hours: int = 168) -> DataFrame:
+    """Every error with the failures that follow within ``hours`` and the next failure.
+
+    One row per error, whatever follows it: counts are running sums over +1/-1 marks
+    and the next failure is one reverse pass, so busy machines make no pairs.
+    """
+    errors = timed(t.errors)
+    failures = timed(t.failures)
+    marks = active_marks(failures, F.col("_us") - hours * HOUR_US, F.col("_us"), {"_n": F.lit(1)})
+    counted = running(
+        beside(errors, marks),
+        ["machineID"],
+        [F.col("_us"), F.col("_kind")],
+        {"_active": ("sum", F.col("_n"))},
+        span_of("_us", 7 * DAY_US),
+    ).filter("_kind = 1")
+    found = next_time(
+        counted.drop("_kind", "_n"), failures, "_next", 7 * DAY_US, base=errors.select("machineID", "_us")
+    )
+    wait = (F.col("_next") - F.col("_us")) / F.lit(3.6e9)
+    return found.select(
+        "machineID",
+        F.col("datetime").alias("error_time"),
+        "errorID",
+        F.coalesce("_active", F.lit(0)).alias("failures_within"),
+        F.timestamp_micros("_next").alias("next_failure"),
+        wait.alias("hours_to_failure"),
+        F.coalesce(wait <= hours, F.lit(False)).alias("is_precursor"),
+    )
+
+
+def error_to_failure(t: Tables, p: Params, hours: int = 168, machine: int | None = None) -> DataFrame:
+    """Every error with each failure that follows within ``hours``, for one machine or
+    for all. The list has a row per pair; ``error_outcomes`` has one per error."""
+    if machine is not None:
+        mine = F.col("machineID") == machine
+        t = replace(t, errors=t.errors.filter(mine), failures=t.failures.filter(mine))
     errors = t.errors.select(
         "machineID",
         F.unix_micros("datetime").alias("_from"),

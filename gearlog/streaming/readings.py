@@ -75,19 +75,22 @@ def downsample(readings: DataFrame, late: str = WATERMARK) -> DataFrame:
     return tumbling(readings, "1 day", late)
 
 
-def flag_odd(readings: DataFrame, baseline: DataFrame, sigmas: float = 3.0) -> DataFrame:
+def flag_odd(
+    readings: DataFrame, baseline: DataFrame, sigmas: float = 3.0, keep: tuple[str, ...] = ()
+) -> DataFrame:
     """All readings, flagged where vibration is over ``sigmas`` deviations off the
     machine's baseline.
 
     ``baseline`` is a static table with ``machineID``, ``mean`` and ``std``; a machine
-    without one, or without deviation, has no score and isn't flagged.
+    without one, or without deviation, has no score and isn't flagged. ``keep`` names
+    further columns of the readings to hand on.
     """
     z = (F.col("vibration") - F.col("mean")) / F.nullif(F.col("std"), F.lit(0.0))
     odd = F.coalesce(F.abs("zscore") > sigmas, F.lit(False))
     return (
         per_key_join(readings, baseline, how="left")
         .withColumn("zscore", z)
-        .select("machineID", "datetime", "vibration", "zscore", odd.alias("is_odd"))
+        .select(*keep, "machineID", "datetime", "vibration", "zscore", odd.alias("is_odd"))
     )
 
 

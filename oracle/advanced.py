@@ -36,6 +36,29 @@ SELECT 100.0::DOUBLE * count(*) FILTER (WHERE h > 168) / count(*) AS pct_survive
        100.0::DOUBLE * count(*) FILTER (WHERE h > 672) / count(*) AS pct_survive_672hr,
        avg(h) AS mean_survival_hours, quantile_cont(h, 0.5) AS median_survival_hours
 FROM s
+""",
+    "survival_curve": """
+lives AS (
+  SELECT machineID, coalesce(model, '') AS model, min(datetime) IS NULL AS censored,
+         coalesce((epoch_us(min(datetime)) - epoch_us(TIMESTAMP '2024-01-01')) / 3600000000.0::DOUBLE, 720) AS h
+  FROM pdm_machines LEFT JOIN pdm_failures USING (machineID) GROUP BY machineID, model
+),
+steps AS (
+  SELECT model, h, count(*) AS lives, count(*) FILTER (WHERE NOT censored) AS d
+  FROM (SELECT model, h, censored FROM lives UNION ALL SELECT 'fleet', h, censored FROM lives)
+  GROUP BY model, h
+),
+risk AS (
+  SELECT *, sum(lives) OVER (PARTITION BY model ORDER BY h DESC)::BIGINT AS n FROM steps
+)
+---
+SELECT model, h AS time_hours, n AS at_risk, d AS events, lives - d AS censored,
+       CASE WHEN min(n - d) OVER w = 0 THEN 0.0::DOUBLE
+            ELSE exp(sum(CASE WHEN n > d THEN ln((n - d)::DOUBLE / n) ELSE 0 END) OVER w) END AS survival,
+       CASE WHEN min(n - d) OVER w > 0
+            THEN exp(2 * sum(CASE WHEN n > d THEN ln((n - d)::DOUBLE / n) ELSE 0 END) OVER w)
+                 * sum(CASE WHEN n > d THEN d / (n::DOUBLE * (n - d)) ELSE 0 END) OVER w END AS variance
+FROM risk WINDOW w AS (PARTITION BY model ORDER BY h)
 """,
     "maintenance_forecast": """
 g AS (

@@ -11,6 +11,24 @@ SELECT e.machineID, e.datetime AS error_time, f.datetime AS failure_time,
        errorID, failure
 FROM pdm_errors e JOIN pdm_failures f ON e.machineID = f.machineID
 WHERE f.datetime - e.datetime > INTERVAL 0 HOUR AND e.datetime >= f.datetime - INTERVAL 168 HOUR
+""",
+    "error_to_failure_machine": """
+SELECT e.machineID, e.datetime AS error_time, f.datetime AS failure_time,
+       (epoch_us(f.datetime) - epoch_us(e.datetime)) / 3600000000.0::DOUBLE AS hours_error_to_failure,
+       errorID, failure
+FROM pdm_errors e JOIN pdm_failures f ON e.machineID = f.machineID
+WHERE e.machineID = 12 AND f.datetime > e.datetime AND e.datetime >= f.datetime - INTERVAL 168 HOUR
+""",
+    "error_outcomes": """
+e AS (SELECT *, row_number() OVER () AS id FROM pdm_errors)
+---
+SELECT e.machineID, e.datetime AS error_time, errorID,
+       count(*) FILTER (WHERE f.datetime <= e.datetime + INTERVAL 168 HOUR) AS failures_within,
+       min(f.datetime) AS next_failure,
+       (epoch_us(min(f.datetime)) - epoch_us(e.datetime)) / 3600000000.0::DOUBLE AS hours_to_failure,
+       coalesce(min(f.datetime) <= e.datetime + INTERVAL 168 HOUR, false) AS is_precursor
+FROM e LEFT JOIN pdm_failures f ON f.machineID = e.machineID AND f.datetime > e.datetime
+GROUP BY id, e.machineID, e.datetime, errorID
 """,
     "maintenance_effectiveness": """
 SELECT m.machineID, m.datetime AS maintenance_date, m.comp AS maintained_component,

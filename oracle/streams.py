@@ -17,7 +17,77 @@ FROM pdm_telemetry GROUP BY ALL
 """
 
 
+def _rollup(unit: str) -> str:
+    return f"""
+SELECT machineID, CAST(date_trunc('{unit}', datetime) AS TIMESTAMP) AS window_start, count(*) AS readings, {STATS}
+FROM pdm_telemetry GROUP BY machineID, 2
+"""
+
+
+ISLAND = """
+gaps AS (
+  SELECT *, datetime - lag(datetime) OVER w AS wait,
+         CASE WHEN datetime - lag(datetime) OVER w <= INTERVAL 120 HOUR THEN 0 ELSE 1 END AS fresh
+  FROM pdm_telemetry WINDOW w AS (PARTITION BY machineID ORDER BY datetime, event_id)
+),
+islands AS (
+  SELECT *, sum(fresh) OVER (PARTITION BY machineID ORDER BY datetime, event_id) AS island FROM gaps
+),
+so_far AS (
+  SELECT *, {lists}
+  FROM islands WINDOW w AS (PARTITION BY machineID, island ORDER BY datetime, event_id)
+)
+---
+SELECT machineID, datetime, len(volt_l) AS readings,
+       CASE WHEN fresh = 0 THEN epoch_us(wait) / 3600000000.0::DOUBLE END AS hours_since_last, {means}
+FROM so_far
+""".format(
+    lists=", ".join(f"list({s}) OVER w AS {s}_l" for s in SENSORS),
+    means=", ".join(
+        f"list_reduce({s}_l, lambda m, x: 0.1::DOUBLE * x + 0.9::DOUBLE * m) AS {s}_ewma" for s in SENSORS
+    ),
+)
+
+ALERTS = """
+base AS (SELECT machineID, avg(vibration) AS m, nullif(stddev_samp(vibration), 0) AS s
+         FROM pdm_telemetry WHERE datetime < TIMESTAMP '2024-01-15' GROUP BY machineID),
+z AS (
+  SELECT machineID, datetime, event_id, abs((vibration - m) / s) AS z
+  FROM pdm_telemetry LEFT JOIN base USING (machineID)
+),
+breaks AS (  -- an alert can't reach over a low score or a long silence
+  SELECT *, coalesce(lag(z) OVER w < 0.75, false) OR coalesce(datetime - lag(datetime) OVER w > INTERVAL 168 HOUR, false) AS cut,
+         lead(datetime) OVER w AS next_at
+  FROM z WINDOW w AS (PARTITION BY machineID ORDER BY datetime, event_id)
+),
+parts AS (
+  SELECT *, sum(cut::INT) OVER (PARTITION BY machineID ORDER BY datetime, event_id) AS part FROM breaks
+),
+risen AS (
+  SELECT *, max((z > 1.5)::INT) OVER (PARTITION BY machineID, part ORDER BY datetime, event_id) AS up FROM parts
+),
+held AS (
+  SELECT machineID, part, count(*) AS n, max(z) AS peak, min(datetime) AS raised, max(datetime) AS last_at,
+         arg_min(z, (datetime, event_id)) AS first_z, arg_max(z, (datetime, event_id)) AS last_z,
+         arg_max(next_at IS NOT NULL, (datetime, event_id)) AS goes_on
+  FROM risen WHERE up = 1 GROUP BY machineID, part
+),
+mark AS (SELECT to_timestamp(floor(epoch_us(max(datetime)) / 1000) / 1000 - 3600)::TIMESTAMP AS at FROM pdm_telemetry)
+---
+SELECT machineID, raised AS at, 'raised' AS event, 1::BIGINT AS readings, first_z AS peak FROM held
+UNION ALL
+SELECT machineID, last_at, 'cleared', n, peak FROM held WHERE n > 1 AND last_z < 0.75
+UNION ALL
+SELECT machineID, last_at + INTERVAL 168 HOUR, 'timeout', n, peak FROM held, mark
+WHERE coalesce(last_z >= 0.75, true) AND (goes_on OR last_at + INTERVAL 168 HOUR < mark.at)
+"""
+
+
 SQL = {
+    "stream_rollup_daily": _rollup("day"),
+    "stream_rollup_monthly": _rollup("month"),
+    "stream_machine_state": ISLAND,
+    "stream_alerts": ALERTS,
     "stream_tumbling": _tumbling("1 HOUR"),
     "stream_tumbling_5min": _tumbling("5 MINUTE"),
     "stream_downsample": _tumbling("24 HOUR"),
