@@ -113,11 +113,9 @@ def score_counts(df: DataFrame, by=BY) -> DataFrame:
 
 def _ranked(df: DataFrame, by) -> DataFrame:
     """Per distinct score, the rows at or above it and the totals of the group."""
-    counted = score_counts(df, by)
-    totals = counted.groupBy(*by).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    return cumulative(counted, "probability", ["pos", "neg"], list(by), descending=True).join(
-        totals, list(by)
-    )
+    ranked = cumulative(score_counts(df, by), "probability", ["pos", "neg"], list(by), descending=True)
+    totals = ranked.groupBy(*by).agg(F.max("cum_pos").alias("P"), F.max("cum_neg").alias("N"))
+    return ranked.join(totals, list(by))
 
 
 def ranking_metrics(df: DataFrame, by=BY) -> DataFrame:

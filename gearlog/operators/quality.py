@@ -239,12 +239,12 @@ def ks_drift(
         .groupBy("sensor", "value")
         .agg(F.count_if(F.col("_now") == 0).alias("ref"), F.count_if(F.col("_now") == 1).alias("cur"))
     )
-    totals = counted.groupBy("sensor").agg(F.sum("ref").alias("n"), F.sum("cur").alias("m"))
+    shares = cumulative(counted, "value", ["ref", "cur"], ["sensor"])
+    totals = shares.groupBy("sensor").agg(F.max("cum_ref").alias("n"), F.max("cum_cur").alias("m"))
     gap = F.abs(F.col("cum_ref") / F.col("n") - F.col("cum_cur") / F.col("m"))
     stat = F.col("ks_statistic")
     return (
-        cumulative(counted, "value", ["ref", "cur"], ["sensor"])
-        .join(totals, "sensor")
+        shares.join(totals, "sensor")
         .groupBy("sensor", "n", "m")
         .agg(F.max(gap).alias("ks_statistic"))
         .withColumn("p_value", kolmogorov_p(stat, F.col("n"), F.col("m")))
