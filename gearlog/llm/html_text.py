@@ -6,7 +6,8 @@ comments give no text. Sums of weights over sliding windows of lines rise at a s
 point, the first window that is dense for its page, and fall back at dive points,
 where a whole window is links. Text from the surge on is kept, without the links
 from a dive to the next text. Where the page's article or main element holds its
-densest window, the text is what these elements hold.
+densest window, the text is what these elements hold; an article's own header is text.
+Headings, leads and bylines before the surge belong to it, back to the last dive.
 
 Cases: null or empty html gives an empty text; a page without text outside links
 gives an empty text; unclosed tags end where their container ends, unclosed
@@ -25,17 +26,21 @@ from pyspark.sql import DataFrame
 
 from .common import slices
 
-#: Elements of HTML by what they do to text.
+#: Elements of HTML by what they do to text.
 HIDDEN = ("script", "style", "noscript", "template", "svg", "iframe", "object", "head", "title", "textarea", "select", "math", "canvas")
 NOISE = ("nav", "footer", "aside", "form", "header", "menu", "dialog", "button")
 BLOCKS = ("address", "article", "aside", "blockquote", "body", "caption", "center", "dd", "details", "dialog", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hgroup", "hr", "html", "legend", "li", "main", "menu", "nav", "ol", "option", "p", "pre", "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul")
 VOID = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr")
-#: Words of class, id and role names that mark what is not the article.
-NOISE_NAMES = ("ad", "ads", "adv", "advert", "advertisement", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "complementary", "consent", "contentinfo", "cookie", "cookies", "disqus", "footer", "gdpr", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "pagination", "popup", "promo", "related", "replies", "search", "share", "sidebar", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget")
+#: Words of class, id and role names that mark what is not the article.
+NOISE_NAMES = ("ad", "ads", "adv", "advert", "advertisement", "advertising", "adverts", "banner", "breadcrumb", "breadcrumbs", "comment", "comments", "complementary", "consent", "contentinfo", "cookie", "cookies", "copyright", "disqus", "footer", "gdpr", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "pagination", "popup", "promo", "related", "replies", "search", "share", "sidebar", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget")
 
-#: First and last parts that such a name may have (site-footer, ad-slot).
+#: First and last parts that such a name may have (site-footer, ad-slot).
 NAME_PREFIXES = ("site", "page", "main", "top", "bottom", "post", "global", "primary", "secondary")
 NAME_SUFFIXES = ("area", "banner", "bar", "block", "box", "buttons", "form", "links", "list", "menu", "section", "slot", "unit", "widget")
+#: Words that name the article itself (a name ends with what it names: sidebar-content is
+#: content, article-comments are comments), and words that only say how something is.
+CONTENT_NAMES = ("article", "body", "content", "contents", "entry", "main", "post", "story", "text")
+STATE_NAMES = ("active", "closed", "disabled", "enabled", "has", "hide", "is", "no", "not", "off", "on", "open", "show", "with", "without")
 #: Elements that hold the article, whatever their names say.
 ROOTS = ("html", "body", "main", "article")
 #: Elements whose end tag may be left out, and the start tags that end them.
@@ -43,6 +48,7 @@ _CELLS = ("td", "th", "tr", "tbody", "thead", "tfoot")
 ENDED_BY = {"li": ("li",), "dd": ("dd", "dt"), "dt": ("dd", "dt"), "option": ("option",), "td": _CELLS, "th": _CELLS, "tr": _CELLS[2:], "tbody": _CELLS[3:], "thead": _CELLS[3:], "tfoot": _CELLS[3:], "p": tuple(set(BLOCKS) - {"legend", "option", "html", "body"})}
 
 _HIDDEN, _NOISE, _BLOCKS, _VOID, _NAMES = map(frozenset, (HIDDEN, NOISE, BLOCKS, VOID, NOISE_NAMES))
+_CONTENT, _STATE = frozenset(CONTENT_NAMES), frozenset(STATE_NAMES)
 _RAW = frozenset({"script", "style", "textarea", "title", "noscript", "iframe", "template"})
 _TAG = re.compile(
     r"<(?:!--(?P<c>.*?)(?:-->|\Z)|(?P<end>/)?(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>=]++|=\s*(?:\"[^\"]*\"|'[^']*')?)*+)>|[!?][^>]*>)",
@@ -68,13 +74,24 @@ def _noise_name(token: str) -> bool:
     return len(parts) == 1 and parts[0] in _NAMES
 
 
+def _noise_class(token: str) -> bool:
+    """Class names are made of words on purpose, so any noise word in one counts; ids are
+    often made from headings and must be such a name as a whole."""
+    if _noise_name(token):
+        return True
+    parts = token.replace("_", "-").split("-")
+    if not _STATE.isdisjoint(parts):
+        return False
+    return parts[-1] in _NAMES or _CONTENT.isdisjoint(parts) and not _NAMES.isdisjoint(parts)
+
+
 def _noisy(element: str, attrs: str) -> bool:
     if not attrs or element in ROOTS:
         return False
     for m in _ATTR.finditer(attrs):
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
         if name in ("class", "id", "role"):
-            if any(map(_noise_name, value.split())):
+            if any(map(_noise_class if name == "class" else _noise_name, value.split())):
                 return True
         elif name == "hidden" or name == "aria-hidden" and value.strip() == "true":
             return True
@@ -159,7 +176,10 @@ def blocks(page: str) -> list[tuple[str, int, bool]]:
             continue
         if name in _VOID or m["attrs"].endswith("/"):
             continue
-        if name in _HIDDEN and name != "head" or name in _NOISE or _noisy(name, m["attrs"]):
+        noisy = name in _HIDDEN and name != "head" or name in _NOISE
+        if name == "header" and any(n == "article" and kind == ARTICLE for n, kind in stack):
+            noisy = False  # an article's own title
+        if noisy or _noisy(name, m["attrs"]):
             stack.append((name, NOISE_KIND))
             noise += 1
         elif name in ("article", "main"):
@@ -197,6 +217,11 @@ def main_text(page: str | None) -> str:
     dense = min(DENSE, max(sums, default=0) / 2)
     # surge: a dense window that starts with text, and text goes on after it
     start = next((i for i, w in enumerate(weights) if w and sums[i] >= dense), len(found))
+    back = start  # text before the surge is of one piece with it up to the last dive
+    while back and back > start - WINDOW + 1 and not weights[back - 1] or back and weights[back - 1]:
+        back -= 1
+        if weights[back]:
+            start = back
     kept: list[str] = []
     links: list[str] = []  # link-only blocks since the last text
     for t, w, _ in found[start:]:

@@ -71,6 +71,81 @@ def test_names_hide_only_what_they_name(body, text):
     assert html_text.main_text(whole) == text
 
 
+@pytest.mark.parametrize(
+    "attrs",
+    ["class='cookie-notice'", "class='reader-comments'", "class='x comment-thread'", "class='ad-container'", "class='related-posts'",
+     "class='sidebar-left'", "class='adverts'", "class='advertising'", "id='copyright'", "class='article-comments'", "class='post_share'"],
+)
+def test_noise_words_in_class_names(attrs):
+    body = f"<p>{LONG}</p><div {attrs}><p>{LONG} But not this.</p></div><p>{LONG}</p>"
+    assert html_text.main_text(page(body)) == f"{LONG}\n\n{LONG}"
+    assert html_text.main_text(page(f"<article>{body}</article>")) == f"{LONG}\n\n{LONG}"
+
+
+@pytest.mark.parametrize("attrs", ["class='sidebar-content'", "class='nav-open'", "class='article-body'", "id='related-work'", "class='has_ads'"])
+def test_names_of_content(attrs):
+    assert html_text.main_text(page(f"<div {attrs}><p>{LONG}</p></div>")) == LONG
+
+
+def test_header_of_an_article():
+    body = f"<header>site</header><article><header><h1>Title</h1><nav>no</nav></header><p>{LONG}</p></article>"
+    assert html_text.main_text(page(body)) == f"Title\n\n{LONG}"
+
+
+def plain_text(node):
+    """Blocks of a tree of (tag, noisy, children or text), by recursion."""
+    out, now = [], []
+
+    def flush():
+        t = " ".join("".join(now).split())
+        if t:
+            out.append(t)
+        now.clear()
+
+    def walk(n):
+        tag, noisy, children = n
+        if noisy:
+            if tag in html_text.BLOCKS:
+                flush()
+            return
+        block = tag in html_text.BLOCKS
+        if block:
+            flush()
+        for c in children:
+            now.append(c) if isinstance(c, str) else walk(c)
+        if block:
+            flush()
+
+    walk(node)
+    return "\n\n".join(out)
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_random_trees_equal_a_plain_stripper(seed):
+    rng = random.Random(seed)
+    noise = ["class='cookie-notice'", "class='ads'", "hidden", "style='display:none'", "id='comments'"]
+
+    def tree(depth):
+        tag = rng.choice(["div", "p", "section", "b", "i", "span", "h2", "ul", "blockquote"])
+        noisy = rng.random() < 0.15
+        n = rng.randrange(1, 4)
+        inline = tag in ("p", "h2", "b", "i", "span")
+        kids = [
+            f" word{rng.randrange(99)}  x " if depth == 0 or inline or rng.random() < 0.4 else tree(depth - 1)
+            for _ in range(n)
+        ]
+        return tag, noisy, kids
+
+    def text(n):
+        tag, noisy, kids = n
+        inner = "".join(k if isinstance(k, str) else text(k) for k in kids)
+        return f"<{tag} {rng.choice(noise) if noisy else 'class=box'}>{inner}</{tag}>"
+
+    root = ("article", False, [tree(4) for _ in range(5)])
+    inner = "".join(text(k) for k in root[2])
+    assert html_text.main_text(f"<html><body><article>{inner}</article></body></html>") == plain_text(root)
+
+
 MENU = "<ul><li><a href='/a'>One</a></li><li><a href='/b'>Two</a></li><li><a href='/c'>Three</a></li></ul>"
 
 
@@ -85,6 +160,8 @@ MENU = "<ul><li><a href='/a'>One</a></li><li><a href='/b'>Two</a></li><li><a hre
         (f"<article>Teaser card</article><div><p>{LONG}</p><p>{LONG}</p></div>", f"Teaser card\n\n{LONG}\n\n{LONG}"),
         (f"<article><p>{LONG}</p><p>Hi.</p></article><div>Some words outside</div>", f"{LONG}\n\nHi."),
         (MENU, ""),
+        (f"{MENU}<h1>Title</h1><p>Lead one.</p><p>By Ann.</p><p>{LONG}</p>", f"Title\n\nLead one.\n\nBy Ann.\n\n{LONG}"),
+        (f"<p>Tagline</p>{MENU}<p><a href='/'>Up</a></p><h1>Title</h1><p><a href='/t'>Topic</a></p><p>{LONG}</p>", f"Title\n\nTopic\n\n{LONG}"),
     ],
 )
 def test_density_is_relative_to_the_page(body, text):
