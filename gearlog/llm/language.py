@@ -160,7 +160,8 @@ def train(
             rows = [features(t).astype(np.float16).tobytes() for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(rows, pa.binary())], names=["lang", "x"])
 
-    found = sample.mapInArrow(run, "lang string, x binary").orderBy("lang", "x").collect()
+    # at most `sample_rows` rows: their order is settled here, not by a shuffle
+    found = sorted(map(tuple, sample.mapInArrow(run, "lang string, x binary").collect()))
     if not found:
         return None
     x = np.stack([np.frombuffer(r[1], np.float16) for r in found]).astype(np.float32)
