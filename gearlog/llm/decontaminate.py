@@ -1,34 +1,32 @@
-"""Benchmark decontamination: shared word runs, CGK embedding and bit sampling.
+"""Benchmark decontamination: CGK embedding and bit sampling.
 
 Documents and items are sequences of lower-cased words. An item of n words leaks
 where a run of a document is within e edits of it (``edit_pct`` of n).
 
-Items of fewer than ``LONG`` words are found by their runs of q words. An edit
-spoils q of an item's n - q + 1 runs at most, so n - q + 1 - q * e stay whole, on
-diagonals (document position less item position) within e of the start. Whatever
-has as many runs on neighbouring diagonals is a candidate: none is lost.
-
-Longer items go through a random walk (CGK: Chakraborty, Goldenberg, Koucky). It
-reads a window from its start: at every step it emits the word under its pointer,
-and a random bit of (step, word) says whether the pointer moves on. Two windows a
-few edits apart fall out of step at an edit and into step again, so that edit
-distance becomes Hamming distance of the emitted words. Sampling a few steps and
-hashing their words gives keys. Document windows start at every ``stride``-th word,
-item windows at as many successive offsets at each of ``PLACES`` places, so a copy
-at any place meets a document window that starts at the very same word. The number
-of keys comes from simulated items with all ``edit_pct`` edits: as many as it takes
-for ``recall`` of them to be met.
-
-Candidates are (document, item, place); the edit distance of the whole item to the
-best matching run of words at that place is computed exactly.
+A window goes through a random walk (CGK: Chakraborty, Goldenberg, Koucky). It is read
+from its start: at every step the walk emits the word under its pointer, and a random
+bit of (step, word) says whether the pointer moves on. Two windows a few edits apart
+fall out of step at an edit and into step again, so that edit distance becomes Hamming
+distance of the emitted words. Sampling a few steps and hashing their words gives keys.
+
+Items go in classes by length, each with windows of its own size (about half of its
+shortest item, up to 15 words). Document windows start at every ``stride``-th word, item windows
+at every word of a short item and at as many successive words as a stride has at each
+of ``PLACES`` places of a long one, so a copy meets a document window that starts at the
+very same word. How many keys a walk needs comes from simulated items with all
+``edit_pct`` edits: as many as it takes for ``recall`` of them to be met, at several
+lengths of the class.
+
+Candidates are (document, item, place), near ones taken together; the edit distance of
+the whole item to the best matching run of words at that place is computed exactly.
 
 Items are read in blocks of ``block_items``, one pass over the documents for each
 block, so what a task holds has a bound at any benchmark size.
 
-Cases: null texts, and items without words, match nothing; items of a few words
-have shorter runs, down to one word; an item that is a text several times is
-reported for each item_id; repeated document rows give the same result once; empty
-tables give no rows; extra columns are not read.
+Cases: null texts, and items without words, match nothing; items of one to three words
+must occur as they are; an item that is a text several times is reported for each
+item_id; repeated document rows give the same result once; empty tables give no rows;
+extra columns are not read. Words are known by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -36,6 +34,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -43,27 +42,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch, slices
-from .words import batch_words, grams, mix
-
-#: Items from this many words on are found by walks, shorter ones by runs of at
-#: most RUN words.
-LONG, RUN = 64, 3
-#: Words of a window, words between document windows, steps of a walk.
-SIZE, STRIDE, STEPS = 8, 8, 16
-#: Sampled steps per key, walks, wanted recall, allowed edits in % of an item's words.
-SAMPLES, WALKS, RECALL, EDIT_PCT = 4, 2, 0.99, 25
-#: Places of an item, evenly apart, where its windows start.
+from .words import batch_words, mix
+
+#: Classes of items: least words, words of a window, words between document windows,
+#: steps that a key samples.
+CLASSES = ((1, 1, 1, 1), (2, 2, 1, 2), (4, 2, 1, 2), (8, 4, 2, 3), (15, 8, 4, 4), (30, 12, 8, 4), (60, 15, 15, 4))
+#: Steps of a walk that are sampled: later ones seldom are in step behind an edit.
+STEPS = 10
+#: Walks, wanted recall, allowed edits in % of an item's words.
+WALKS, RECALL, EDIT_PCT = 8, 0.99, 25
+#: Places of a long item, evenly apart, where its windows start.
 PLACES = 7
-BLOCK_ITEMS = 20000
+#: Items of a block: their keys are broadcast, at most about 60 KB for an item.
+BLOCK_ITEMS = 2000
 _FILTER_BITS = 22
 
 
-@dataclass
+@dataclass(frozen=True)
 class Plan:
-    """Which steps each key samples, and the edits that are allowed."""
+    """Windows of one class of items, and which steps each key samples."""
 
+    size: int
+    stride: int
     steps: np.ndarray  # (walks, keys, samples)
-    edit_pct: int
 
 
 def _seeds(walks: int) -> np.ndarray:
@@ -91,7 +92,7 @@ def keys_of(words: np.ndarray, starts: np.ndarray, plan: Plan) -> Iterator[tuple
         for j, at in enumerate(walk(words, starts, max(wanted) + 1, seed)):
             if j not in wanted:
                 continue
-            emitted = np.where(at - starts < SIZE, words[at], np.uint64(0))
+            emitted = np.where(at - starts < plan.size, words[at], np.uint64(0))
             for k in wanted[j]:
                 x = made[k]
                 x ^= emitted
@@ -101,10 +102,13 @@ def keys_of(words: np.ndarray, starts: np.ndarray, plan: Plan) -> Iterator[tuple
             yield w * 1000 + k, x
 
 
-def item_offsets(n: int) -> np.ndarray:
+def item_offsets(n: int, plan: Plan) -> np.ndarray:
     """Where the windows of an item of n words start."""
-    firsts = np.linspace(0, n - SIZE - STRIDE + 1, PLACES).astype(np.int64)
-    return np.unique(firsts[:, None] + np.arange(STRIDE))
+    last = n - plan.size
+    if last + 1 <= PLACES * plan.stride:
+        return np.arange(last + 1)
+    firsts = np.linspace(0, last - plan.stride + 1, PLACES).astype(np.int64)
+    return np.unique(firsts[:, None] + np.arange(plan.stride))
 
 
 def edited(words: np.ndarray, edits: int, rng: np.random.Generator) -> np.ndarray:
@@ -120,15 +124,15 @@ def simulated_recall(plan: Plan, n: int, edit_pct: int, trials: int = 1000) -> n
     """Share of edited items of n words met by the first 1, 2, ... keys of each walk."""
     rng = np.random.default_rng(n)
     items, docs, spots, marks, at_item, at_doc = [], [], [], [], 0, 0
-    offsets = item_offsets(n)
+    offsets = item_offsets(n, plan)
     for _ in range(trials):
         item = rng.integers(1, 2**63, n).astype(np.uint64)
-        before = rng.integers(1, 2**63, int(rng.integers(STRIDE, 2 * STRIDE))).astype(np.uint64)
+        before = rng.integers(1, 2**63, int(rng.integers(plan.stride, 2 * plan.stride + 1))).astype(np.uint64)
         text = np.concatenate([before, edited(item, n * edit_pct // 100, rng), before])
         items.append(np.append(item, np.uint64(0)))
         docs.append(np.append(text, np.uint64(0)))
         spots.append(at_item + offsets)
-        marks.append(at_doc + np.arange(0, len(text), STRIDE))
+        marks.append(at_doc + np.arange(0, len(text), plan.stride))
         at_item, at_doc = at_item + n + 1, at_doc + len(text) + 1
     owner_i = np.repeat(np.arange(trials), len(offsets)).astype(np.uint64)
     owner_d = np.repeat(np.arange(trials), [len(m) for m in marks]).astype(np.uint64)
@@ -141,22 +145,30 @@ def simulated_recall(plan: Plan, n: int, edit_pct: int, trials: int = 1000) -> n
     return np.logical_or.accumulate(met).mean(axis=1)
 
 
-def make_plan(recall: float = RECALL, edit_pct: int = EDIT_PCT) -> Plan:
-    """As many keys per walk as long items need with all edits that are allowed: the
-    shortest, and longer ones, which have the same places farther apart."""
+def class_of(n: int) -> int:
+    """Number of the class that items of n words are in."""
+    return sum(n >= least for least, *_ in CLASSES) - 1
+
+
+@lru_cache(maxsize=32)
+def make_plan(number: int, recall: float = RECALL, edit_pct: int = EDIT_PCT) -> Plan:
+    """As many keys per walk as items of a class need with all edits that are allowed:
+    the shortest, the one with the largest share of edits, and long ones."""
+    least, size, stride, samples = CLASSES[number]
     rng = np.random.default_rng(9)
-    # one step of every quarter of the walk, so that a key's words lie apart
-    quarter = STEPS // SAMPLES
+    most = CLASSES[number + 1][0] - 1 if number + 1 < len(CLASSES) else 4 * least
+    lengths = {least, min(most, -(-least * edit_pct // 100) * 100 // max(1, edit_pct)), (least + most) // 2, most}
+    # a key's steps come from equal parts of the walk, so that its words lie apart
+    parts = np.array_split(np.arange(max(samples, min(STEPS, 2 * size))), samples)
     keys = 8
     while True:
-        steps = rng.integers(0, quarter, (WALKS, keys, SAMPLES)) + quarter * np.arange(SAMPLES)
-        plan = Plan(steps, edit_pct)
-        found = np.minimum(simulated_recall(plan, LONG, edit_pct), simulated_recall(plan, 4 * LONG, edit_pct))
+        steps = np.stack([rng.choice(part, (WALKS, keys)) for part in parts], axis=2)
+        plan = Plan(size, stride, steps)
+        found = np.min([simulated_recall(plan, n, edit_pct) for n in lengths if n >= least], axis=0)
         # two standard errors above the wanted share
         enough = np.flatnonzero(found >= min(recall + 2 * math.sqrt(recall * (1 - recall) / 1000), 0.999))
         if len(enough) or keys >= 64:
-            plan.steps = steps[:, : (enough[0] + 1 if len(enough) else keys)]
-            return plan
+            return Plan(size, stride, steps[:, : (enough[0] + 1 if len(enough) else keys)])
         keys *= 2
 
 
@@ -209,48 +221,32 @@ class Block:
     """One block of items with their keys, small enough for every task."""
 
     items: list[tuple[int, np.ndarray]]  # item_id, words
-    plan: Plan
-    walks: dict[int, Index]  # key number -> long items
-    runs: dict[int, Index]  # words of a run -> other items
     edits: np.ndarray  # allowed edits of each item
-    least: np.ndarray  # runs that stay whole at least
+    classes: list[tuple[Plan, dict[int, Index]]]  # key number -> windows of items
 
 
-def make_block(items: list[tuple[int, str | None]], plan: Plan) -> Block | None:
+def make_block(items: list[tuple[int, str | None]], recall: float, edit_pct: int) -> Block | None:
     known = [(i, (t or "").encode("utf-8", "replace").lower()) for i, t in items]
     hashes, _, _, first = batch_words([t for _, t in known])
     cut = [(i, hashes[a:b]) for (i, _), a, b in zip(known, first[:-1], first[1:]) if b > a]
     if not cut:
         return None
     sizes = np.array([len(w) for _, w in cut], np.int64)
-    edits = sizes * plan.edit_pct // 100
-    spans = np.minimum(RUN, np.maximum(1, sizes // (edits + 1)))  # words of a run
-    least = np.maximum(1, sizes - spans + 1 - spans * edits)
-    by_span: dict[int, list[int]] = {}
-    long = []
-    for k, (_, words) in enumerate(cut):
-        if len(words) < LONG:
-            by_span.setdefault(int(spans[k]), []).append(k)
-        else:
-            long.append(k)
-    runs = {}
-    for q, ks in by_span.items():
-        made = [grams(cut[k][1], q) for k in ks]
-        owner = np.repeat(ks, [len(m) for m in made])
-        runs[q] = make_index(np.concatenate(made), owner, np.concatenate([np.arange(len(m)) for m in made]))
-    walks = {}
-    if long:
-        flat = np.concatenate([np.append(cut[k][1], np.uint64(0)) for k in long])
-        begin = np.cumsum([0, *(sizes[k] + 1 for k in long)])[:-1]
-        offsets = [item_offsets(int(sizes[k])) for k in long]
+    member = np.array([class_of(n) for n in sizes.tolist()])
+    classes = []
+    for number in np.unique(member).tolist():
+        plan, ks = make_plan(number, recall, edit_pct), np.flatnonzero(member == number)
+        flat = np.concatenate([np.append(cut[k][1], np.uint64(0)) for k in ks])
+        begin = np.cumsum([0, *(sizes[ks] + 1)])[:-1]
+        offsets = [item_offsets(int(sizes[k]), plan) for k in ks]
         starts = np.concatenate([b + o for b, o in zip(begin, offsets)])
-        owner = np.repeat(long, [len(o) for o in offsets])
-        for number, keys in keys_of(flat, starts, plan):
-            walks[number] = make_index(keys, owner, np.concatenate(offsets))
-    return Block(cut, plan, walks, runs, edits, least)
+        owner = np.repeat(ks, [len(o) for o in offsets]).astype(np.int32)
+        where = np.concatenate(offsets).astype(np.int32)
+        classes.append((plan, {n: make_index(keys, owner, where) for n, keys in keys_of(flat, starts, plan)}))
+    return Block(cut, sizes * edit_pct // 100, classes)
 
 
-def _verified(block: Block, words: np.ndarray, seen: set[tuple[int, int, int]]) -> Iterator[tuple[int, int, int]]:
+def _verified(block: Block, words: np.ndarray, seen: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, int]]:
     """(item index, edits, end word) for candidates (item, first and last guessed start)."""
     done: dict[int, tuple[int, int]] = {}
     for k, start, last in sorted(seen):
@@ -274,29 +270,20 @@ def _verified(block: Block, words: np.ndarray, seen: set[tuple[int, int, int]])
         yield k, d, end
 
 
-def _shared_runs(block: Block, q: int, flat: np.ndarray, begin: np.ndarray, found: dict) -> None:
-    """Candidates whose runs of q words are as many as an item keeps under its edits."""
-    at, k, offset = block.runs[q].hits(grams(flat, q))
-    if not len(at):
-        return
-    text = np.searchsorted(begin, at, "right") - 1
-    diagonal = at - begin[text] - offset
-    width = 2 * block.edits[k] + 1  # two neighbouring bands hold any such span of diagonals
-    band = diagonal // width
-    text, k, offset, diagonal = (np.concatenate([x, x]) for x in (text, k, offset, diagonal))
-    band = np.concatenate([band, band - 1])
-    order = np.lexsort((offset, band, k, text))
-    text, k, band, offset, diagonal = (x[order] for x in (text, k, band, offset, diagonal))
-    group = np.ones(len(text), bool)
-    group[1:] = (text[1:] != text[:-1]) | (k[1:] != k[:-1]) | (band[1:] != band[:-1])
-    other = group.copy()  # an item's run counts once
-    other[1:] |= offset[1:] != offset[:-1]
-    head = np.flatnonzero(group)
-    runs = np.add.reduceat(other.astype(np.int64), head)
-    lows, highs = np.minimum.reduceat(diagonal, head), np.maximum.reduceat(diagonal, head)
-    for g in np.flatnonzero(runs >= block.least[k[head]]).tolist():
-        h = head[g]
-        found.setdefault(int(text[h]), set()).add((int(k[h]), int(lows[g]), int(highs[g])))
+def _together(block: Block, text: np.ndarray, k: np.ndarray, guess: np.ndarray) -> dict[int, list[tuple[int, int, int]]]:
+    """Candidates of each text: (item, first and last guessed start), guesses that edits
+    may have moved apart taken as one."""
+    order = np.lexsort((guess, k, text))
+    text, k, guess = text[order], k[order], guess[order]
+    new = np.ones(len(text), bool)
+    apart = guess[1:] - guess[:-1] > block.edits[k[1:]] + 1
+    new[1:] = (text[1:] != text[:-1]) | (k[1:] != k[:-1]) | apart
+    head = np.flatnonzero(new)
+    tail = np.append(head[1:], len(text)) - 1
+    found: dict[int, list[tuple[int, int, int]]] = {}
+    for a, b in zip(head.tolist(), tail.tolist()):
+        found.setdefault(int(text[a]), []).append((int(k[a]), int(guess[a]), int(guess[b])))
+    return found
 
 
 def _matches(block: Block, texts: list[str | None]) -> Iterator[tuple[int, int, int, int]]:
@@ -309,20 +296,17 @@ def _matches(block: Block, texts: list[str | None]) -> Iterator[tuple[int, int,
     shift = np.repeat(np.arange(len(data)), n)
     flat[np.arange(len(hashes)) + shift] = hashes
     begin = first[:-1] + np.arange(len(data))
-    found: dict[int, set[tuple[int, int, int]]] = {}
-    for q in block.runs:
-        _shared_runs(block, q, flat, begin, found)
-    if block.walks:
-        counts = -(-n // STRIDE)
+    hits = []
+    for plan, walks in block.classes:
+        counts = -(-n // plan.stride)
         owner = np.repeat(np.arange(len(data)), counts)
-        inside = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
-        starts = begin[owner] + inside * STRIDE
-        for number, keys in keys_of(flat, starts, block.plan):
-            at, k, offset = block.walks[number].hits(keys)
-            guess = starts[at] - begin[owner[at]] - offset
-            for d, i, g in zip(owner[at].tolist(), k.tolist(), guess.tolist()):
-                found.setdefault(d, set()).add((i, g, g))
-    for d, seen in found.items():
+        inside = (np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)) * plan.stride
+        starts = begin[owner] + inside
+        for number, keys in keys_of(flat, starts, plan):
+            at, k, offset = walks[number].hits(keys)
+            hits.append(np.stack([owner[at], k, inside[at] - offset]))
+    every = np.unique(np.concatenate(hits, axis=1), axis=1) if hits else np.zeros((3, 0), np.int64)
+    for d, seen in _together(block, *every).items():
         words = flat[begin[d] : begin[d] + n[d]]
         for k, edits, end in _verified(block, words, seen):
             yield d, k, edits, end - len(block.items[k][1])
@@ -341,7 +325,6 @@ def find_leaks(
 ) -> DataFrame:
     """doc_id, item_id, edits, item_words and first_word of every contained item."""
     spark = docs.sparkSession
-    plan = make_plan(recall=recall, edit_pct=edit_pct)
     named = docs.filter(F.col(text_col).isNotNull()).select(
         F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")
     )
@@ -360,7 +343,7 @@ def find_leaks(
     out = None
     for number in range(blocks):
         rows = wanted.filter(F.col("_block") == number).orderBy("item_id", "text").collect()
-        block = make_block([(r["item_id"], r["text"]) for r in rows], plan)
+        block = make_block([(r["item_id"], r["text"]) for r in rows], recall, edit_pct)
         if block is None:
             continue
         shared = spark.sparkContext.broadcast(block)  # block_items items at most
