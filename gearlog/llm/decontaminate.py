@@ -53,9 +53,11 @@ STEPS = 10
 WALKS, RECALL, EDIT_PCT = 8, 0.99, 25
 #: Places of a long item, evenly apart, where its windows start.
 PLACES = 7
-#: Items of a block: their keys are broadcast, at most about 60 KB for an item.
-BLOCK_ITEMS = 2000
-_FILTER_BITS = 22
+#: Items of a block: their keys and a filter over them are broadcast, at most about
+#: 60 KB for an item, 10 KB for one of up to 59 words.
+BLOCK_ITEMS = 1000
+#: Marks of the filter for each key.
+FILTER_SHARE = 32
 
 
 @dataclass(frozen=True)
@@ -81,10 +83,14 @@ def walk(words: np.ndarray, starts: np.ndarray, steps: int, seed: np.uint64) ->
         at = at + ((moves[at] >> np.uint64(j)) & np.uint64(1)).astype(at.dtype)
 
 
-def keys_of(words: np.ndarray, starts: np.ndarray, plan: Plan) -> Iterator[tuple[int, np.ndarray]]:
-    """(key number, key of every start). Beyond a window its words count as 0."""
+def keys_of(words: np.ndarray, starts: np.ndarray, plan: Plan) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(key number, key of every start, which of them count). Beyond a window its words
+    count as 0. A key whose steps found the pointer at one place again and again holds
+    a word or two, which are everywhere; it must hold a word for each step but one."""
     for w, seed in enumerate(_seeds(WALKS)):
         made = [np.full(len(starts), w * 1000 + k, np.uint64) for k in range(len(plan.steps[w]))]
+        last = [np.full(len(starts), -1, starts.dtype) for _ in made]
+        held = [np.zeros(len(starts), np.int8) for _ in made]
         wanted: dict[int, list[int]] = {}
         for k, steps in enumerate(plan.steps[w].tolist()):
             for j in steps:
@@ -92,14 +98,18 @@ def keys_of(words: np.ndarray, starts: np.ndarray, plan: Plan) -> Iterator[tuple
         for j, at in enumerate(walk(words, starts, max(wanted) + 1, seed)):
             if j not in wanted:
                 continue
-            emitted = np.where(at - starts < plan.size, words[at], np.uint64(0))
+            inside = at - starts < plan.size
+            emitted = np.where(inside, words[at], np.uint64(0))
             for k in wanted[j]:
                 x = made[k]
                 x ^= emitted
                 x *= np.uint64(0xD6E8FEB86659FD93)
                 x ^= x >> np.uint64(29)
+                held[k] += inside & (at != last[k])
+                last[k] = at
+        least = max(1, min(plan.steps.shape[2] - 1, plan.size))
         for k, x in enumerate(made):
-            yield w * 1000 + k, x
+            yield w * 1000 + k, x, held[k] >= least
 
 
 def item_offsets(n: int, plan: Plan) -> np.ndarray:
@@ -139,8 +149,8 @@ def simulated_recall(plan: Plan, n: int, edit_pct: int, trials: int = 1000) -> n
     met = np.zeros((plan.steps.shape[1], trials), bool)
     left = keys_of(np.concatenate(items), np.concatenate(spots), plan)
     right = keys_of(np.concatenate(docs), np.concatenate(marks), plan)
-    for (number, a), (_, b) in zip(left, right):
-        hit = np.isin(mix(b) ^ mix(owner_d), mix(a) ^ mix(owner_i))
+    for (number, a, some), (_, b, others) in zip(left, right):
+        hit = others & np.isin(mix(b) ^ mix(owner_d), (mix(a) ^ mix(owner_i))[some])
         met[number % 1000, owner_d[hit].astype(np.int64)] = True
     return np.logical_or.accumulate(met).mean(axis=1)
 
@@ -202,17 +212,21 @@ class Index:
 
     def hits(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(position in ``keys``, item, offset) of everything that meets."""
-        at = np.flatnonzero(self.bits[(keys >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)])
+        at = np.flatnonzero(self.bits[(keys >> _shift(self.bits)).astype(np.int64)])
         lo, hi = (np.searchsorted(self.keys, keys[at], side) for side in ("left", "right"))
         n = hi - lo
         rows = np.arange(n.sum()) + np.repeat(lo - (np.cumsum(n) - n), n)
         return np.repeat(at, n), self.items[rows], self.offsets[rows]
 
 
+def _shift(bits: np.ndarray) -> np.uint64:
+    return np.uint64(65 - len(bits).bit_length())
+
+
 def make_index(keys: np.ndarray, items: np.ndarray, offsets: np.ndarray) -> Index:
     order = np.argsort(keys)
-    bits = np.zeros(1 << _FILTER_BITS, bool)
-    bits[(keys >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
+    bits = np.zeros(1 << max(10, (FILTER_SHARE * len(keys)).bit_length()), bool)
+    bits[(keys >> _shift(bits)).astype(np.int64)] = True
     return Index(keys[order], items[order], offsets[order], bits)
 
 
@@ -222,7 +236,7 @@ class Block:
 
     items: list[tuple[int, np.ndarray]]  # item_id, words
     edits: np.ndarray  # allowed edits of each item
-    classes: list[tuple[Plan, dict[int, Index]]]  # key number -> windows of items
+    classes: list[tuple[Plan, Index]]  # all keys of the windows of a class's items
 
 
 def make_block(items: list[tuple[int, str | None]], recall: float, edit_pct: int) -> Block | None:
@@ -242,7 +256,8 @@ def make_block(items: list[tuple[int, str | None]], recall: float, edit_pct: int
         starts = np.concatenate([b + o for b, o in zip(begin, offsets)])
         owner = np.repeat(ks, [len(o) for o in offsets]).astype(np.int32)
         where = np.concatenate(offsets).astype(np.int32)
-        classes.append((plan, {n: make_index(keys, owner, where) for n, keys in keys_of(flat, starts, plan)}))
+        made = [(k[some], owner[some], where[some]) for _, k, some in keys_of(flat, starts, plan)]
+        classes.append((plan, make_index(*map(np.concatenate, zip(*made)))))  # a key holds its number
     return Block(cut, sizes * edit_pct // 100, classes)
 
 
@@ -297,13 +312,15 @@ def _matches(block: Block, texts: list[str | None]) -> Iterator[tuple[int, int,
     flat[np.arange(len(hashes)) + shift] = hashes
     begin = first[:-1] + np.arange(len(data))
     hits = []
-    for plan, walks in block.classes:
+    for plan, index in block.classes:
         counts = -(-n // plan.stride)
         owner = np.repeat(np.arange(len(data)), counts)
         inside = (np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)) * plan.stride
         starts = begin[owner] + inside
-        for number, keys in keys_of(flat, starts, plan):
-            at, k, offset = walks[number].hits(keys)
+        for _, keys, some in keys_of(flat, starts, plan):
+            here = np.flatnonzero(some)
+            at, k, offset = index.hits(keys[here])
+            at = here[at]
             hits.append(np.stack([owner[at], k, inside[at] - offset]))
     every = np.unique(np.concatenate(hits, axis=1), axis=1) if hits else np.zeros((3, 0), np.int64)
     for d, seen in _together(block, *every).items():
