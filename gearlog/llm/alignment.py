@@ -2,8 +2,8 @@
 
 A byte-level tokenizer (A) reads a space and the text, a SentencePiece model (B) reads
 the text and puts the space there itself. Both give spans: A the characters of every
-token, B the bytes of every piece in the library's proto form. Spans that follow on
-each other are coarse cuts. Where tokens share a character (a multibyte character in
+token, B the bytes of every piece (those of the library's proto form, in the shape it
+hands out fastest). Spans that follow on each other are coarse cuts. Where tokens share a character (a multibyte character in
 several tokens, byte-fallback pieces) the spans say nothing more, and the decoded bytes
 of the entries are laid end to end between the two cuts around them.
 
@@ -121,8 +121,10 @@ class PieceModel:
 
     def encode(self, text: str) -> tuple[list[int], np.ndarray]:
         """Ids, and the byte span of each piece."""
-        got = self.sp.encode(text if self.by_unit else text[1:], return_type="proto", num_threads=1).pieces
-        return [x.id for x in got], np.array([(x.begin, x.end) for x in got], np.int64).reshape(-1, 2)
+        got = self.sp.encode(
+            text if self.by_unit else text[1:], return_type="offset_mapping", return_bytes=True, num_threads=1
+        )
+        return got["ids"], np.fromiter(chain.from_iterable(got["offsets"]), np.int64).reshape(-1, 2)
 
 
 def byte_ends(spans: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -250,7 +252,8 @@ def common_ends(a_ends: np.ndarray, b_ends: np.ndarray) -> np.ndarray:
     if not len(a_ends) or not len(b_ends):
         return a_ends[:0]
     at = np.minimum(np.searchsorted(b_ends, a_ends), len(b_ends) - 1)
-    return np.unique(a_ends[b_ends[at] == a_ends], sorted=True)
+    found = a_ends[b_ends[at] == a_ends]
+    return found[np.append(True, found[1:] != found[:-1])] if len(found) else found
 
 
 def groups_of(
