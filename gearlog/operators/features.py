@@ -43,7 +43,6 @@ PAIRS = [
     ("rotation_speed", "vibration"),
     ("pressure", "vibration"),
 ]
-# Smoothing factors and the column suffix of each.
 BASELINE_ROWS = 168
 
 
