@@ -131,6 +131,13 @@ def test_per_key_join_keeps_every_fact_once(readings):
     assert per_key_join(readings, means, how="left").count() == readings.count()
 
 
+def test_per_key_join_does_not_broadcast_the_copies(readings):
+    means = readings.groupBy("machineID").agg(F.avg("volt").alias("m"))
+    for how in ("inner", "left"):
+        plan = per_key_join(readings, means, how=how)._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastExchange" not in plan and "ShuffledHashJoin" in plan
+
+
 def test_safe_corr_constant_and_null(spark):
     df = spark.createDataFrame(
         [(1, 1.0, 5.0), (1, 2.0, 5.0), (2, 1.0, 2.0), (2, 2.0, 4.0), (2, 9.0, None)],
