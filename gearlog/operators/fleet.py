@@ -6,7 +6,7 @@ of a direct join of the raw logs, worked out from the same aggregates.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ranges import cumulative
@@ -262,17 +262,37 @@ def _rank_in_model(base: DataFrame, value: str, name: str) -> DataFrame:
     return above.select("_model", value, (F.col("cum__n") - F.col("_n") + 1).alias(name))
 
 
+def _steady_means(df: DataFrame, value: str, name: str) -> DataFrame:
+    """Mean of ``value`` and rows ``n`` per machine, the same whatever order rows come in.
+
+    Sums of doubles differ in their last digits with the order, which splits the ranks
+    of machines with the same readings. Here a day is summed in order of its values and
+    a machine in order of its days, so no list holds more than a machine's day.
+    """
+
+    def total(values) -> Column:
+        return F.aggregate(values, F.lit(0.0), lambda a, x: a + x)
+
+    day = F.date_trunc("day", "datetime").alias("_day")
+    days = df.groupBy("machineID", day).agg(
+        F.count("*").alias("_rows"),
+        F.count(value).alias("_n"),
+        total(F.array_sort(F.collect_list(value))).alias("_sum"),
+    )
+    listed = F.array_sort(F.collect_list(F.struct("_day", "_sum")))
+    return days.groupBy("machineID").agg(
+        F.try_divide(total(F.transform(listed, lambda d: d["_sum"])), F.sum("_n")).alias(name),
+        F.sum("_rows").alias("n"),
+    )
+
+
 def peer_ranking(t: Tables, p: Params, fanout: bool = False) -> DataFrame:
     """Rank of each machine inside its model by vibration and by failures.
 
     No window holds a model: ranks come from counts per distinct value. ``fanout=True``
-    counts each failure once per reading.
+    counts each failure once per reading. Machines with the same readings share a rank.
     """
-    recent = (
-        t.telemetry.filter(_since(t, p, 30))
-        .groupBy("machineID")
-        .agg(F.avg("vibration").alias("avg_vibration"), F.count("*").alias("n"))
-    )
+    recent = _steady_means(t.telemetry.filter(_since(t, p, 30)), "vibration", "avg_vibration")
     fails = F.col("f") * F.col("n") if fanout else F.col("f")
     base = (
         t.machines.join(recent, "machineID")
