@@ -270,7 +270,9 @@ STREAMS: dict[str, Query] = {
     ),
     "stream_tumbling": _windows("hours", streams.tumbling),
     "stream_tumbling_5min": _windows("minutes", lambda r: streams.tumbling(r, "5 minutes")),
-    "stream_sliding": _windows("sliding", streams.sliding),
+    "stream_sliding": lambda spark, folder: jobs.slide_to(
+        _stream(spark, folder), jobs.new_run(spark, "sliding")
+    ),
     "stream_downsample": _windows("days", streams.downsample),
     "stream_prefilter": _stream_prefilter,
     "stream_quality": lambda spark, folder: jobs.append_to(

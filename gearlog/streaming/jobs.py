@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 from pyspark.sql.window import Window
 
+from ..functions.spans import HOUR_US
 from ..operators.smoothing import EWMA, ewma
 from ..params import FEATURE_SENSORS
 from ..sources.shared import read_or_empty, remove, shared_path
 from ..sources.tables import standardise
+from .readings import panes, windows_of
 
 
 def append_to(stream: DataFrame, path: str) -> DataFrame:
@@ -62,6 +64,40 @@ def update_to(stream: DataFrame, path: str, key: list[str]) -> DataFrame:
     )
 
 
+def slide_to(stream: DataFrame, path: str, width: int = 24, step: int = 1, late: int = 1) -> DataFrame:
+    """Run a stream of readings and return its overlapping windows (all in hours).
+
+    A window of ``width`` is made of panes of ``step``. A batch writes its own panes and
+    no state; windows are put together when the table is read, so neither state, nor
+    shuffles, nor tables hold a reading ``width / step`` times. A reading counts for
+    the windows still open under the newest reading of earlier batches less ``late``.
+    """
+    if width % step:
+        raise ValueError("width must be a multiple of step")
+    spark = stream.sparkSession
+    empty = spark.createDataFrame([], stream.schema)
+    shape = panes(empty, f"{step} hours").withColumn("closed", F.lit(None).cast("long")).schema
+
+    def save(batch: DataFrame, number: int) -> None:
+        marks = read_or_empty(spark, StructType.fromDDL("closed long, batch int"), f"{path}/marks")
+        closed = marks.filter(F.col("batch") < number).agg(F.max("closed")).first()[0]
+        found = panes(batch, f"{step} hours").withColumn("closed", F.lit(closed).cast("long"))
+        found.write.mode("overwrite").parquet(f"{path}/table/batch={number}")
+        newest = spark.read.schema(shape).parquet(f"{path}/table/batch={number}").agg(F.max("newest").alias("at"))
+        # a watermark counts in milliseconds
+        mark = newest.select((F.floor(F.col("at") / 1000) * 1000 - late * HOUR_US).cast("long").alias("closed"))
+        mark.write.mode("overwrite").parquet(f"{path}/marks/batch={number}")
+
+    (
+        stream.writeStream.foreachBatch(save)
+        .option("checkpointLocation", f"{path}/progress")
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
+    )
+    return windows_of(read_or_empty(spark, shape, f"{path}/table"), width * HOUR_US, step * HOUR_US)
+
+
 #: Batches after which the state of all machines is written as a whole.
 COMPACT = 16
 

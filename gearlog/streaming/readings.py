@@ -9,7 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from ..functions.spans import span_of
 from ..functions.stats import per_key_join
 from ..params import SENSORS
 
@@ -70,6 +72,80 @@ def sliding(
     return _windowed(readings, F.window("datetime", width, step), late)
 
 
+def panes(readings: DataFrame, step: str) -> DataFrame:
+    """What windows need of each machine's readings in one ``step``, on a batch frame."""
+    parts = []
+    for s in SENSORS:
+        parts += [
+            F.count(s).alias(f"{s}_n"),
+            F.avg(s).alias(f"{s}_mean"),
+            (F.var_pop(s) * F.count(s)).alias(f"{s}_m2"),
+            F.min(s).alias(f"{s}_min"),
+            F.max(s).alias(f"{s}_max"),
+        ]
+    return (
+        readings.groupBy("machineID", F.window("datetime", step).alias("w"))
+        .agg(F.count("*").alias("readings"), F.unix_micros(F.max("datetime")).alias("newest"), *parts)
+        .withColumn("pane", F.unix_micros("w.start"))
+        .drop("w")
+    )
+
+
+def windows_of(panes: DataFrame, width: int, step: int) -> DataFrame:
+    """Overlapping windows (``width`` and ``step`` in microseconds) from panes of ``step``.
+
+    ``closed`` of a pane is the watermark it arrived under: it counts for no window that
+    had ended by then. Panes are dealt by machine and span of ``7 * width``; each is
+    listed under its windows only after that, so the lists are never shuffled. The number
+    of tasks is fixed, since adaptive execution would join them by their size before.
+    """
+    tasks = 4 * int(panes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    key = ["machineID", "_span", "_start"]
+    whole = Window.partitionBy(*key)
+    reach = F.sequence(span_of(F.col("pane") - (width - step), 7 * width), span_of("pane", 7 * width))
+    starts = F.sequence(F.col("pane") - (width - step), F.col("pane"), F.lit(step))
+    rows = (
+        panes.withColumn("_span", F.explode(reach))
+        .repartition(tasks, "machineID", "_span")
+        .withColumn("_start", F.explode(starts))
+        .filter(span_of("_start", 7 * width) == F.col("_span"))
+        .filter(F.col("closed").isNull() | (F.col("_start") + width > F.col("closed")))
+    )
+    means, parts = {}, {"readings": F.sum("readings").over(whole)}
+    for s in SENSORS:
+        n, mean = F.col(f"{s}_n"), F.col(f"{s}_mean")
+        means[f"_n_{s}"] = F.sum(n).over(whole)
+        means[f"_mean_{s}"] = F.try_divide(F.sum(n * mean).over(whole), F.sum(n).over(whole))
+        apart = mean - F.col(f"_mean_{s}")
+        m2 = F.sum(F.col(f"{s}_m2") + n * apart * apart).over(whole)
+        several = F.col(f"_n_{s}") > 1
+        parts[f"{s}_std"] = F.when(several, F.sqrt(m2 / F.greatest(F.col(f"_n_{s}") - 1, F.lit(1))))
+        parts[f"_low_{s}"] = F.min(f"{s}_min").over(whole)
+        parts[f"_high_{s}"] = F.max(f"{s}_max").over(whole)
+    first = F.row_number().over(whole.orderBy("pane"))
+    return (
+        rows.withColumns(means)
+        .withColumns(parts | {"_nth": first})
+        .filter("_nth = 1")
+        .select(
+            "machineID",
+            F.timestamp_micros("_start").alias("window_start"),
+            F.timestamp_micros(F.col("_start") + width).alias("window_end"),
+            "readings",
+            *[
+                c
+                for s in SENSORS
+                for c in (
+                    F.col(f"_mean_{s}").alias(f"{s}_mean"),
+                    f"{s}_std",
+                    F.col(f"_low_{s}").alias(f"{s}_min"),
+                    F.col(f"_high_{s}").alias(f"{s}_max"),
+                )
+            ],
+        )
+    )
+
+
 def downsample(readings: DataFrame, late: str = WATERMARK) -> DataFrame:
     """Daily statistics, for data kept longer than the readings themselves."""
     return tumbling(readings, "1 day", late)

@@ -3,15 +3,17 @@
 import os
 import tempfile
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from gearlog import catalog
 from gearlog.operators import smoothing
 from gearlog.sources.shared import shared_path
 from gearlog.sources.tables import SCHEMAS, standardise
 from gearlog.streaming import jobs
 from gearlog.streaming import readings as streams
-from tests.fixtures import noisy, reading, rows, tables
+from tests.fixtures import hours, noisy, reading, rows, tables
 
 
 def _write(spark, folder, name, data):
@@ -51,6 +53,42 @@ def test_update_keeps_the_newest_version(spark, folder):
     assert rows(out, "readings") == [(3,)]
 
 
+def test_slid_windows_equal_the_direct_ones(spark, folder):
+    """Batches, a restart, a missing reading, and equal readings in one window."""
+    data = noisy(3, 60) + [(hours(7.5), 9, None, 450.0, 100.0, 40.0), *[reading(h + 0.1, 8) for h in range(5)]]
+    cut = sorted(r[0] for r in data)[100]
+    path = shared_path(spark, "slide")
+    _write(spark, folder, "a", [r for r in data if r[0] < cut])
+    jobs.slide_to(_stream(spark, folder), path)
+    _write(spark, folder, "b", [r for r in data if r[0] >= cut])
+    out = jobs.slide_to(_stream(spark, folder), path)
+    want = streams.sliding(tables(spark, telemetry=data).telemetry)
+    key = ["machineID", "window_start", "window_end", "readings"]
+    a, b = [df.select(*want.columns).toPandas().sort_values(key, ignore_index=True) for df in (out, want)]
+    assert list(a.columns) == list(b.columns)
+    pd.testing.assert_frame_equal(a, b, rtol=1e-9, atol=1e-9)
+
+
+def test_late_reading_counts_for_the_windows_still_open(spark, folder):
+    """10:00 and 15:00 close windows that end by 14:00; a reading of 13:30 is in the others."""
+    path = shared_path(spark, "slide-late")
+    _write(spark, folder, "a", [reading(10), reading(15)])
+    jobs.slide_to(_stream(spark, folder), path, width=2)
+    _write(spark, folder, "b", [reading(13.5), reading(10.5)])
+    out = jobs.slide_to(_stream(spark, folder), path, width=2)
+    got = [(r[0].hour, r[1]) for r in rows(out, "window_start", "readings")]
+    assert got == [(9, 1), (10, 1), (13, 1), (14, 1), (15, 1)]
+
+
+def test_sliding_writes_no_row_per_window(spark, monkeypatch):
+    path = shared_path(spark, "slide-size")
+    monkeypatch.setattr(jobs, "new_run", lambda spark, name: path)
+    folder = "/root/testdata/sf0.001"
+    windows = catalog.queries()["stream_sliding"](spark, folder).count()
+    events = spark.read.parquet(f"{folder}/events.parquet").count()
+    assert spark.read.parquet(f"{path}/table").count() <= events < windows
+
+
 def test_ewma_stream_continues_over_batches(spark, folder):
     data = noisy(3, 40)
     cut = sorted(r[0] for r in data)[60]
