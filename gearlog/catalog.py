@@ -208,7 +208,8 @@ def _stream_late_data(spark: SparkSession, folder: str) -> DataFrame:
     events, path = spark.read.schema(EVENTS).parquet(f"{folder}/events.parquet"), jobs.new_run(spark, "late")
     late, out = F.col("event_id") % 10 == 0, None
     for name, rows in (("a", events.filter(~late)), ("b", events.filter(late))):
-        rows.coalesce(1).write.parquet(f"{path}/arrived/{name}")
+        # as many files as the source has splits: one file would be one task's to aggregate
+        rows.write.parquet(f"{path}/arrived/{name}")
         arriving = streams.read_files(spark, f"{path}/arrived/*", EVENTS, "*.parquet")
         hours = streams.tumbling(telemetry_of(arriving))
         out = jobs.update_to(hours, f"{path}/windows", WINDOW_KEY)

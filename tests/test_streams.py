@@ -89,6 +89,21 @@ def test_sliding_writes_no_row_per_window(spark, monkeypatch):
     assert spark.read.parquet(f"{path}/table").count() <= events < windows
 
 
+def test_late_data_arrives_in_as_many_files_as_it_had(spark, monkeypatch):
+    """One file for all would be aggregated by one task."""
+    path, folder = shared_path(spark, "late-files"), shared_path(spark, "late-in")
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    events.repartition(16).write.parquet(f"{folder}/events.parquet")
+    monkeypatch.setattr(jobs, "new_run", lambda spark, name: path)
+    with_small = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", "128m")
+    try:
+        catalog.queries()["stream_late_data"](spark, folder)
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", with_small)
+    assert len(spark.read.parquet(f"{path}/arrived/a").inputFiles()) > 1
+
+
 def test_ewma_stream_continues_over_batches(spark, folder):
     data = noisy(3, 40)
     cut = sorted(r[0] for r in data)[60]
