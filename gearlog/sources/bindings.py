@@ -31,6 +31,8 @@ def telemetry_of(events: DataFrame) -> DataFrame:
 def bind(spark: SparkSession, folder: str) -> Tables:
     """Map the files in ``folder`` onto the fleet tables."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    # the JVM doesn't compile larger methods; wide projections are faster cut into small ones
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
     events = spark.read.schema(EVENTS).parquet(f"{folder}/events.parquet")
     customer = spark.read.schema(CUSTOMER).parquet(f"{folder}/customer.parquet")
     k = F.get_json_object("props", "$.k").cast("int")

@@ -51,3 +51,16 @@ def test_sources_are_not_scanned_for_unused_columns(spark):
     t = bind(spark, FOLDER)
     plan = plan_of(health.operating_hours(t, FIXTURE))
     assert "ReadSchema: struct<ts:timestamp,user_id:bigint>" in plan
+
+
+def test_quartiles_are_compiled(spark):
+    """No lambda that is interpreted for each row, no method the JVM leaves uncompiled."""
+    df = QUERIES["rolling_quantiles"](spark, FOLDER)
+    assert "transform(" not in df._jdf.queryExecution().optimizedPlan().toString()
+    assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
+
+
+def test_feature_table_numbers_rows_once_and_calls_python_per_batch(spark):
+    plan = plan_of(QUERIES["build_features"](spark, FOLDER))
+    assert "FlatMapGroupsInArrow" not in plan
+    assert plan.count("MapInArrow") == 2
