@@ -1,9 +1,10 @@
 """Per-machine state on a stream: running means that expire, and alerts.
 
-Each operator is a stateful processor over one machine at a time: a small value state,
-and an event-time timer that ends it when nothing has been heard for a while. Spark
-keeps the state in RocksDB beside the tasks and its changes in the checkpoint, so a
-batch touches its own machines only and a restart goes on where the last run stopped.
+Each operator keeps a small state for each machine, and an event-time timeout that ends
+it when nothing has been heard for a while. Spark keeps the state in RocksDB beside the
+tasks and its changes in the checkpoint, so a batch touches its own machines only and a
+restart goes on where the last run stopped. States go to Python and back in batches with
+the readings: a call to the state store for each machine costs more than its readings.
 
 Readings of a machine are taken in time order within a batch and in the order of the
 batches; one that is older than the last one taken is left out (the watermark drops
@@ -15,9 +16,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StatefulProcessor
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..params import SENSORS
 from .readings import WATERMARK
@@ -41,62 +43,58 @@ def rocksdb(spark: SparkSession):
             spark.conf.set(PROVIDER, before)
 
 
-class _PerMachine(StatefulProcessor):
-    """Readings in order, one value state, and one timer at the end of its life."""
+class _PerMachine:
+    """Readings in order, one state, and one timeout at the end of its life."""
 
     fields = ""  # of the state
+    needs: tuple[str, ...] = ()  # columns of a reading that ``step`` takes
     columns: list[str] = []  # of the result
 
     def __init__(self, quiet_ms: int, order: list[str]):
         self.quiet_ms, self.order = quiet_ms, order
 
-    def init(self, handle) -> None:
-        self.handle = handle
-        self.kept = handle.getValueState("kept", f"at long, {self.fields}")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        readings = pd.concat(list(rows)).sort_values(self.order, kind="stable")
-        state = self.kept.get() if self.kept.exists() else None
-        if state is not None:
-            self.handle.deleteTimer(self.ends(state[0]))
-        out: list[tuple] = []
+    def __call__(self, key, frames: Iterator[pd.DataFrame], kept: GroupState) -> Iterator[pd.DataFrame]:
+        if kept.hasTimedOut:
+            out = self.over(key, kept.get)
+            kept.remove()
+            yield self.frame(out)
+            return
         # microseconds, whatever unit the batch came in
-        stamps = readings["datetime"].astype("datetime64[us]").astype("int64")
-        for at, reading in zip(stamps.tolist(), readings.itertuples(index=False)):
+        stamps, ranks, readings = [], [], []
+        for f in frames:
+            us = f["datetime"].to_numpy().astype("datetime64[us]").astype("int64").tolist()
+            stamps += us
+            by = (us if c == "datetime" else f[c].tolist() for c in self.order)
+            ranks += zip(*([(v is None or v != v, v) for v in c] for c in by))  # missing ones last
+            readings += zip(*(f[c].tolist() for c in self.needs))
+        state = kept.getOption
+        out: list[tuple] = []
+        for i in sorted(range(len(stamps)), key=ranks.__getitem__):
+            at = stamps[i]
             if state is not None and at < state[0]:
                 continue
             if state is not None and at - state[0] > self.quiet_ms * 1000:
                 out += self.over(key, state)
                 state = None
-            state, rows_out = self.step(key, at, reading, state)
+            state, rows_out = self.step(key, at, readings[i], state)
             out += rows_out
-        if state is None:
-            if self.kept.exists():
-                self.kept.clear()
-        else:
-            self.kept.update(tuple(state))
-            self.handle.registerTimer(self.ends(state[0]))
-        yield self.frame(out)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        out: list[tuple] = []
-        if self.kept.exists():
-            out = self.over(key, self.kept.get())
-            self.kept.clear()
+        if state is not None:
+            kept.update(tuple(state))
+            kept.setTimeoutTimestamp(self.ends(state[0]))
+        elif kept.exists:
+            kept.remove()
         yield self.frame(out)
 
-    def close(self) -> None:
-        pass
-
     def ends(self, at: int) -> int:
         return at // 1000 + self.quiet_ms
 
     def frame(self, rows: list[tuple]) -> pd.DataFrame:
-        out = pd.DataFrame(rows, columns=self.columns)
-        for c in self.columns:
-            if c in ("datetime", "at"):
-                out[c] = pd.to_datetime(out[c], unit="us")
-        return out
+        found = zip(*rows) if rows else ((),) * len(self.columns)
+        out = {}
+        for c, values in zip(self.columns, found):
+            time = c in ("datetime", "at")
+            out[c] = np.array(values, dtype="int64").astype("datetime64[us]") if time else list(values)
+        return pd.DataFrame(out)
 
     def over(self, key, state) -> list[tuple]:
         """Rows that the end of a state gives."""
@@ -107,6 +105,7 @@ class _PerMachine(StatefulProcessor):
 
 
 class _Means(_PerMachine):
+    needs = SENSORS
     fields = "readings long, " + ", ".join(f"{s} double" for s in SENSORS)
     columns = ["machineID", "datetime", "hours_since_last", "readings", *[f"{s}_ewma" for s in SENSORS]]
 
@@ -118,8 +117,8 @@ class _Means(_PerMachine):
         waited = None if state is None else (at - state[0]) / 3.6e9
         n = 1 if state is None else state[1] + 1
         means = []
-        for k, s in enumerate(SENSORS):
-            x, old = getattr(reading, s), None if state is None else state[2 + k]
+        for k in range(len(SENSORS)):
+            x, old = reading[k], None if state is None else state[2 + k]
             if x is None or x != x:
                 means.append(old)
             else:
@@ -128,6 +127,7 @@ class _Means(_PerMachine):
 
 
 class _Alerts(_PerMachine):
+    needs = ("zscore",)
     fields = "readings long, peak double"
     columns = ["machineID", "at", "event", "readings", "peak"]
 
@@ -136,7 +136,7 @@ class _Alerts(_PerMachine):
         self.raise_at, self.clear_at = raise_at, clear_at
 
     def step(self, key, at, reading, state):
-        z = abs(reading.zscore) if reading.zscore is not None else float("nan")
+        z = abs(reading[0]) if reading[0] is not None else float("nan")
         if state is None:
             if z > self.raise_at:
                 return [at, 1, z], [(key[0], at, "raised", 1, z)]
@@ -153,8 +153,8 @@ class _Alerts(_PerMachine):
 def _per_machine(stream: DataFrame, processor: _PerMachine, schema: str, late: str) -> DataFrame:
     if "datetime" in stream.columns and late:
         stream = stream.withWatermark("datetime", late)
-    return stream.groupBy("machineID").transformWithStateInPandas(
-        statefulProcessor=processor, outputStructType=schema, outputMode="append", timeMode="EventTime"
+    return stream.groupBy("machineID").applyInPandasWithState(
+        processor, schema, f"at long, {processor.fields}", "append", GroupStateTimeout.EventTimeTimeout
     )
 
 

@@ -104,3 +104,18 @@ def test_sketch_ranks_stay_near(spark):
         for n, p in probs.items():
             rank = np.searchsorted(xs, r[f"vibration_{n}"], "right") / len(xs)
             assert abs(rank - p) <= 0.02 + 1 / len(xs)
+
+
+def test_states_go_to_python_in_batches(spark, folder):
+    """One call to the state store for each machine costs more than its readings."""
+    _write(spark, folder, "a", [reading(0)])
+    plan = state.machine_state(_stream(spark, folder))._jdf.queryExecution().analyzed().toString()
+    assert "FlatMapGroupsInPandasWithState" in plan and "TransformWithState" not in plan
+
+
+def test_readings_of_equal_times_in_the_order_asked_for(spark, folder):
+    """Ranks of one time as pressure; a missing one comes last."""
+    data = [(hours(1), 1, v, 1.0, rank, 1.0) for v, rank in ((30.0, None), (20.0, 2.0), (10.0, 1.0))]
+    _write(spark, folder, "a", data)
+    out = _states(spark, folder, shared_path(spark, "state"), alpha=0.5, order=("datetime", "pressure"))
+    assert rows(out, "readings", "volt_ewma") == [(1, 10.0), (2, 15.0), (3, 22.5)]
