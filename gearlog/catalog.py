@@ -290,11 +290,12 @@ CHECK_FOREST = {"trees": 10, "depth": 6}
 
 
 def _model_rows(t: Tables, p) -> tuple[DataFrame, list[str]]:
-    """The training table; it is written once, since training reads it many times."""
-    table = features.calendar_features(labels.master_table(t, p))
+    """The training table, without names; it is written once, since training reads it
+    many times, and as it comes, since training reads all days."""
+    table = features.calendar_features(labels.master_table(t, p, names=False))
     path = shared_path(table.sparkSession, "training")
-    write_features(table, path)
-    df = modeling.three_way_split(table.sparkSession.read.parquet(path).drop("date"))
+    table.write.parquet(path)
+    df = modeling.three_way_split(table.sparkSession.read.schema(table.schema).parquet(path))
     return df, [*FEATURE_SENSORS, *modeling.numeric_columns(df, NOT_FEATURES)]
 
 

@@ -61,20 +61,24 @@ def _name_lists(events: DataFrame, name: str, start: Column, end: Column, out: s
     )
 
 
-def _maint_marks(t: Tables, days: int) -> DataFrame:
+def _maint_marks(t: Tables, days: int, names: bool = True) -> DataFrame:
     """Each maintenance counts for readings in [event, event + days)."""
     m, end = timed(t.maint), F.col("_us") + days * DAY_US
     marks = active_marks(m, F.col("_us"), end, {"m_any": F.lit(1).cast("long")})
+    if not names:
+        return marks
     lists = _name_lists(m, "comp", F.col("_us"), end, "m_names")
     return marks.unionByName(lists, allowMissingColumns=True)
 
 
-def _failure_marks(t: Tables, hours: int) -> DataFrame:
+def _failure_marks(t: Tables, hours: int, names: bool = True) -> DataFrame:
     """Each failure counts for readings in [failure - hours, failure)."""
     f, start = timed(t.failures), F.col("_us") - hours * HOUR_US
     tags = {f"f_{c}": F.col("failure").contains(c).cast("long") for c in COMPONENTS}
     tags["f_any"] = F.lit(1).cast("long")
     marks = active_marks(f, start, F.col("_us"), tags)
+    if not names:
+        return marks
     lists = _name_lists(f, "failure", start, F.col("_us"), "f_names")
     return marks.unionByName(lists, allowMissingColumns=True)
 
@@ -107,10 +111,11 @@ def _with_maintenance(df: DataFrame) -> DataFrame:
 
 def _with_labels(df: DataFrame) -> DataFrame:
     hours = (F.col("_next") - F.col("_us")) / F.lit(3.6e9)
+    lists = {"failure_components": F.col("l_f_names")} if "l_f_names" in df.columns else {}
     return df.withColumns(
         {
             "failure_label": (F.col("n_f_any") > 0).cast("int"),
-            "failure_components": F.col("l_f_names"),
+            **lists,
             **{f"failure_{c}": (F.col(f"n_f_{c}") > 0).cast("int") for c in COMPONENTS},
             "time_to_failure_hours": F.coalesce(hours, F.lit(NO_FAILURE_HOURS)),
         }
@@ -184,30 +189,35 @@ def asof_last_event(t: Tables, p: Params) -> DataFrame:
     return _finish(found)
 
 
-def master_table(t: Tables, p: Params, hours: int = 24, days: int = 7) -> DataFrame:
+def master_table(
+    t: Tables, p: Params, hours: int = 24, days: int = 7, names: bool = True
+) -> DataFrame:
     """Readings with machine data, error and maintenance history and labels.
 
     All window counts share one pass over readings and marks; the only other
-    pass looks for the next failure.
+    pass looks for the next failure. ``names=False`` leaves out the lists of names
+    (error types, components), which models don't take.
     """
     errors = active_marks(
         timed(t.errors), F.col("_us"), F.col("_us") + DAY_US, {"e_any": F.lit(1).cast("long")}
     )
     marks = errors
-    for other in (_maint_marks(t, days), _failure_marks(t, hours)):
+    for other in (_maint_marks(t, days, names), _failure_marks(t, hours, names)):
         marks = marks.unionByName(other, allowMissingColumns=True)
-    names = [*FAILURE_TAGS, "m_any", "e_any"]
-    counted = _count_active(_readings(t), marks, names, ["m_names", "f_names"], _base(t))
+    tags, lists = [*FAILURE_TAGS, "m_any", "e_any"], ["m_names", "f_names"] if names else []
+    counted = _count_active(_readings(t), marks, tags, lists, _base(t))
     ahead = next_time(counted, timed(t.failures), "_next", base=_base(t))
     full = _with_labels(_with_maintenance(ahead))
+    by_hour = _errors_by_hour(t) if names else _errors_by_hour(t).drop("error_types_1h")
     full = (
         full.withColumn("_hour", F.date_trunc("hour", "datetime"))
-        .join(_errors_by_hour(t), ["machineID", "_hour"], "left")
+        .join(by_hour, ["machineID", "_hour"], "left")
         .withColumnRenamed("n_e_any", "error_count_24h")
         .drop("_hour")
         .fillna(0, ["error_count_1h"])
-        .fillna("", ["error_types_1h"])
     )
+    if names:
+        full = full.fillna("", ["error_types_1h"])
     return _finish(per_key_join(full, t.machines, how="left"))
 
 

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.ranges import exact_quantiles
-from .labels import split_cut
 
 LABEL = "failure_label"
 # Training settings of the two classifiers.
@@ -24,10 +23,16 @@ def numeric_columns(df: DataFrame, leave_out) -> list[str]:
 
 
 def three_way_split(df: DataFrame, test_share: float = 0.2, validation_share: float = 0.1):
-    """Add ``split``: train, validation, test in time order."""
+    """Add ``split``: train, validation, test in time order.
+
+    Both cuts come from one count of the times, and are looked up here: training and
+    scoring read ``df`` several times.
+    """
     at = F.unix_micros("timestamp")
-    test_from = split_cut(df, test_share)
-    validate_from = split_cut(df, test_share + validation_share)
+    stamps = df.select(at.cast("double").alias("_at"))
+    probs = {"validate": 1 - (test_share + validation_share), "test": 1 - test_share}
+    cuts = exact_quantiles(stamps, "_at", probs, []).first()
+    validate_from, test_from = (F.lit(cuts[c] if cuts else None).cast("double") for c in probs)
     return df.withColumn(
         "split",
         F.when(at < validate_from, "train").when(at < test_from, "validation").otherwise("test"),
@@ -40,8 +45,8 @@ def _weighted(df: DataFrame, balanced: bool) -> DataFrame:
     y = F.col(LABEL)
     counts = train.agg(
         F.count_if(y == 1).alias("n1"), F.count_if(y == 0).alias("n0"), F.count("*").alias("n")
-    ).select(F.struct("*")).scalar()
-    n1, n0 = F.greatest(counts["n1"], F.lit(1)), F.greatest(counts["n0"], F.lit(1))
+    ).first()
+    n1, n0 = max(counts["n1"], 1), max(counts["n0"], 1)
     if balanced:
         weight = F.when(y == 1, counts["n"] / (2 * n1)).otherwise(counts["n"] / (2 * n0))
     else:

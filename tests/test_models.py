@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from gearlog.operators import modeling, smoothing
+from gearlog.operators import labels, modeling, smoothing
 from gearlog.params import FEATURE_SENSORS, Params
 from gearlog.plans.feature_table import build_features, feature_names
 from gearlog.sources.shared import shared_path
@@ -69,3 +69,23 @@ def test_feature_table(spark):
     assert same.filter(F.abs(F.col("pressure_ewma_alpha01") - F.col("p")) > 1e-9).count() == 0
     # whole rows exist once the 168-row windows are half full
     assert 0 < back.drop("date").na.drop().count() < back.count()
+
+
+def test_training_reads_no_name_lists_and_looks_cuts_up_once(spark):
+    t = tables(
+        spark,
+        telemetry=noisy(3, 40),
+        errors=[(hours(5), 1, "error1"), (hours(5), 1, "error2")],
+        maint=[(hours(3), m, "comp1") for m in (1, 2, 3)],
+        failures=[(hours(30), 1, "comp2")],
+        machines=[(m, "model1", m) for m in (1, 2, 3)],
+    )
+    whole = labels.master_table(t, Params())
+    lists = ["error_types_1h", "maint_components_replaced", "failure_components"]
+    plain = labels.master_table(t, Params(), names=False)
+    assert plain.columns == [c for c in whole.columns if c not in lists]
+    assert plain.exceptAll(whole.drop(*lists)).count() == 0 == whole.drop(*lists).exceptAll(plain).count()
+    plan = plain._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_set" not in plan
+    split = modeling.three_way_split(plain)
+    assert "scalar-subquery" not in split._jdf.queryExecution().optimizedPlan().toString()
