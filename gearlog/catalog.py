@@ -284,8 +284,7 @@ STREAMS: dict[str, Query] = {
     ).drop(*FEATURE_SENSORS),
 }
 
-# Sizes of the trained check models; the library's defaults are the full ones.
-CHECK_GBT = {"trees": 10, "depth": 4}
+# Sizes of the trained check forests; the library's defaults are the full ones.
 CHECK_FOREST = {"trees": 10, "depth": 6}
 
 
@@ -355,7 +354,7 @@ HISTORY: dict[str, Callable] = {
     "strategy_costs": _strategies(kpi.strategy_costs),
     "strategy_roi_summary": _strategies(kpi.strategy_roi_summary),
     "roi_grid": lambda t, p: kpi.roi_grid(kpi.segments(t, p), p),
-    "gbt_predictions": _predictions(modeling.train_gbt, **CHECK_GBT),
+    "gbt_predictions": _predictions(modeling.train_gbt),
     "forest_predictions": _predictions(modeling.train_forest, **CHECK_FOREST),
     "feature_importance": _importance,
     "time_series_folds": lambda t, p: modeling.fold_sizes(labels.failure_labels(t, p)),
