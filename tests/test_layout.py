@@ -48,14 +48,12 @@ def test_a_row_without_a_time_has_no_windows(spark):
     assert found.count() == features.rolling_statistics(df, HOURS).count() == 60
 
 
-def test_spectra_baselines_and_means_in_blocks(dense):
+def test_spectra_and_correlations_in_blocks(dense):
     laid = dealt(dense, 64, 80)
     found = features.spectral_and_corr(laid).filter("_own")
     for plain in (features.spectral(dense), features.rolling_corr(dense)):
         names = [c for c in plain.columns if c not in ("machine_id", "timestamp", *FEATURE_SENSORS)]
         assert differ(plain, found, names) == (0, 0)
-    zscores = features.baseline_zscore(laid, base=dense.withColumn("_us", F.unix_micros("timestamp")), size=80)
-    assert differ(features.baseline_zscore(dense), zscores.filter("_own"), [f"{s}_running_zscore" for s in FEATURE_SENSORS]) == (0, 0)
 
 
 def test_exponential_means_leave_the_halo_out(spark):
@@ -65,6 +63,18 @@ def test_exponential_means_leave_the_halo_out(spark):
     assert differ(ewma(rows), means, names) == (0, 0)
 
 
+def test_a_machine_listed_twice(spark):
+    """Each listing gets the readings; time windows hold the copies, as on their own."""
+    t = tables(spark, telemetry=noisy(2, 40, step=0.5), machines=[(1, "a", 1), (1, "b", 2), (2, "a", 3)])
+    wide = build_features(t, Params(), drop_null=False)
+    listed = standardise(t.telemetry.join(t.machines, "machineID")).select("machine_id", "timestamp", *FEATURE_SENSORS)
+    plain = features.rolling_statistics(listed, HOURS).distinct()
+    names = [c for c in plain.columns if c.endswith(("_6h", "_12h")) and "skew" not in c and "kurt" not in c]
+    again = wide.select("machine_id", "timestamp", *[n for n in names if "delta" not in n and "pct" not in n]).distinct()
+    assert wide.count() == listed.count() and again.count() == plain.count()
+    assert differ(plain, again, [n for n in again.columns if n not in ("machine_id", "timestamp")]) == (0, 0)
+
+
 def test_wide_rows_of_the_feature_table_are_not_shuffled(spark):
     t = tables(
         spark,
